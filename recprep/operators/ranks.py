@@ -9,18 +9,16 @@ from pyspark.sql import functions as F
 def dense_index(values: DataFrame, column: str, out: str = "idx", splits: int = 255) -> DataFrame:
     """Number distinct non-NULL values 1..k in ascending order.
 
-    Up to ``splits`` values, drawn by hash, cut the value range into pieces of similar size.
-    Each piece is numbered on its own and shifted by the sizes of the pieces before it (at
-    most ``splits + 1`` rows). The cut points depend on the values only, not on partitioning.
+    Up to ``splits`` values, drawn by hash, cut the value range into pieces of similar size
+    (a job brings just these to the driver). Each piece is numbered on its own and shifted by
+    the sizes of the pieces before it, at most ``splits + 1`` rows. The cut points depend on
+    the values only, not on partitioning.
     """
     distinct = values.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
-    points = (
-        distinct.orderBy(F.md5(F.col("v").cast("string")), "v").limit(splits)
-        .agg(F.sort_array(F.collect_list("v")).alias("points"))
-    )
-    located = distinct.select(
-        "v", F.size(F.filter(points.scalar(), lambda p: p <= F.col("v"))).alias("piece")
-    )
+    drawn = distinct.orderBy(F.md5(F.col("v").cast("string")), "v").limit(splits).collect()
+    kind = distinct.schema["v"].dataType
+    points = F.array(*[F.lit(row["v"]).cast(kind) for row in drawn])
+    located = distinct.select("v", F.size(F.filter(points, lambda p: p <= F.col("v"))).alias("piece"))
     ranked = located.withColumn("r", F.row_number().over(Window.partitionBy("piece").orderBy("v")))
     before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = located.groupBy("piece").agg(F.count("*").alias("c")).select(

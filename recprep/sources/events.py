@@ -46,13 +46,16 @@ def event_schema() -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in EVENT_COLUMNS.items()))
 
 
-def to_event_schema(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Select the unified columns; what ``values`` does not name is NULL (discount: false)."""
+def to_event_schema(df: DataFrame, values: dict[str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Select the unified columns; what ``values`` does not name is NULL (discount: false).
+
+    ``keep`` lists source columns (a row id, say) to carry along behind them.
+    """
     out = []
     for name, kind in EVENT_COLUMNS.items():
         missing = F.lit(False) if name == "discount_flag" else F.lit(None)
         out.append(values.get(name, missing).cast(kind).alias(name))
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def time_ms(df: DataFrame, column: str) -> Column:
@@ -67,7 +70,9 @@ def time_ms(df: DataFrame, column: str) -> Column:
     return F.unix_millis(value.cast("timestamp"))
 
 
-def harmonize_behavior(raw: DataFrame, event_type_map: dict[str, str] | None = None) -> DataFrame:
+def harmonize_behavior(
+    raw: DataFrame, event_type_map: dict[str, str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Behavior log to unified events; event types outside the map become NULL."""
     mapping = EVENT_TYPE_MAP if event_type_map is None else event_type_map
     same = ["category_id", "category_code", "brand", "price", "user_id", "user_session"]
@@ -75,7 +80,7 @@ def harmonize_behavior(raw: DataFrame, event_type_map: dict[str, str] | None = N
     values["event_time"] = time_ms(raw, "event_time")
     values["event_type"] = map_values(F.col("event_type").cast("string"), mapping)
     values["item_id"] = F.col("product_id")
-    return to_event_schema(raw, values)
+    return to_event_schema(raw, values, keep)
 
 
 def harmonize_orders(
