@@ -1,5 +1,6 @@
 """Registered queries: each runs one operator over the check tables."""
 
 from recprep.catalog.events import EVENT_QUERIES
+from recprep.catalog.retail import RETAIL_QUERIES
 
-ALL_QUERIES = {**EVENT_QUERIES}
+ALL_QUERIES = {**EVENT_QUERIES, **RETAIL_QUERIES}

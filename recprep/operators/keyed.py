@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recprep.functions import numeric as num
+
 _LATEST = 9223372036854775807
 
 
@@ -30,13 +34,6 @@ def first_values(
     return combos.groupBy(*keys).agg(*picks, *merged)
 
 
-def one_row_per_key(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
-    """Dimension table: distinct attribute combinations, smallest one (NULLs first) per key."""
-    combos = df.select(*keys, *attributes).distinct()
-    best = F.min(F.struct(*attributes)).alias("_a")
-    return combos.groupBy(*keys).agg(best).select(*keys, "_a.*")
-
-
 def best_row(df: DataFrame, keys: list[Column | str], order: list[Column]) -> DataFrame:
     """Keep the first row per key in the given order.
 
@@ -47,21 +44,90 @@ def best_row(df: DataFrame, keys: list[Column | str], order: list[Column]) -> Da
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def distinct_events(
-    df: DataFrame, keys: list[str], kind: str, stamp: str, partial: list[Column] = ()
+def count_kind(kind: str, value, stamp: str) -> Column:
+    """With one row per (kind, stamp): COUNT(DISTINCT CASE WHEN kind = value THEN stamp END)."""
+    test = (F.col(kind) == F.lit(value)) & F.col(stamp).isNotNull()
+    return F.count(F.when(test, F.lit(1)))
+
+
+# --- measures that aggregate in two steps ---------------------------------------------
+
+
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate as partial columns at a fine grain and their merge at a coarse one."""
+
+    name: str
+    partial: tuple[Column, ...]
+    merged: Column
+
+
+def _units(c: Column | str, places: int) -> Column:
+    return F.rint(num.col(c).cast("double") * F.lit(float(10**places)))
+
+
+def m_sum(name: str, c: Column | str, places: int = 4) -> Measure:
+    """Order-free sum of a double (see ``fixed_sum``)."""
+    part = f"_{name}"
+    return Measure(name, (F.sum(_units(c, places)).alias(part),), F.sum(part) / F.lit(float(10**places)))
+
+
+def m_avg(name: str, c: Column | str, places: int = 4) -> Measure:
+    part, seen = f"_{name}", f"_{name}_n"
+    merged = F.sum(part) / F.nullif(F.sum(seen), F.lit(0)) / F.lit(float(10**places))
+    return Measure(name, (F.sum(_units(c, places)).alias(part), F.count(num.col(c)).alias(seen)), merged)
+
+
+def m_total(name: str, c: Column | str) -> Measure:
+    """Sum of whole numbers."""
+    part = f"_{name}"
+    return Measure(name, (F.sum(num.col(c).cast("long")).alias(part),), F.sum(part))
+
+
+def m_count(name: str, test: Column | None = None) -> Measure:
+    part = f"_{name}"
+    counted = F.count("*") if test is None else F.count(F.when(test, F.lit(1)))
+    return Measure(name, (counted.alias(part),), F.sum(part))
+
+
+def m_min(name: str, c: Column | str) -> Measure:
+    return Measure(name, (F.min(num.col(c)).alias(f"_{name}"),), F.min(f"_{name}"))
+
+
+def m_max(name: str, c: Column | str) -> Measure:
+    return Measure(name, (F.max(num.col(c)).alias(f"_{name}"),), F.max(f"_{name}"))
+
+
+def two_level(
+    df: DataFrame, keys: list[str], finer: list[str], measures: list[Measure] = (), extra: list[Column] = ()
 ) -> DataFrame:
-    """First step of many conditional distinct counts: one row per (keys, kind, stamp).
+    """Group by keys + finer columns, then by keys.
 
-    Counting rows of a kind afterwards is COUNT(DISTINCT CASE WHEN kind THEN stamp END) for
-    every kind at once, where Spark's own rewrite would multiply each input row by the number
-    of distinct aggregates. ``partial`` carries plain aggregates along.
+    After step one there is one row per distinct ``finer`` value, so ``extra`` aggregates can
+    count those rows: exact distinct counts next to plain measures, without Expand. Step one
+    also folds a hot key on the map side before its rows meet.
     """
-    if not partial:
-        return df.select(*keys, kind, stamp).distinct()
-    return df.groupBy(*keys, kind, stamp).agg(*partial)
+    partial = [p for m in measures for p in m.partial]
+    grouped = df.groupBy(*keys, *finer)
+    fine = grouped.agg(*partial) if partial else df.select(*keys, *finer).distinct()
+    return fine.groupBy(*keys).agg(*extra, *[m.merged.alias(m.name) for m in measures])
 
 
-def count_kind(kind: str, value, stamp: str) -> Column:
-    """Second step: number of distinct non-NULL stamps with ``kind = value``."""
-    test = (F.col(kind) == F.lit(value)) & F.col(stamp).isNotNull()
-    return F.count(F.when(test, F.lit(1)))
+def dimension(df: DataFrame, keys: list[str], attributes: list[str], measures: list[Measure] = ()) -> DataFrame:
+    """One row per key: its smallest attribute combination (NULLs first) and its measures."""
+    best = F.min(F.struct(*attributes)).alias("_a")
+    wide = two_level(df, keys, attributes, measures, [best])
+    return wide.select(*keys, "_a.*", *[m.name for m in measures])
+
+
+def distinct_counts(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """COUNT(DISTINCT column) per key for several columns.
+
+    One pruned scan per column and a join on the keys, which all branches are partitioned by
+    already. Keys must not be NULL.
+    """
+    out = None
+    for name, column in columns.items():
+        counted = two_level(df, keys, [column], extra=[F.count(column).alias(name)])
+        out = counted if out is None else out.join(counted, keys)
+    return out

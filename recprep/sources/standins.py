@@ -90,3 +90,49 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonize_orders(raw_orders(spark, sf_dir), REGION_PROVINCES)
+
+
+# --- retail sales ---------------------------------------------------------------------
+
+
+def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as sales of parts by suppliers (stores)."""
+    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    store = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    joined = line.join(part, line.l_partkey == part.p_partkey).join(store, line.l_suppkey == store.s_suppkey)
+    number = F.col("s_suppkey").cast("string")
+    kind = F.col("s_suppkey") % 6
+    name = (
+        F.when(kind == 0, F.concat(F.lit("HY-VEE #"), number))
+        .when(kind == 1, F.concat(F.lit("FAREWAY STORES "), number))
+        .when(kind == 2, F.concat(F.lit("WALMART #"), number))
+        .when(kind == 3, F.concat(F.lit("QUICK STOP "), number))
+        .when(kind == 4, F.concat(F.lit("CONVENIENCE "), number))
+        .otherwise(F.col("s_name"))
+    )
+    return joined.select(
+        F.col("s_suppkey").alias("store_number"),
+        name.alias("store_name"),
+        F.concat(number, F.lit(" MAIN ST, "), F.col("n_name")).alias("address"),
+        F.col("n_name").alias("city"),
+        F.lpad(number, 5, "0").alias("zip_code"),
+        F.concat(F.lit("County "), F.col("n_regionkey")).alias("county"),
+        F.col("n_regionkey").cast("long").alias("county_number"),
+        F.col("p_partkey").alias("item_number"),
+        F.col("p_name").alias("item_description"),
+        (F.col("p_size") % 10).cast("string").alias("category"),
+        F.col("p_type").alias("category_name"),
+        F.col("p_brand").alias("vendor_number"),
+        F.concat(F.lit("Vendor "), F.col("p_brand")).alias("vendor_name"),
+        F.col("p_size").cast("long").alias("pack"),
+        (F.col("p_size") * 50).cast("long").alias("bottle_volume_ml"),
+        (F.col("p_retailprice") * 0.5).alias("state_bottle_cost"),
+        (F.col("p_retailprice") + F.col("l_discount") * 10.0).alias("state_bottle_retail"),
+        F.col("l_extendedprice").alias("sale_dollars"),
+        F.col("l_quantity").cast("long").alias("bottles_sold"),
+        (F.col("l_quantity") * 0.75).alias("volume_sold_liters"),
+        (F.col("l_quantity") * 0.2).alias("volume_sold_gallons"),
+        F.to_date("l_shipdate").alias("date"),
+    )
