@@ -2,5 +2,6 @@
 
 from recprep.catalog.events import EVENT_QUERIES
 from recprep.catalog.retail import RETAIL_QUERIES
+from recprep.catalog.shop import SHOP_QUERIES
 
-ALL_QUERIES = {**EVENT_QUERIES, **RETAIL_QUERIES}
+ALL_QUERIES = {**EVENT_QUERIES, **SHOP_QUERIES, **RETAIL_QUERIES}

@@ -44,12 +44,6 @@ def best_row(df: DataFrame, keys: list[Column | str], order: list[Column]) -> Da
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def count_kind(kind: str, value, stamp: str) -> Column:
-    """With one row per (kind, stamp): COUNT(DISTINCT CASE WHEN kind = value THEN stamp END)."""
-    test = (F.col(kind) == F.lit(value)) & F.col(stamp).isNotNull()
-    return F.count(F.when(test, F.lit(1)))
-
-
 # --- measures that aggregate in two steps ---------------------------------------------
 
 
@@ -98,6 +92,15 @@ def m_max(name: str, c: Column | str) -> Measure:
     return Measure(name, (F.max(num.col(c)).alias(f"_{name}"),), F.max(f"_{name}"))
 
 
+def m_any(name: str, test: Column) -> Measure:
+    """Number of fine groups with at least one row that passes the test.
+
+    With the stamp as the fine column this is COUNT(DISTINCT CASE WHEN test THEN stamp END).
+    """
+    part = f"_{name}"
+    return Measure(name, (F.max(F.when(test, F.lit(1))).alias(part),), F.count(part))
+
+
 def two_level(
     df: DataFrame, keys: list[str], finer: list[str], measures: list[Measure] = (), extra: list[Column] = ()
 ) -> DataFrame:

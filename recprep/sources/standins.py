@@ -136,3 +136,86 @@ def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") * 0.2).alias("volume_sold_gallons"),
         F.to_date("l_shipdate").alias("date"),
     )
+
+
+# --- web shop -------------------------------------------------------------------------
+
+SHOP_KINDS = {"view": "product", "click": "cart", "signup": "department", "error": "home"}
+DEPARTMENTS = ("ECONOMY", "STANDARD", "PROMO", "MEDIUM", "LARGE", "SMALL")
+
+
+def shop_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    key = F.col("c_custkey")
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        key.alias("id"),
+        F.when(key % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+        (F.lit(18) + key % 60).alias("age"),
+        F.col("n_name").alias("country"),
+        F.concat(F.lit("City "), key % 50).alias("city"),
+        F.concat(F.lit("State "), key % 20).alias("state"),
+        F.col("c_mktsegment").alias("traffic_source"),
+    )
+
+
+def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("k", _item_no()).withColumn(
+        "kind", _picked("event_type", SHOP_KINDS)
+    )
+    department = F.element_at(F.array(*[F.lit(d) for d in DEPARTMENTS]), (F.col("k") % len(DEPARTMENTS)).cast("int") + 1)
+    uri = (
+        F.when(F.col("kind") == "product", F.concat(F.lit("/product/"), F.col("k")))
+        .when(F.col("kind") == "cart", F.concat(F.lit("/product/"), F.col("k"), F.lit("/cart")))
+        .when(F.col("kind") == "department", F.concat(F.lit("/department/"), department, F.lit("/category")))
+        .otherwise(F.concat(F.lit("/"), F.col("kind")))
+    )
+    return e.select(
+        F.col("event_id").alias("id"), "user_id", F.col("kind").alias("event_type"),
+        F.col("ts").alias("created_at"), uri.alias("uri"),
+    )
+
+
+def _line_id():
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def shop_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    status = (
+        F.when(F.col("l_returnflag") == "R", F.lit("Returned"))
+        .when(F.col("l_discount") == 0.0, F.lit("Cancelled"))
+        .otherwise(F.lit("Complete"))
+    )
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        _line_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        F.col("l_partkey").alias("product_id"), status.alias("status"), F.col("l_extendedprice").alias("sale_price"),
+    )
+
+
+def shop_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("category"),
+        F.col("p_brand").alias("brand"), (F.col("p_retailprice") * 50.0).alias("retail_price"),
+    )
+
+
+def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"),
+        F.col("o_orderstatus").alias("status"), (F.col("o_orderkey") % 4 + 1).alias("num_of_item"),
+    )
+
+
+def shop_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        _line_id().alias("id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("distribution_center_id"), (F.col("l_extendedprice") * 0.5).alias("cost"),
+        (F.col("l_shipdate") - F.expr("INTERVAL '10' DAY")).alias("created_at"), F.col("l_shipdate").alias("sold_at"),
+    )
+
+
+def shop_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        (F.col("s_nationkey") * 1.5).alias("latitude"), F.col("s_acctbal").alias("longitude"),
+    )
