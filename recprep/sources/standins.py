@@ -219,3 +219,46 @@ def shop_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
         (F.col("s_nationkey") * 1.5).alias("latitude"), F.col("s_acctbal").alias("longitude"),
     )
+
+
+# --- ledger ---------------------------------------------------------------------------
+
+
+def ledger_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transaction per ``lineitem`` row; its inputs and outputs are built inside the row."""
+    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    joined = line.join(orders, line.l_orderkey == orders.o_orderkey).withColumn(
+        "cents", F.rint(F.col("l_extendedprice") * 100).cast("long")
+    )
+
+    def party(address, value):
+        return F.struct(address.alias("address"), value.cast("long").alias("value"))
+
+    supplier = F.concat(F.lit("3S"), F.col("l_suppkey"))
+    payer = F.when(F.col("o_custkey") % 50 != 0, F.concat(F.lit("1C"), F.col("o_custkey")))
+    net = F.expr("cents * (100 - CAST(rint(l_discount * 100) AS BIGINT)) div 100")
+    inputs = F.array_compact(F.array(
+        party(payer, F.col("cents")),
+        F.when(F.col("l_linenumber") % 2 == 0, party(supplier, F.col("l_quantity") * 1000)),
+    ))
+    outputs = F.array_compact(F.array(
+        party(F.concat(F.lit("1P"), F.col("l_partkey")), net),
+        F.when(F.col("l_tax") > 0, party(supplier, F.expr("cents div 20"))),
+        F.when(
+            F.col("l_linenumber") == 7,
+            party(F.concat(F.lit("bc1q"), F.lpad(F.col("l_partkey").cast("string"), 36, "0")), F.col("cents") % 1000),
+        ),
+    ))
+    return joined.select(
+        F.concat(F.lit("tx"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("hash"),
+        F.col("l_orderkey").alias("block_number"),
+        F.col("l_shipdate").alias("block_timestamp"),
+        ((F.col("l_returnflag") == "R") & (F.col("l_discount") == 0)).alias("is_coinbase"),
+        F.size(inputs).alias("input_count"),
+        F.size(outputs).alias("output_count"),
+        F.rint(F.col("l_tax") * 1000).cast("long").alias("fee"),
+        F.col("cents").alias("input_value"),
+        net.cast("long").alias("output_value"),
+        inputs.alias("inputs"),
+        outputs.alias("outputs"),
+    )
