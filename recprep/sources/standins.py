@@ -262,3 +262,159 @@ def ledger_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.alias("inputs"),
         outputs.alias("outputs"),
     )
+
+
+# --- analytics exports ----------------------------------------------------------------
+
+
+def _numbered(word: str, modulus: int):
+    return F.concat(F.lit(word), F.col("user_id") % modulus)
+
+
+def ga4_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as an event-level export: one row per event, its items inside the row."""
+    e = table(spark, sf_dir, "events").withColumn("k", _item_no())
+    cart = (
+        F.when(F.col("k") % 5 == 0, F.lit("remove_from_cart"))
+        .when(F.col("k") % 5 == 1, F.lit("add_to_wishlist"))
+        .when(F.col("k") % 5 == 2, F.lit("begin_checkout"))
+        .otherwise(F.lit("add_to_cart"))
+    )
+    kind = F.col("event_type")
+    name = (
+        F.when(kind == "view", F.lit("view_item")).when(kind == "click", cart)
+        .when(kind == "signup", F.lit("session_start")).when(kind == "error", F.lit("page_view")).otherwise(kind)
+    )
+
+    def item(k, price):
+        return F.struct(
+            F.when(k != 99, F.concat(F.lit("I"), k)).alias("item_id"),
+            F.concat(F.lit("Item "), k).alias("item_name"),
+            F.concat(F.lit("Brand "), k % 11).alias("item_brand"),
+            F.concat(F.lit("Cat "), k % 7).alias("item_category"),
+            *[F.concat(F.lit(f"Cat{i} "), k % i).alias(f"item_category{i}") for i in range(2, 5)],
+            F.lit(None).cast("string").alias("item_category5"),
+            price.alias("price"),
+            (k % 3 + 1).alias("quantity"),
+        )
+
+    k, value = F.col("k"), F.col("value")
+    has_items = kind.isin("view", "click", "purchase")
+    items = F.array_compact(F.array(
+        F.when(has_items, item(k, value)),
+        F.when(has_items & ((kind == "purchase") | (k % 4 == 0)), item((k + 1) % 100, value * 0.5)),
+    ))
+    sale = F.struct(
+        F.concat(F.lit("T"), F.col("event_id")).alias("transaction_id"), (value * 2.0).alias("value"),
+        F.lit("USD").alias("currency"), (value * 0.125).alias("tax"), F.lit(5.0).alias("shipping"),
+    )
+    user = F.col("user_id")
+
+    def prop(key, text):
+        return F.struct(F.lit(key).alias("key"), F.struct(text.alias("string_value")).alias("value"))
+
+    day = F.date_format("ts", "yyyyMMdd")
+    return e.select(
+        F.concat(F.lit("p"), user).alias("user_pseudo_id"),
+        F.when(user % 3 != 0, F.concat(F.lit("U"), user)).alias("user_id"),
+        name.alias("event_name"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        day.alias("event_date"),
+        day.alias("table_suffix"),
+        (F.lit(1_704_067_200_000_000) + user * 1_000_000).alias("user_first_touch_timestamp"),
+        F.struct(
+            _numbered("Continent ", 5).alias("continent"), _numbered("Country ", 25).alias("country"),
+            _numbered("Region ", 40).alias("region"), F.lit(None).cast("string").alias("metro"),
+            _numbered("City ", 60).alias("city"),
+        ).alias("geo"),
+        F.struct(
+            F.concat(F.lit("device"), F.col("event_id") % 3).alias("category"), _numbered("OS ", 4).alias("operating_system"),
+            _numbered("lang", 6).alias("language"), F.struct(_numbered("Browser ", 3).alias("browser")).alias("web_info"),
+        ).alias("device"),
+        F.struct(
+            _numbered("src", 4).alias("source"), _numbered("med", 3).alias("medium"), _numbered("cmp", 2).alias("campaign"),
+        ).alias("traffic_source"),
+        F.array_compact(F.array(
+            prop("tier", _numbered("t", 3)), F.when(user % 7 != 0, prop("user_type", _numbered("type", 2))),
+        )).alias("user_properties"),
+        items.alias("items"),
+        F.when(kind == "purchase", sale).alias("ecommerce"),
+    )
+
+
+def ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a session-level export: a visit per event with a page and an action hit."""
+    e = table(spark, sf_dir, "events").withColumn("k", _item_no()).withColumn(
+        "micros", F.rint(F.col("value") * 1e6).cast("long")
+    )
+    kind, k, user = F.col("event_type"), F.col("k"), F.col("user_id")
+    sold = kind == "purchase"
+
+    def product(number, price):
+        quantity = (number % 3 + 1).cast("long")
+        return F.struct(
+            F.concat(F.lit("S"), number).alias("productSKU"), F.concat(F.lit("Product "), number).alias("v2ProductName"),
+            F.concat(F.lit("Category "), number % 9).alias("v2ProductCategory"),
+            F.concat(F.lit("Brand "), number % 11).alias("productBrand"),
+            F.lit(None).cast("string").alias("productVariant"),
+            price.alias("productPrice"), quantity.alias("productQuantity"),
+            F.when(sold, price * quantity).alias("productRevenue"),
+        )
+
+    action = (
+        F.when(kind == "view", F.lit("2")).when(kind == "click", F.lit("3")).when(kind == "error", F.lit("4"))
+        .when(kind == "signup", F.lit("5")).otherwise(F.lit("6"))
+    )
+    sale = F.when(sold, F.struct(
+        F.concat(F.lit("T"), F.col("event_id")).alias("transactionId"), (F.col("micros") * 2).alias("transactionRevenue"),
+        F.lit("USD").alias("transactionCurrency"), F.expr("micros div 10").alias("transactionTax"),
+        F.lit(5_000_000).cast("long").alias("transactionShipping"),
+    ))
+
+    def hit(kind_, number, path, code, products, transaction):
+        return F.struct(
+            F.lit(kind_).alias("type"), number.alias("hitNumber"), F.struct(path.alias("pagePath")).alias("page"),
+            F.struct(code.alias("action_type")).alias("eCommerceAction"), products.alias("product"),
+            transaction.alias("transaction"),
+        )
+
+    path = F.when(kind.isin("view", "purchase"), F.concat(F.lit("/product/"), k)).otherwise(F.lit("/home"))
+    one = product(k, F.col("micros"))
+    two = F.when(k % 4 == 0, product((k + 1) % 100, F.expr("micros div 2")))
+    nothing = F.when(F.lit(False), sale)
+    hits = F.array(
+        hit("PAGE", F.lit(1) + F.col("event_id") % 50, path, F.lit("0"), F.array(one), nothing),
+        hit("EVENT", F.lit(100) + F.col("event_id") % 50, path, action, F.array_compact(F.array(one, two)), sale),
+    )
+    day = F.date_format("ts", "yyyyMMdd")
+    return e.select(
+        F.concat(F.lit("v"), user).alias("fullVisitorId"),
+        F.col("event_id").alias("visitId"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("visitStartTime"),
+        day.alias("date"),
+        day.alias("table_suffix"),
+        F.struct(
+            _numbered("Continent ", 5).alias("continent"), _numbered("Country ", 25).alias("country"),
+            _numbered("Region ", 40).alias("region"), F.lit(None).cast("string").alias("metro"),
+            _numbered("City ", 60).alias("city"), _numbered("net", 8).alias("networkDomain"),
+        ).alias("geoNetwork"),
+        F.struct(
+            F.concat(F.lit("device"), F.col("event_id") % 3).alias("deviceCategory"),
+            _numbered("OS ", 4).alias("operatingSystem"),
+            F.struct(
+                _numbered("mb", 3).alias("mobileDeviceBranding"), _numbered("mm", 5).alias("mobileDeviceModel"),
+                _numbered("mi", 2).alias("mobileInputSelector"), F.lit(None).cast("string").alias("mobileDeviceMarketingName"),
+            ).alias("mobileDeviceInfo"),
+        ).alias("device"),
+        F.struct(
+            _numbered("src", 4).alias("source"), _numbered("med", 3).alias("medium"), _numbered("cmp", 2).alias("campaign"),
+            _numbered("kw", 9).alias("keyword"), _numbered("/ref/", 6).alias("referralPath"),
+        ).alias("trafficSource"),
+        F.struct(
+            F.lit(1).cast("long").alias("visits"), (k % 3 + 1).cast("long").alias("pageviews"),
+            F.when(kind == "error", F.lit(1).cast("long")).alias("bounces"),
+            F.when(sold, F.lit(1).cast("long")).alias("transactions"),
+            F.when(sold, F.col("micros") * 2).alias("transactionRevenue"),
+        ).alias("totals"),
+        hits.alias("hits"),
+    )
