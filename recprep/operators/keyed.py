@@ -101,6 +101,13 @@ def m_any(name: str, test: Column) -> Measure:
     return Measure(name, (F.max(F.when(test, F.lit(1))).alias(part),), F.count(part))
 
 
+def m_small_domain(name: str, value: Column) -> Measure:
+    """Exact COUNT(DISTINCT value) for integers 0..62, carried as a bit mask."""
+    part = f"_{name}"
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), value.cast("int")))
+    return Measure(name, (mask.alias(part),), F.coalesce(F.bit_count(F.bit_or(part)), F.lit(0)).cast("long"))
+
+
 def two_level(
     df: DataFrame, keys: list[str], finer: list[str], measures: list[Measure] = (), extra: list[Column] = ()
 ) -> DataFrame:

@@ -418,3 +418,75 @@ def ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("totals"),
         hits.alias("hits"),
     )
+
+
+# --- trips ----------------------------------------------------------------------------
+
+
+def taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with its order as trips of suppliers (taxis)."""
+    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    taxi, quantity = F.col("l_suppkey"), F.col("l_quantity")
+    company = F.element_at(
+        F.array(*[F.lit(c) for c in ("Flash Cab Co", "Checker Taxi", "Yellow Cab", "Medallion Inc", "City Taxi")]),
+        (taxi % 5).cast("int") + 1,
+    )
+    payment = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Credit Card"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Cash"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Mobile"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.lit("Dispute"))
+    )
+    pickup, dropoff = F.col("o_custkey") % 80, F.col("l_partkey") % 80
+    pickup = F.when((pickup > 0) & (pickup < 78), pickup)
+    dropoff = F.when((dropoff > 0) & (dropoff < 78), dropoff)
+    fare, tips = quantity * 1.25, F.col("l_discount") * 50.0
+    tolls, extras = F.col("l_tax") * 10.0, (F.col("l_linenumber") % 3) * 0.5
+    hours = F.make_dt_interval(F.lit(0), (F.col("l_partkey") % 24).cast("int"))
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        F.concat(F.lit("T"), taxi).alias("taxi_id"),
+        company.alias("company"),
+        (F.col("l_shipdate") + hours).alias("trip_start_timestamp"),
+        (quantity / 4).alias("trip_miles"),
+        (F.col("l_partkey") % 3600 + 60).alias("trip_seconds"),
+        fare.alias("fare"), tips.alias("tips"), tolls.alias("tolls"), extras.alias("extras"),
+        (fare + tips + tolls + extras).alias("trip_total"),
+        payment.alias("payment_type"),
+        pickup.alias("pickup_community_area"), dropoff.alias("dropoff_community_area"),
+        (F.lit(41.5) + pickup * 0.005).alias("pickup_latitude"), (F.lit(-87.9) + pickup * 0.004).alias("pickup_longitude"),
+        (F.lit(41.5) + dropoff * 0.005).alias("dropoff_latitude"), (F.lit(-87.9) + dropoff * 0.004).alias("dropoff_longitude"),
+    )
+
+
+# --- trends ---------------------------------------------------------------------------
+
+
+def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    customer, nation, part = (table(spark, sf_dir, t) for t in ("customer", "nation", "part"))
+    joined = (
+        line.join(orders, line.l_orderkey == orders.o_orderkey).join(part, line.l_partkey == part.p_partkey)
+        .join(customer, orders.o_custkey == customer.c_custkey).join(nation, customer.c_nationkey == nation.n_nationkey)
+    )
+    words = F.array(*[F.lit(w) for w in ("google ", "how to ", "local news ", "buy ", "", "", "")])
+    cities = F.array(*[F.lit(w) for w in ("New York ", "Los Angeles ", "Chicago ", "Dallas ", "")])
+    return joined.select(
+        F.col("n_nationkey").cast("long").alias("dma_id"),
+        F.concat(F.element_at(cities, F.col("n_nationkey") % 5 + 1), F.col("n_name")).alias("dma_name"),
+        F.col("n_name").alias("country_name"),
+        F.concat(F.element_at(words, (F.col("l_partkey") % 7).cast("int") + 1), F.col("p_name")).alias("term"),
+        F.to_date(F.date_trunc("week", "l_shipdate")).alias("week"),
+        F.to_date("o_orderdate").alias("refresh_date"),
+        (F.lit(1) + (F.col("l_linenumber") + F.col("l_partkey")) % 25).alias("rank"),
+        F.when(F.col("l_discount") > 0, F.col("l_quantity") * 2).alias("score"),
+        (F.col("n_regionkey") == 1).alias("domestic"),
+        (F.col("l_discount") >= 0.08).alias("rising"),
+    )
+
+
+def trend_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Domestic and international rankings, and the same for rising terms."""
+    rows = _rankings(spark, sf_dir)
+    home = rows.where("domestic").drop("country_name")
+    abroad = rows.where("NOT domestic").drop("dma_id", "dma_name")
+    return home, abroad, home.where("rising"), abroad.where("rising")
