@@ -2,6 +2,7 @@
 
 from recprep.catalog.analytics import ANALYTICS_QUERIES
 from recprep.catalog.events import EVENT_QUERIES
+from recprep.catalog.files import FILE_QUERIES
 from recprep.catalog.ledger import LEDGER_QUERIES
 from recprep.catalog.retail import RETAIL_QUERIES
 from recprep.catalog.routes import ROUTE_QUERIES
@@ -16,4 +17,5 @@ ALL_QUERIES = {
     **ANALYTICS_QUERIES,
     **ROUTE_QUERIES,
     **TREND_QUERIES,
+    **FILE_QUERIES,
 }

@@ -11,6 +11,7 @@ from recprep.functions.numeric import clamp
 from recprep.operators.keyed import best_row
 from recprep.operators.ranks import weighted_pick
 from recprep.operators.sampling import Cut, hash_cut, in_cut
+from recprep.session import materialize
 
 NULL_SALT = "null-item"
 COLD_SALT = "cold-item"
@@ -42,28 +43,35 @@ def null_items(events: DataFrame, rate: float, seed: int = SEED) -> DataFrame:
 # --- cold items -----------------------------------------------------------------------
 
 
-def _cold_cut(events: DataFrame, rate: float, seed: int) -> Cut | None:
+def cold_item_cut(events: DataFrame, rate: float, seed: int = SEED) -> Cut | None:
+    """Where the cold sample ends in hash order; runs a job over the distinct items."""
     items = events.select("item_id").where(F.col("item_id").isNotNull()).distinct()
     # half-even, as Python's round
     return hash_cut(items, "item_id", lambda n: F.bround(F.lit(rate) * n), seed, COLD_SALT)
 
 
 def hold_out_cold_items(
-    events: DataFrame, rate: float, seed: int = SEED, tie: Column | None = None
+    events: DataFrame,
+    rate: float,
+    seed: int = SEED,
+    tie: Column | None = None,
+    cut_from: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cold ids, warm events, cold catalog): exactly round(rate * items) items are held out.
 
     Membership is a comparison with the sample's cut position, so splitting the events needs
     no join. Rows without an item are in neither part. The catalog has one row per cold item,
-    the earliest (ties: ``tie``, default MD5 over the row).
+    the earliest (ties: ``tie``, default MD5 over the row). ``cut_from`` is a cheaper table
+    with the same items, if there is one.
     """
-    is_cold = in_cut("item_id", _cold_cut(events, rate, seed), seed, COLD_SALT)
+    source = events if cut_from is None else cut_from
+    is_cold = in_cut("item_id", cold_item_cut(source, rate, seed), seed, COLD_SALT)
     cold_events = events.where(is_cold)
     warm = events.where(F.col("item_id").isNotNull() & ~is_cold)
     key = row_key(events) if tie is None else tie
     keyed = cold_events.withColumn("_tie", key)
     catalog = best_row(keyed, ["item_id"], [F.col("event_time").asc_nulls_last(), F.col("_tie")]).drop("_tie")
-    return cold_events.select("item_id").distinct(), warm, catalog
+    return source.where(is_cold).select("item_id").distinct(), warm, catalog
 
 
 # --- late timestamps ------------------------------------------------------------------
@@ -133,12 +141,27 @@ def append_bot_traffic(
 
     A bot makes 200 events (the last one also the remainder), a few ms apart from the first
     event time on. Items are drawn by popularity^0.75. One row of facts (event count, first
-    time, item count, total weight) goes to the driver to size the range of new rows; pass a
-    table that is already written when recomputing ``events`` is expensive.
+    time, item count, total weight) goes to the driver to size the range of new rows. Counts
+    per item are written once; pass a table that is already written when recomputing
+    ``events`` is expensive.
     """
+    flood = bot_traffic(events, fraction, rate_per_s, gap_min_ms, gap_max_ms, provinces, seed)
+    return events if flood is None else events.unionByName(flood, allowMissingColumns=True)
+
+
+def bot_traffic(
+    events: DataFrame,
+    fraction: float,
+    rate_per_s: float,
+    gap_min_ms: int,
+    gap_max_ms: int,
+    provinces: tuple[str, ...] = PROVINCES,
+    seed: int = SEED,
+) -> DataFrame | None:
+    """Only the bot rows; None when the fraction comes to no row."""
     per_item = events.groupBy("item_id").agg(F.count("*").alias("n"), F.min("event_time").alias("t0"))
     weight = F.rint(F.pow(F.col("n"), F.lit(0.75)) * POPULARITY_UNITS).cast("long")
-    weighed = per_item.withColumn("w", F.when(F.col("item_id").isNotNull(), weight))
+    weighed = materialize(per_item.withColumn("w", F.when(F.col("item_id").isNotNull(), weight)))
     facts = weighed.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.min("t0").alias("t0"),
@@ -147,7 +170,7 @@ def append_bot_traffic(
     ).first()
     n_bot = int(fraction * facts["n"]) if facts["items"] else 0
     if n_bot == 0:
-        return events
+        return None
     bots = max(1, n_bot // EVENTS_PER_BOT)
     per_bot = n_bot // bots
 
@@ -188,21 +211,29 @@ def append_bot_traffic(
         "discount_flag": F.lit(False),
         "true_event_time": event_time,
     }
-    flood = picked.select(*[value.alias(name) for name, value in made.items()])
-    return events.unionByName(flood, allowMissingColumns=True)
+    return picked.select(*[value.alias(name) for name, value in made.items()])
 
 
 # --- all of it ------------------------------------------------------------------------
 
 
 def degrade_human_events(
-    events: DataFrame, cfg: DegradeConfig = DegradeConfig(), seed: int = SEED, key: Column | None = None
+    events: DataFrame,
+    cfg: DegradeConfig = DegradeConfig(),
+    seed: int = SEED,
+    key: Column | None = None,
+    items_from: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Everything but the bots: (events, cold ids, null items, cold catalog). Fully lazy."""
+    """Everything but the bots: (events, cold ids, null items, cold catalog).
+
+    ``items_from``: a cheaper table with the same items (the source before enrichment, say).
+    """
     keyed = events.withColumn("_row", row_key(events) if key is None else key)
-    lost_items = null_items(events, cfg.null_item_rate, seed)
+    lost_items = null_items(events if items_from is None else items_from, cfg.null_item_rate, seed)
     blanked = null_item_attributes(keyed, cfg.null_item_rate, seed)
-    cold, warm, catalog = hold_out_cold_items(blanked, cfg.cold_item_rate, seed, F.col("_row"))
+    cold, warm, catalog = hold_out_cold_items(
+        blanked, cfg.cold_item_rate, seed, F.col("_row"), events if items_from is None else items_from
+    )
     late = jitter_event_time(warm, cfg.jitter_rate_per_s, seed, F.col("_row"))
     kept = drop_pre_purchase_carts(late, cfg.cart_drop_rate, seed, F.col("_row"))
     return kept.drop("_row"), cold, lost_items, catalog.drop("_row")

@@ -228,13 +228,12 @@ def taxi_area_dataset(trips: DataFrame, as_of: str, ordered: bool = False) -> Da
     areas = area_interactions(trips).withColumn(CUSTOMER, F.col(CUSTOMER).cast("string"))
     own = taxi_demographics(trips).withColumn(CUSTOMER, F.col(CUSTOMER).cast("string"))
     behavior = customer_behavior(trips).withColumn(CUSTOMER, F.col(CUSTOMER).cast("string"))
-    # taxi sides hang on the taxi matrix only: join them before the full join
     wide = taxis.alias("t").join(areas.alias("a"), [CUSTOMER, PRODUCT], "full")
     wide = wide.withColumn("_taxi", F.when(F.col("t.trip_count").isNotNull(), F.col(CUSTOMER)))
     return interaction_dataset(
         wide,
         [
-            (own.alias("d").withColumnRenamed(CUSTOMER, "_taxi").alias("d"), ["_taxi"], "left"),
+            (own.withColumnRenamed(CUSTOMER, "_taxi").alias("d"), ["_taxi"], "left"),
             (dropoff_products(trips).alias("p"), [PRODUCT], "left"),
             (behavior.withColumnRenamed(CUSTOMER, "_taxi").alias("b"), ["_taxi"], "left"),
         ],
