@@ -39,16 +39,15 @@ def u01(seed: int, salt: str, *keys: Column) -> Column:
 
 
 def row_key(df: DataFrame, occurrence: bool = False) -> Column:
-    """Key for a row without an id: MD5 over all columns.
+    """Key for a row without an id: 128 hash bits over all columns.
 
-    Exact copies share one key, so they share each draw; ``occurrence=True`` numbers the
-    copies of a row first and is only meant for inputs with few copies of any one row.
+    Two 64-bit hashes read the columns in their binary form, which is many times cheaper than
+    an MD5 over their text. Exact copies share one key, so they share each draw;
+    ``occurrence=True`` numbers the copies of a row first and is only meant for inputs with
+    few copies of any one row.
     """
-    parts = []
-    for name in df.columns:
-        text = F.col(name).cast("string")
-        parts.append(F.coalesce(F.concat(F.lit("="), text), F.lit("~")))
-    key = F.md5(F.concat_ws("\x1f", *parts))
+    names = list(df.columns)
+    key = F.concat_ws("", F.hex(F.xxhash64(*names)), F.hex(F.xxhash64(F.lit("second"), *names)))
     if not occurrence:
         return key
     copy_no = F.row_number().over(Window.partitionBy(*df.columns).orderBy(F.lit(0)))

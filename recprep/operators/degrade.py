@@ -61,17 +61,24 @@ def hold_out_cold_items(
 
     Membership is a comparison with the sample's cut position, so splitting the events needs
     no join. Rows without an item are in neither part. The catalog has one row per cold item,
-    the earliest (ties: ``tie``, default MD5 over the row). ``cut_from`` is a cheaper table
+    the earliest (ties: ``tie``, default a hash of the row). ``cut_from`` is a cheaper table
     with the same items, if there is one.
     """
     source = events if cut_from is None else cut_from
-    is_cold = in_cut("item_id", cold_item_cut(source, rate, seed), seed, COLD_SALT)
-    cold_events = events.where(is_cold)
-    warm = events.where(F.col("item_id").isNotNull() & ~is_cold)
-    key = row_key(events) if tie is None else tie
-    keyed = cold_events.withColumn("_tie", key)
-    catalog = best_row(keyed, ["item_id"], [F.col("event_time").asc_nulls_last(), F.col("_tie")]).drop("_tie")
-    return source.where(is_cold).select("item_id").distinct(), warm, catalog
+    cold = is_cold(cold_item_cut(source, rate, seed), seed)
+    warm = events.where(F.col("item_id").isNotNull() & ~cold)
+    keyed = events.where(cold).withColumn("_tie", row_key(events) if tie is None else tie)
+    return source.where(cold).select("item_id").distinct(), warm, first_of_item(keyed, "_tie").drop("_tie")
+
+
+def is_cold(cut: Cut | None, seed: int = SEED) -> Column:
+    """Is the row's item in the cold sample?"""
+    return in_cut("item_id", cut, seed, COLD_SALT)
+
+
+def first_of_item(events: DataFrame, tie: str) -> DataFrame:
+    """The earliest row of each item."""
+    return best_row(events, ["item_id"], [F.col("event_time").asc_nulls_last(), F.col(tie)])
 
 
 # --- late timestamps ------------------------------------------------------------------
@@ -100,13 +107,14 @@ def jitter_event_time(
 
 
 def drop_pre_purchase_carts(
-    events: DataFrame, rate: float, seed: int = SEED, key: Column | None = None
+    events: DataFrame, rate: float, seed: int = SEED, key: Column | None = None, store: bool = False
 ) -> DataFrame:
     """Lose about ``rate`` of the cart events that a purchase of the same item follows.
 
     Same item means same (user, item, session), NULLs equal. The coin is tossed first, so
     only the unlucky carts (``rate`` of the carts) and the last purchase per group meet in a
-    join; all other events pass through untouched and unshuffled.
+    join; all other events pass through untouched and unshuffled. ``store`` writes the few
+    unlucky carts that survive, so that later passes over the result are plain scans.
     """
     group = ["user_id", "item_id", "user_session"]
     columns = events.columns
@@ -122,7 +130,8 @@ def drop_pre_purchase_carts(
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
     suspects = events.where(unlucky).join(bought, same, "left")
     spared = suspects.where(F.coalesce(F.col("_last_buy") <= F.col("event_time"), F.lit(True)))
-    return events.where(~unlucky).unionByName(spared.select(*columns))
+    spared = spared.select(*columns)
+    return events.where(~unlucky).unionByName(materialize(spared) if store else spared)
 
 
 # --- bot traffic ----------------------------------------------------------------------
@@ -226,17 +235,28 @@ def degrade_human_events(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Everything but the bots: (events, cold ids, null items, cold catalog).
 
-    ``items_from``: a cheaper table with the same items (the source before enrichment, say).
+    The steps that look at one row (blank, cold or not, delay) are one projection. It is
+    written once, with cold items in a partition of their own, and the catalog and the cart
+    step read it. ``items_from``: a cheaper table with the same items (the source before
+    enrichment, say).
     """
+    source = events if items_from is None else items_from
+    columns = events.columns
+    cold = is_cold(cold_item_cut(source, cfg.cold_item_rate, seed), seed)
     keyed = events.withColumn("_row", row_key(events) if key is None else key)
-    lost_items = null_items(events if items_from is None else items_from, cfg.null_item_rate, seed)
     blanked = null_item_attributes(keyed, cfg.null_item_rate, seed)
-    cold, warm, catalog = hold_out_cold_items(
-        blanked, cfg.cold_item_rate, seed, F.col("_row"), events if items_from is None else items_from
+    late = jitter_event_time(blanked, cfg.jitter_rate_per_s, seed, F.col("_row"))
+    stored = materialize(late.withColumn("_cold", cold), ("_cold",))
+    warm = stored.where(~F.col("_cold") & F.col("item_id").isNotNull()).drop("_cold")
+    kept = drop_pre_purchase_carts(warm, cfg.cart_drop_rate, seed, F.col("_row"), store=True)
+    on_time = stored.where(F.col("_cold")).withColumn("event_time", F.col("true_event_time"))
+    catalog = first_of_item(on_time, "_row").select(*columns)
+    return (
+        kept.select(*columns, "true_event_time"),
+        source.where(cold).select("item_id").distinct(),
+        null_items(source, cfg.null_item_rate, seed),
+        catalog,
     )
-    late = jitter_event_time(warm, cfg.jitter_rate_per_s, seed, F.col("_row"))
-    kept = drop_pre_purchase_carts(late, cfg.cart_drop_rate, seed, F.col("_row"))
-    return kept.drop("_row"), cold, lost_items, catalog.drop("_row")
 
 
 def degrade_all(

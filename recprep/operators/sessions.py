@@ -27,7 +27,7 @@ def session_dwell(
     """Set ``engagement_time_msec``: time to the next event of the session, within [0, cap].
 
     The last event of a session gets 0, and so does an event without a time. Events at one
-    instant follow ``tie`` (default: MD5 over the row). Events without a session are not one
+    instant follow ``tie`` (default: a hash of the row). Events without a session are not one
     giant session: they get 0 and are not shuffled (``null_session="isolate"``).
     ``"reference"`` treats them as a single session.
     """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recprep.config import SEED
 from recprep.operators.sampling import hash_cut, in_cut
+from recprep.session import materialize
 
 SPLIT_SALT = "split"
 
@@ -47,12 +48,13 @@ def split_by_user(
     """(train, test) with no user on both sides.
 
     Users below ``min_events`` stay in train. Rows without a user are in neither part
-    (``null_users="drop"``) or in train (``"train"``). Only users whose hash lies below the
-    cut can be test users, so only that slice of the events meets the user list in a join.
+    (``null_users="drop"``) or in train (``"train"``). Eligible users are written once. Only
+    users whose hash lies below the cut can be test users, so only that slice of the events
+    meets the user list in a join.
     """
     if null_users not in ("drop", "train"):
         raise ValueError("null_users is 'drop' or 'train'")
-    eligible = eligible_users(events, min_events)
+    eligible = materialize(eligible_users(events, min_events))
     cut = hash_cut(eligible, "user_id", _size(test_fraction, at_least_one), seed, SPLIT_SALT)
     below = in_cut("user_id", cut, seed, SPLIT_SALT)
     chosen = eligible.where(below)

@@ -75,13 +75,17 @@ def top_up_split(spark: SparkSession, path: str, target_mb: float, user_offset:
 
 def grow_split(spark: SparkSession, train_path: str, test_path: str, cfg: BuildConfig) -> dict[str, int]:
     """Bring both splits to their target size with users that exist in neither."""
+    g = cfg.generate
+    wanted = {train_path: g.min_train_mb, test_path: g.min_test_mb}
+    if all(files.stored_bytes(spark, path) >= mb * MB for path, mb in wanted.items()):
+        return {"n_users_added_train": 0, "n_users_added_test": 0}
 
     def users(path: str) -> int:
         return spark.read.parquet(path).agg(F.count_distinct("user_id")).first()[0]
 
     offset = max(users(train_path), users(test_path)) + generate.USER_OFFSET
-    added = top_up_split(spark, train_path, cfg.generate.min_train_mb, offset, cfg.seed, cfg)
-    more = top_up_split(spark, test_path, cfg.generate.min_test_mb, offset + added, cfg.seed + 1, cfg)
+    added = top_up_split(spark, train_path, g.min_train_mb, offset, cfg.seed, cfg)
+    more = top_up_split(spark, test_path, g.min_test_mb, offset + added, cfg.seed + 1, cfg)
     return {"n_users_added_train": added, "n_users_added_test": more}
 
 
@@ -120,7 +124,6 @@ def build_from_events(
         )
         d = cfg.degrade
         human, cold, lost, catalog = degrade.degrade_human_events(enriched, d, cfg.seed, items_from=source)
-        human = materialize(human)
         bots = degrade.bot_traffic(
             human, d.bot_fraction, d.bot_rate_per_s, d.bot_gap_min_ms, d.bot_gap_max_ms, cfg.provinces, cfg.seed
         )

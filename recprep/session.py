@@ -51,8 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table once to the shared folder and read it back: computed once, lineage cut."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
