@@ -44,8 +44,7 @@ pf0 AS (
 pf AS (SELECT *, COUNT(*) OVER (PARTITION BY category_name) AS category_popularity FROM pf0)"""
 PAIRS = f"""
 spi AS (
-  SELECT store_number AS customer_id, item_number AS product_id, MIN(category_name) AS category_name,
-    MIN(vendor_name) AS vendor_name, COUNT(DISTINCT date) AS purchase_frequency,
+  SELECT store_number AS customer_id, item_number AS product_id, category_name, vendor_name, COUNT(DISTINCT date) AS purchase_frequency,
     CAST(SUM(bottles_sold) AS BIGINT) AS total_bottles_purchased, {fsum('sale_dollars')} AS total_spent,
     {favg('state_bottle_retail')} AS avg_price_per_bottle, {favg('volume_sold_liters')} AS avg_volume_per_transaction,
     MAX(date) AS last_purchase_date, MIN(date) AS first_purchase_date,
@@ -53,7 +52,7 @@ spi AS (
     COUNT(DISTINCT MONTH(date)) AS months_purchased, COUNT(DISTINCT DAYOFWEEK(date)) AS days_of_week_purchased,
     STDDEV_SAMP(state_bottle_retail) AS price_variation, {favg('pack')} AS avg_pack_size,
     STDDEV_SAMP(bottles_sold) AS purchase_quantity_variation
-  FROM sales GROUP BY 1, 2)"""
+  FROM sales GROUP BY 1, 2, 3, 4)"""
 TOP = f"""
 cs AS (SELECT store_number AS customer_id, category_name, {fsum('sale_dollars')} AS spent FROM sales GROUP BY 1, 2),
 cr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY spent DESC, category_name) AS r FROM cs),

@@ -1,8 +1,12 @@
-"""Queries over the analytics exports."""
+"""Queries over the analytics exports.
+
+A full dataset reads its source many times, so the derived source is written once first.
+"""
 
 from __future__ import annotations
 
 from recprep.plans import ga4, ua
+from recprep.session import materialize
 from recprep.sources.standins import ga4_events, ua_sessions
 
 
@@ -27,7 +31,7 @@ def ga_customer_behavior(spark, sf_dir):
 
 
 def ga_main(spark, sf_dir):
-    return ga4.customer_item_dataset(ga4_events(spark, sf_dir))
+    return ga4.customer_item_dataset(materialize(ga4_events(spark, sf_dir)))
 
 
 def ua_customer_demographics(spark, sf_dir):
@@ -51,7 +55,7 @@ def ua_customer_behavior(spark, sf_dir):
 
 
 def ua_main(spark, sf_dir):
-    return ua.visitor_product_dataset(ua_sessions(spark, sf_dir))
+    return ua.visitor_product_dataset(materialize(ua_sessions(spark, sf_dir)))
 
 
 ANALYTICS_QUERIES = {

@@ -1,8 +1,12 @@
-"""Queries over trips."""
+"""Queries over trips.
+
+A full dataset reads its source many times, so the derived source is written once first.
+"""
 
 from __future__ import annotations
 
 from recprep.plans import routes
+from recprep.session import materialize
 from recprep.sources.standins import taxi_trips
 
 AS_OF = "2002-01-01"
@@ -37,7 +41,7 @@ def route_customer_behavior(spark, sf_dir):
 
 
 def route_main(spark, sf_dir):
-    return routes.taxi_area_dataset(taxi_trips(spark, sf_dir), AS_OF)
+    return routes.taxi_area_dataset(materialize(taxi_trips(spark, sf_dir)), AS_OF)
 
 
 ROUTE_QUERIES = {

@@ -1,4 +1,7 @@
-"""Queries over search trends."""
+"""Queries over search trends.
+
+A full dataset reads its source many times, so the derived source is written once first.
+"""
 
 from __future__ import annotations
 
@@ -29,7 +32,7 @@ def trend_region_behavior(spark, sf_dir):
 
 
 def trend_main(spark, sf_dir):
-    return trends.region_term_dataset(*trend_tables(spark, sf_dir), as_of=AS_OF)
+    return trends.region_term_dataset(*trend_tables(spark, sf_dir, store=True), as_of=AS_OF)
 
 
 TREND_QUERIES = {

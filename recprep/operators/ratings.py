@@ -43,7 +43,7 @@ def implicit_ratings(events: DataFrame, cfg: RatingConfig = RatingConfig()) -> D
     lo, hi = F.min("raw_score"), F.max("raw_score")
     span = F.nullif(hi - lo, F.lit(0.0))
     bounds = scored.agg(F.struct(lo.alias("lo"), span.alias("span")).alias("b")).scalar()
-    scaled = F.lit(cfg.high - cfg.low) * (F.col("raw_score") - bounds["lo"]) / bounds["span"]
-    return scored.select(
+    scaled = F.lit(cfg.high - cfg.low) * (F.col("raw_score") - F.col("_b.lo")) / F.col("_b.span")
+    return scored.withColumn("_b", bounds).select(
         "user_id", "item_id", "raw_score", round_to(F.lit(cfg.low) + scaled, 3).alias("pseudo_rating")
     )

@@ -25,27 +25,31 @@ class SplitPlan:
 
 def cut_points(
     df: DataFrame, key: str, order: list[str], plan: SplitPlan, sample_on: list[str] = ()
-) -> DataFrame:
-    """(key, cuts): sorted cut positions for each hot key.
+) -> DataFrame | None:
+    """(key, cuts): sorted cut positions for each hot key; None when no key is hot.
 
-    Rows are sampled by a hash of key, order and ``sample_on``.
+    Rows are sampled by a hash of key, order and ``sample_on``. Usually this is one job over
+    a few columns of the sample that finds no hot key. Otherwise at most ``pieces`` keys and
+    twice as many cut points go through the driver.
     """
     mixed = F.xxhash64(F.lit("cut"), key, *order, *sample_on)
     sample = df.select(key, *order, mixed.alias("_h")).where(
         F.pmod("_h", F.lit(plan.sample_mod)) == 0
     )
     counts = sample.groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t"))
-    wanted = F.ceil(F.col("_n") * F.lit(plan.pieces) / total.scalar())
-    hot = counts.where(
-        (F.col("_n") >= plan.min_hits) & (F.col("_n") * F.lit(plan.pieces) >= total.scalar())
-    ).select(key, wanted.alias("_wanted"))
+    seen = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("most")).first()
+    if seen["most"] is None or seen["most"] < plan.min_hits or seen["most"] * plan.pieces < seen["total"]:
+        return None
+    enough = (F.col("_n") >= plan.min_hits) & (F.col("_n") * F.lit(plan.pieces) >= F.lit(seen["total"]))
+    wanted = F.ceil(F.col("_n") * F.lit(plan.pieces) / F.lit(seen["total"]))
+    hot = counts.where(enough).select(key, wanted.alias("_wanted"))
     ranked = sample.join(F.broadcast(hot), key).withColumn(
         "_rn", F.row_number().over(Window.partitionBy(key).orderBy("_h", *order))
     )
     # at most `pieces` rows of a key pass, also through the limit before the shuffle
     kept = ranked.where(F.col("_rn") <= plan.pieces).where(F.col("_rn") <= F.col("_wanted"))
-    return kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+    cuts = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+    return df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
 
 
 def _piece(order: list[str]) -> Column:
@@ -70,11 +74,11 @@ def next_in_group(
     comes from a table with one row per piece of a hot key. ``order`` must be unique per key.
     Cuts are made along ``cut_order``, a prefix of ``order`` that is cheap to read.
     """
-    if plan is None:
+    along = cut_order or order
+    cuts = None if plan is None else cut_points(df, key, along, plan, sample_on)
+    if cuts is None:
         window = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out, F.lead(order[0]).over(window))
-    along = cut_order or order
-    cuts = cut_points(df, key, along, plan, sample_on)
     marked = df.join(F.broadcast(cuts), key, "left").withColumn("_piece", _piece(along)).drop("_cuts")
     window = Window.partitionBy(key, "_piece").orderBy(*order)
     led = marked.withColumn("_lead", F.lead(order[0]).over(window))

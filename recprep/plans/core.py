@@ -16,15 +16,19 @@ def interaction_dataset(
     keys: list[str] = (CUSTOMER, PRODUCT),
     best: list[Column] | None = None,
     ordered: list[Column] | None = None,
+    name: str | None = "i",
 ) -> DataFrame:
     """Join dimension tables to interactions and project one row per key.
 
     ``sides`` holds (table, join keys, how). Every side has one row per join key, so the joins
     never multiply rows and a hot customer is split by the adaptive skew join. ``best`` picks
     the row to keep when interactions hold several per key; it runs before the joins, so only
-    kept rows are widened. ``ordered`` adds a global sort, which writers do not need.
+    kept rows are widened. ``columns`` may call the interactions by ``name``. ``ordered`` adds
+    a global sort, which writers do not need.
     """
     rows = interactions if best is None else best_row(interactions, list(keys), best)
+    if name is not None:
+        rows = rows.alias(name)
     for table, on, how in sides:
         rows = rows.join(table, on, how)
     out = rows.select(*columns)

@@ -48,7 +48,7 @@ def _named(names: dict[str, str]) -> list:
 
 def _suffix_days(suffix: str, first_micros: str) -> Column:
     """Days from the first event to the newest shard."""
-    return days_between(F.to_date(suffix, "yyyyMMdd"), F.timestamp_micros(first_micros))
+    return days_between(F.col(suffix), F.timestamp_micros(first_micros))
 
 
 def customer_demographics(events: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def customer_product_interactions(events: DataFrame) -> DataFrame:
         m_max("max_quantity_purchased", F.when(bought, quantity.cast("long"))),
         m_min("first_interaction_timestamp", "event_timestamp"),
         m_max("last_interaction_timestamp", "event_timestamp"),
-        m_max("_suffix", "table_suffix"),
+        m_max("_suffix", F.to_date("table_suffix", "yyyyMMdd")),
     ]
     pairs = two_level(_items(_known(events)), [CUSTOMER, PRODUCT], ["event_timestamp"], measures)
     since = _suffix_days("_suffix", "first_interaction_timestamp")
@@ -136,7 +136,7 @@ def customer_behavior(events: DataFrame) -> DataFrame:
         m_avg("avg_transaction_value", paid),
         m_min("first_event_timestamp", "event_timestamp"),
         m_max("last_event_timestamp", "event_timestamp"),
-        m_max("_suffix", "table_suffix"),
+        m_max("_suffix", F.to_date("table_suffix", "yyyyMMdd")),
     ]
     out = two_level(flat, [CUSTOMER], ["event_timestamp"], measures)
     return out.withColumn("customer_lifetime_days", _suffix_days("_suffix", "first_event_timestamp")).drop("_suffix")
@@ -198,7 +198,7 @@ def customer_item_dataset(events: DataFrame, ordered: bool = False) -> DataFrame
     never NULL; that join multiplies rows the dedupe removes again, so it is left out.
     """
     return interaction_dataset(
-        customer_product_interactions(events).alias("i"),
+        customer_product_interactions(events),
         [
             (customer_demographics(events).alias("d"), [CUSTOMER], "left"),
             (product_features(events).alias("p"), [PRODUCT], "left"),

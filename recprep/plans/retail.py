@@ -83,12 +83,10 @@ def product_features(sales: DataFrame) -> DataFrame:
 
 
 def store_product_interactions(sales: DataFrame) -> DataFrame:
-    """One row per (store, item). Category and vendor are the item's smallest names."""
+    """One row per (store, item, category, vendor) as sold."""
     both = _items(_stores(sales)).withColumn("_month", F.month("date")).withColumn("_dow", F.dayofweek("date"))
     # the only wide DISTINCT is the date; months and weekdays are bit masks
-    return both.groupBy(CUSTOMER, PRODUCT).agg(
-        F.min("category_name").alias("category_name"),
-        F.min("vendor_name").alias("vendor_name"),
+    return both.groupBy(CUSTOMER, PRODUCT, "category_name", "vendor_name").agg(
         F.count_distinct("date").alias("purchase_frequency"),
         F.sum(F.col("bottles_sold").cast("long")).alias("total_bottles_purchased"),
         num.fixed_sum("sale_dollars").alias("total_spent"),
@@ -183,15 +181,18 @@ def _main_columns(as_of: str) -> list[Column]:
 
 
 def store_product_dataset(sales: DataFrame, as_of: str, ordered: bool = False) -> DataFrame:
-    """One row per (store, item) with bottles sold."""
+    """One row per (store, item) with bottles sold: the one with the highest spend."""
     interactions = store_product_interactions(sales).where(F.col("total_bottles_purchased") > 0)
     return interaction_dataset(
-        interactions.alias("i"),
+        interactions,
         [
             (product_features(sales).alias("p"), [PRODUCT], "inner"),
             (store_demographics(sales), [CUSTOMER], "inner"),
             (store_behavior(sales, as_of), [CUSTOMER], "inner"),
         ],
         _main_columns(as_of),
+        best=[
+            F.desc("total_spent"), F.desc("purchase_frequency"), F.col("category_name"), F.col("vendor_name"),
+        ],
         ordered=[F.col(CUSTOMER), F.col(PRODUCT)] if ordered else None,
     )

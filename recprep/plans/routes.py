@@ -238,5 +238,6 @@ def taxi_area_dataset(trips: DataFrame, as_of: str, ordered: bool = False) -> Da
             (behavior.withColumnRenamed(CUSTOMER, "_taxi").alias("b"), ["_taxi"], "left"),
         ],
         _main_columns(as_of),
+        name=None,  # both matrices keep their own aliases
         ordered=[F.col(CUSTOMER), F.col(PRODUCT)] if ordered else None,
     )

@@ -167,7 +167,7 @@ def region_term_dataset(
     """Per (region, term) the highest-scoring ranking."""
     interactions = region_term_interactions(domestic, international)
     return interaction_dataset(
-        interactions.alias("i"),
+        interactions,
         [
             (region_demographics(domestic, international).alias("d"), [CUSTOMER], "left"),
             (term_features(domestic, international).alias("t"), [PRODUCT], "left"),

@@ -161,10 +161,10 @@ def customer_behavior(sessions: DataFrame) -> DataFrame:
         m_avg("_mean", paid, 0),
         m_min("first_visit_timestamp", "_visit"),
         m_max("last_visit_timestamp", "_visit"),
-        m_max("_suffix", "table_suffix"),
+        m_max("_suffix", F.to_date("table_suffix", "yyyyMMdd")),
     ]
     out = two_level(_known(sessions), [CUSTOMER], ["visitId"], measures, [F.count("visitId").alias("session_count")])
-    lifetime = days_between(F.to_date("_suffix", "yyyyMMdd"), F.col("first_visit_timestamp"))
+    lifetime = days_between(F.col("_suffix"), F.col("first_visit_timestamp"))
     return out.withColumns({
         "total_revenue": F.col("_revenue") / MICROS,
         "avg_transaction_value": F.col("_mean") / MICROS,
@@ -218,7 +218,7 @@ def _main_columns() -> list[Column]:
 def visitor_product_dataset(sessions: DataFrame, ordered: bool = False) -> DataFrame:
     """One row per (visitor, SKU); the redundant transaction join is left out as in ``ga4``."""
     return interaction_dataset(
-        customer_product_interactions(sessions).alias("i"),
+        customer_product_interactions(sessions),
         [
             (customer_demographics(sessions).alias("d"), [CUSTOMER], "left"),
             (product_features(sessions).alias("p"), [PRODUCT], "left"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recprep.session import materialize
 from recprep.sources.events import harmonize_behavior, harmonize_orders
 
 EVENT_TYPES = {"view": "view", "click": "cart", "purchase": "purchase", "signup": "remove_from_cart"}
@@ -484,9 +485,13 @@ def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trend_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def trend_tables(
+    spark: SparkSession, sf_dir: str, store: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Domestic and international rankings, and the same for rising terms."""
     rows = _rankings(spark, sf_dir)
+    if store:
+        rows = materialize(rows)
     home = rows.where("domestic").drop("country_name")
     abroad = rows.where("NOT domestic").drop("dma_id", "dma_name")
     return home, abroad, home.where("rising"), abroad.where("rising")
