@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from recprep.llm import bpe, exact_dedup, packing, quality, rules, simhash, warc
+from recprep.llm import bpe, exact_dedup, packing, pii, ppm, quality, rules, simhash, warc
 from recprep.llm.common import crc_rest, table
 
 
@@ -37,11 +37,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).withColumn("n_replaced", F.size("pii_found").cast("long"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_rest("doc_id", 7) == 2
+    return ppm.score(docs, docs.filter(~held_out)).withColumn("held_out", held_out)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -57,7 +68,9 @@ LLM_QUERIES = {
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_ppm": op8_ppm,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
 }
