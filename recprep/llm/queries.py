@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from recprep.llm import bpe, exact_dedup, packing, pii, ppm, quality, rules, simhash, warc
+from recprep.llm import bpe, exact_dedup, lines, packing, pii, ppm, quality, rules, simhash, warc
 from recprep.llm.common import crc_rest, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,

@@ -43,16 +43,19 @@ def fingerprint(text: str, words: int, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, *, words: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a long) of every document; null text is empty."""
+    """doc_id, h (hash of the text) and ``fp`` (the 64 bits as a long) of every document; null text is empty."""
     arrow_batches(df.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "h", "fp"]
+            )
 
-    rows = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    text = text_of(text_col)
+    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, fp long")
 
 
 def ball(low: int, high: int, flips: int) -> np.ndarray:
@@ -199,6 +202,15 @@ def links(nodes: DataFrame, radius: int = 4, *, bucket_variants: int = 1 << 21)
     return dealt.groupBy("bucket").applyInArrow(work, "a long, b long").distinct()
 
 
+def _grouped(df: DataFrame, words: int, radius: int, id_col: str, text_col: str, bucket_variants: int) -> DataFrame:
+    """doc_id, h, fp, root (a fingerprint that names the component)."""
+    docs = materialize(fingerprints(df, words=words, id_col=id_col, text_col=text_col))
+    nodes = materialize(docs.select("fp").distinct())
+    roots = connected_components(links(nodes, radius, bucket_variants=bucket_variants))
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return docs.join(rooted, "fp")
+
+
 def near_duplicates(
     df: DataFrame, *, words: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text",
     bucket_variants: int = 1 << 21,
@@ -210,12 +222,24 @@ def near_duplicates(
     its name unless all are null; repeated rows stay repeated; an empty table gives no rows;
     other columns are left out.
     """
-    docs = materialize(fingerprints(df, words=words, id_col=id_col, text_col=text_col))
-    nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = connected_components(links(nodes, radius, bucket_variants=bucket_variants))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
-    names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return docs.join(named, "fp").select("doc_id", "fp", "component_id")
+    found = _grouped(df, words, radius, id_col, text_col, bucket_variants)
+    names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(names, "root").select("doc_id", "fp", "component_id")
+
+
+def keep_one(
+    df: DataFrame, *, words: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text",
+    bucket_variants: int = 1 << 21,
+) -> DataFrame:
+    """The table with one row of each component: the one with the smallest id (null ids last).
+
+    Of rows that repeat id and text one is kept. All columns stay as they are.
+    """
+    found = _grouped(df, words, radius, id_col, text_col, bucket_variants)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("f"))
+    chosen = first.select(F.col("f.doc_id").alias("chosen_id"), F.col("f.h").alias("chosen_h"))
+    hashed = df.withColumn("row_hash", F.xxhash64(text_of(f"`{text_col}`")))
+    same = hashed[f"`{id_col}`"].eqNullSafe(chosen.chosen_id) & (hashed["row_hash"] == chosen.chosen_h)
+    return hashed.join(chosen, same, "left_semi").dropDuplicates([id_col, "row_hash"]).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
