@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,13 @@ def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are stored: it drops them when
+    the driver's garbage collection finds their plans unused, which else may take half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

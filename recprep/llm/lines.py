@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, text_of
+from recprep.llm.common import arrow_batches, release, text_of
 from recprep.session import materialize
 
 _SKETCH = 1 << 22  # counters for the frequency of words: 16 MB, whatever the vocabulary
@@ -20,7 +20,7 @@ _DOC_BITS = 1 << 22  # bits of a filter over documents
 
 @dataclass(frozen=True)
 class Lines:
-    """Lines of some texts as sets of words. Words of line i: words[start[i]:start[i + 1]], ascending."""
+    """Lines of some texts as sets of words. Words of line i: words[start[i]:start[i + 1]], in the order asked for."""
 
     doc: np.ndarray  # place of the text
     number: np.ndarray  # line number in the text, from 0
@@ -28,8 +28,11 @@ class Lines:
     words: np.ndarray  # 64-bit hashes
 
 
-def parse(texts: list[str], least: int) -> Lines:
-    """All lines with at least ``least`` distinct words; words are compared with A-Z in lower case."""
+def parse(texts: list[str], least: int, counts: np.ndarray | None = None) -> Lines:
+    """All lines with at least ``least`` distinct words; words are compared with A-Z in lower case.
+
+    Words of a line are in order of hash, or with ``counts`` (see :func:`word_sketch`) rare ones first.
+    """
     flat: list[bytes] = []
     doc, number, sizes = [], [], []
     for d, text in enumerate(texts):
@@ -43,17 +46,20 @@ def parse(texts: list[str], least: int) -> Lines:
     coded = pa.array(flat, pa.binary()).dictionary_encode()
     digest = xxhash.xxh3_64_intdigest
     hashes = np.array([digest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    words = hashes[coded.indices.to_numpy(zero_copy_only=False)] if flat else hashes
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((words, line))
-    words, line = words[order], line[order]
-    fresh = np.ones(len(words), bool)
-    fresh[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-    words, line = words[fresh], line[fresh]
-    counts = np.bincount(line, minlength=len(sizes))
-    kept = counts >= least
-    words = words[kept[line]] if len(words) else words
-    start = np.concatenate(([0], np.cumsum(counts[kept])))
+    keys = (hashes,) if counts is None else (hashes, counts[(hashes & np.uint64(_SKETCH - 1)).astype(np.int64)])
+    order = np.lexsort(keys)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    # Line and rank in one number: a plain sort puts words in order and repeats side by side.
+    both = np.repeat(np.arange(len(sizes)), sizes) * max(1, len(order)) + rank[coded.indices.to_numpy(zero_copy_only=False)]
+    both.sort()
+    fresh = np.ones(len(both), bool)
+    fresh[1:] = both[1:] != both[:-1]
+    line, place = np.divmod(both[fresh], max(1, len(order)))
+    counted = np.bincount(line, minlength=len(sizes))
+    kept = counted >= least
+    words = hashes[order][place][kept[line]]
+    start = np.concatenate(([0], np.cumsum(counted[kept])))
     return Lines(np.array(doc, np.int64)[kept], np.array(number, np.int64)[kept], start, words)
 
 
@@ -83,9 +89,11 @@ def parity(lines: Lines) -> np.ndarray:
 
 
 def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents are told apart by id and text; rows that repeat both are one document."""
+    """doc, h, text. Documents are told apart by id, and where ids repeat or lack by a hash of the text too."""
+    ids = df.groupBy(F.col(f"`{id_col}`").alias("i")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR i IS NULL")
     text = text_of(text_col)
-    return df.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
+    h = F.lit(0).cast("long") if ids.isEmpty() else F.xxhash64(text)
+    return df.select(F.col(f"`{id_col}`").alias("doc"), h.alias("h"), text.alias("text"))
 
 
 _AT = ("doc", "h", "line")
@@ -97,37 +105,44 @@ def _order(*columns: str) -> Column:
     return F.struct(doc.isNull().alias("no_id"), doc.alias("doc"), h.alias("h"), line.alias("line"))
 
 
-def line_keys(docs: DataFrame, least: int) -> DataFrame:
-    """doc, h, line, key1, key2 of all lines that have enough words."""
+def scan(docs: DataFrame, least: int) -> DataFrame:
+    """One pass over all lines: rows with their keys (bucket null), and the number of lines per bucket of words."""
     kind = docs.schema["doc"].dataType.simpleString()
+    names = [*_AT, "key1", "key2", "bucket", "lines"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, types = np.zeros(_SKETCH, np.int32), None
         for batch in batches:
             lines = parse(batch.column(2).to_pylist(), least)
+            np.add.at(seen, (lines.words & np.uint64(_SKETCH - 1)).astype(np.int64), 1)
             one, two = set_keys(lines)
-            at = pa.array(lines.doc)
+            at, n = pa.array(lines.doc), len(lines.doc)
+            types = batch.column(0).type
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.number), pa.array(one), pa.array(two)],
-                names=[*_AT, "key1", "key2"],
+                [
+                    batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.number), pa.array(one), pa.array(two),
+                    pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
+                ],
+                names=names,
+            )
+        used = np.flatnonzero(seen)
+        for at in range(0, len(used), 100_000):
+            part = used[at : at + 100_000]
+            none = pa.nulls(len(part), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(part), types), none, none, none, none, pa.array(part.astype(np.int32)), pa.array(seen[part])], names=names
             )
 
-    return docs.mapInArrow(work, f"doc {kind}, h long, line long, key1 long, key2 long")
+    return docs.mapInArrow(work, f"doc {kind}, h long, line long, key1 long, key2 long, bucket int, lines int")
 
 
-def word_sketch(docs: DataFrame, least: int) -> np.ndarray:
+def word_sketch(scanned: DataFrame) -> np.ndarray:
     """Number of lines per bucket of words, over all lines: what rarity is judged by.
 
     A fixed number of counters. Words that share one look more frequent than they are, which
     costs time, not results: any one order of words gives the same pairs.
     """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = parse(batch.column(0).to_pylist(), least)
-            bucket, n = np.unique(lines.words & np.uint64(_SKETCH - 1), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(n)], names=["bucket", "n"])
-
-    sums = docs.select("text").mapInArrow(work, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = scanned.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("lines").alias("n")).toArrow()
     out = np.zeros(_SKETCH, np.int64)
     out[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
@@ -185,15 +200,14 @@ def postings(docs: DataFrame, threshold: float, least: int, sketch) -> DataFrame
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
-            lines = parse(batch.column(2).to_pylist(), least)
+            lines = parse(batch.column(2).to_pylist(), least, counts)
             good = _only(lines, batch.column(3).to_pylist() if limited else None)
             n = np.diff(lines.start)
             line = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((lines.words, counts[(lines.words & np.uint64(_SKETCH - 1)).astype(np.int64)], line))
-            place = np.arange(len(order)) - np.repeat(lines.start[:-1], n)
+            place = np.arange(len(line)) - np.repeat(lines.start[:-1], n)
             prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
             taken = (place < prefix[line]) & good[line]
-            line, place, word = line[taken], place[taken], lines.words[order][taken]
+            line, place, word = line[taken], place[taken], lines.words[taken]
             at = pa.array(lines.doc[line])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -228,22 +242,30 @@ def _pairs(joined: DataFrame, threshold: float) -> DataFrame:
 _OTHER = {c: f"{c}2" for c in (*_AT, "n", "place", "parity")}
 
 
-def pivot_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+def meetings(rows: DataFrame) -> DataFrame:
+    """Postings of words that occur in more than one prefix, each beside the first line of its word.
+
+    One shuffle and one sort; the window streams through a word's lines. ``turn`` numbers them.
+    """
+    by_word = Window.partitionBy("word").orderBy(F.col("doc").isNull(), "doc", "h", "line")
+    head = F.first(F.struct(*_OTHER)).over(by_word)
+    met = rows.withColumns({
+        "turn": F.row_number().over(by_word), "more": F.lead(F.lit(1)).over(by_word), "head": head,
+    }).filter("turn > 1 OR more IS NOT NULL")
+    return met.select(*rows.columns, "turn", *[F.col(f"head.{c}").alias(o) for c, o in _OTHER.items()])
+
+
+def pivot_pairs(met: DataFrame, threshold: float) -> DataFrame:
     """Each line with the first line of each of its prefix words: as many pairs as postings at most."""
-    firsts = rows.groupBy("word").agg(
-        F.min(F.struct(_order(*_AT).alias("at"), "n", "place", "parity")).alias("p"), F.count(F.lit(1)).alias("lines")
-    ).filter("lines > 1")
-    heads = firsts.select(
-        "word", F.col("p.at.doc").alias("doc2"), F.col("p.at.h").alias("h2"), F.col("p.at.line").alias("line2"),
-        F.col("p.n").alias("n2"), F.col("p.place").alias("place2"), F.col("p.parity").alias("parity2"),
-    )
-    return _pairs(rows.join(heads, "word"), threshold)
+    return _pairs(met.filter("turn > 1"), threshold)
 
 
-def all_pairs(rows: DataFrame, open_lines: DataFrame, threshold: float) -> DataFrame:
-    """Candidates of the lines in ``open_lines`` among all earlier lines with a common prefix word."""
-    probes = _semi(rows, open_lines)
-    return _pairs(probes.join(rows.withColumnsRenamed(_OTHER), "word"), threshold)
+def all_pairs(met: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
+    """Candidates of lines that are not ``settled`` among all earlier lines of a word but the first."""
+    own = [c for c in met.columns if c not in _OTHER.values()]
+    probes = _semi(met.filter("turn > 2").select(*own), settled, "left_anti")
+    others = met.filter("turn > 1").select("word", *[F.col(c).alias(o) for c, o in _OTHER.items()])
+    return _pairs(probes.join(others, "word"), threshold)
 
 
 def _semi(rows: DataFrame, at: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -281,27 +303,32 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, least: int = 3) -> Da
     """doc, h, line of every line that is like an earlier one. docs: doc, h, text."""
     spark = docs.sparkSession
     arrow_batches(spark)
-    keys = materialize(line_keys(docs, least))
+    scanned = materialize(scan(docs, least))
+    keys = scanned.filter("bucket IS NULL").select(*_AT, "key1", "key2")
     firsts = keys.groupBy("key1", "key2").agg(F.min(_order(*_AT)).alias("first"), F.count(F.lit(1)).alias("n"))
     shared = keys.join(firsts.filter("n > 1"), ["key1", "key2"])
     copies = materialize(shared.filter(_order(*_AT) != F.col("first")).select(*_AT).distinct())
 
-    sketch = spark.sparkContext.broadcast(word_sketch(docs, least))
+    sketch = spark.sparkContext.broadcast(word_sketch(scanned))
     with_copies = spark.sparkContext.broadcast(_doc_filter(copies))
+    release(spark)
     rest = _semi(keys.select(*_AT), copies, "left_anti")
     some = _pass(docs, with_copies, True).dropDuplicates(["doc", "h"]).alias("d")
     wanted = rest.groupBy("doc", "h").agg(F.collect_list("line").alias("only")).alias("w")
     same = F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.h") == F.col("w.h"))
     mixed = some.join(wanted, same).select("d.doc", "d.h", "text", "only")
-    rows = materialize(
-        postings(mixed, threshold, max(least, 4), sketch)
-        .unionByName(postings(_pass(docs, with_copies, False), threshold, max(least, 4), sketch))
+    # Sets of three words or fewer have no partner but their copies (for a threshold over 0.75).
+    floor = max(least, 4) if threshold > 0.75 else least
+    rows = postings(mixed, threshold, floor, sketch).unionByName(
+        postings(_pass(docs, with_copies, False), threshold, floor, sketch)
     )
-
-    found = materialize(verify(docs, materialize(pivot_pairs(rows, threshold)), threshold, least))
-    open_lines = _semi(rows.select(*_AT).distinct(), found, "left_anti")
-    more = materialize(all_pairs(rows, open_lines, threshold))
-    late = verify(docs, more, threshold, least)
+    met = materialize(meetings(rows))
+    release(spark)
+    found = materialize(verify(docs, materialize(pivot_pairs(met, threshold)), threshold, least))
+    release(spark)
+    more = materialize(all_pairs(met, found, threshold))
+    late = materialize(verify(docs, more, threshold, least))
+    release(spark)
     return materialize(copies.unionByName(found).unionByName(late).distinct())
 
 
@@ -344,7 +371,8 @@ def clean(
     removed = removed_lines(_docs(df, id_col, text_col), threshold, least_words)
     per_doc = removed.groupBy("doc", "h").agg(F.collect_list("line").alias("removed")).alias("r")
     text = F.col(f"d.`{text_col}`")
-    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("r.doc")) & (F.xxhash64(text_of(f"d.`{text_col}`")) == F.col("r.h"))
+    by_text = (F.col("r.h") == 0) | (F.xxhash64(text_of(f"d.`{text_col}`")) == F.col("r.h"))
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("r.doc")) & by_text
     lines = F.split(text, "\n")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("r.removed", i.cast("long"))), "\n")
     new = F.when(F.col("r.removed").isNull(), text).otherwise(left).alias(text_col)
