@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -17,63 +18,6 @@ from recprep.llm.chunks import ChunkEncoder
 from recprep.llm.common import arrow_batches, text_of
 
 
-_BITS = 8  # a word of a bitmap has 2 ** _BITS bits
-_MASK = (1 << _BITS) - 1
-
-
-class RankQueue:
-    """Positions in buckets by rank; a hierarchy of bitmaps finds the lowest rank in use.
-
-    Bit r of level 0 says that bucket r holds something, bit w of the next level that word w
-    of the level below is not zero, and so on up to one word. Find-first-set from the top
-    gives the lowest rank in as many steps as there are levels, however long the pre-token is.
-    A bucket is a heap, so equal ranks come out from left to right.
-    """
-
-    def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        size = max(ranks, 1)
-        while not self.levels or len(self.levels[-1]) > 1:
-            size = (size + _MASK) >> _BITS
-            self.levels.append([0] * size)
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word = rank >> _BITS
-            held = level[word]
-            level[word] = held | 1 << (rank & _MASK)
-            if held:
-                return
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        """Lowest rank, leftmost position; None when empty."""
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            if not word:
-                return None
-            rank = rank << _BITS | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        at = rank
-        for level in self.levels:
-            word = at >> _BITS
-            level[word] ^= 1 << (at & _MASK)
-            if level[word]:
-                break
-            at = word
-        return rank, bucket[0]
-
-
 class BytePairs:
     """Encode and decode by a table of ranks; a token's id is its rank."""
 
@@ -81,13 +25,14 @@ class BytePairs:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.byte_ids = [ranks.get(bytes([b])) for b in range(256)]
+        # One number per pair. With a power of two for a stride, equal right sides would collide in the table.
+        self.stride = (max(ranks.values(), default=0) | 1) + 2
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 left, right = ranks.get(token[:k]), ranks.get(token[k:])
                 if left is not None and right is not None:
-                    self.pairs[left << 32 | right] = rank
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+                    self.pairs[left * self.stride + right] = rank
         # Python's \s has four control characters more than the Unicode white space meant here.
         space = r"\p{White_Space}"
         self.pattern = regex.compile(pattern.replace(r"[^\s", "[^" + space).replace(r"\S", r"\P{White_Space}").replace(r"\s", space))
@@ -95,37 +40,66 @@ class BytePairs:
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: merge the lowest-ranked pair, leftmost first, until none is left.
 
-        Positions are nodes of a linked list. A popped entry whose pair has changed since it
-        was pushed is stale and skipped.
+        The rank queue: a bucket per rank holds positions of the linked list (a heap, so equal
+        ranks come from left to right). ``words`` are bitmaps of 256 ranks that say which buckets
+        are in use, ``top`` says which words are; find-first-set in both gives the next rank,
+        however long the pre-token is. A popped entry whose pair has changed since it was
+        pushed is stale and skipped. The queue is written out here because calls cost more
+        than its steps.
         """
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         ids = [self.byte_ids[b] for b in piece]
-        end, pairs, queue = len(ids), self.pairs.get, self.queue
+        end, pairs, stride = len(ids), self.pairs.get, self.stride
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        for i in range(end - 1):
-            rank = pairs(ids[i] << 32 | ids[i + 1])
-            if rank is not None:
-                queue.push(rank, i)
-        while (item := queue.pop()) is not None:
-            rank, i = item
+        buckets: dict[int, list[int]] = {}
+        words: dict[int, int] = {}
+        top = 0
+        fresh = [(pairs(a * stride + b), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+        while True:
+            for rank, i in fresh:
+                if rank is None:
+                    continue
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                    continue
+                buckets[rank] = [i]
+                word = rank >> 8
+                if word in words:
+                    words[word] |= 1 << (rank & 255)
+                else:
+                    words[word] = 1 << (rank & 255)
+                    top |= 1 << word
+            if not top:
+                return [i for i in ids if i >= 0]
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            rank = word << 8 | (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                bits &= bits - 1
+                if bits:
+                    words[word] = bits
+                else:
+                    del words[word]
+                    top &= top - 1
+            fresh = []
             j = after[i]
-            if ids[i] < 0 or j >= end or pairs(ids[i] << 32 | ids[j]) != rank:
+            if ids[i] < 0 or j >= end or pairs(ids[i] * stride + ids[j]) != rank:
                 continue
             ids[i], ids[j] = rank, -1
             k, h = after[j], before[i]
             after[i] = k
             if k < end:
                 before[k] = i
-                new = pairs(rank << 32 | ids[k])
-                if new is not None:
-                    queue.push(new, i)
+                fresh.append((pairs(rank * stride + ids[k]), i))
             if h >= 0:
-                new = pairs(ids[h] << 32 | rank)
-                if new is not None:
-                    queue.push(new, h)
-        return [i for i in ids if i >= 0]
+                fresh.append((pairs(ids[h] * stride + rank), h))
 
     def encode(self, text: str) -> list[int]:
         return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
@@ -134,13 +108,17 @@ class BytePairs:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> tuple[BytePairs, ChunkEncoder]:
     """Once per Python worker: the table at ``path`` (base64 token and rank per line)."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     model = BytePairs(ranks, pattern)
-    return model, ChunkEncoder(lambda chunks: [np.array(model.encode(c), "<u4").tobytes() for c in chunks])
+    return model, ChunkEncoder(lambda chunks: [_packed(model.encode(c)) for c in chunks])
 
 
 def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,4 +166,4 @@ def digests(decoded: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["BytePairs", "RankQueue", "decode", "digests", "encode"]
+__all__ = ["BytePairs", "decode", "digests", "encode"]

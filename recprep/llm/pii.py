@@ -165,8 +165,8 @@ def _spoken(word: Column, stream: Column, gender: Column) -> Column:
     )
 
 
-def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
-    """The replacement for a mention.
+def surrogate(value: Column, kind: Column, stream: Column, attempt: Column, key: str) -> Column:
+    """The replacement for a mention; ``stream`` is its :func:`_stream` of the same attempt.
 
     It has the kind, script, case, length and punctuation of the mention. Card numbers pass the
     Luhn test and keep the first digit, telephone numbers keep the first digit of the country,
@@ -174,8 +174,6 @@ def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     title; each word of a name has one replacement per gender, so a surname is the same in all
     its mentions. It depends on the canonical entity and the key alone: equal in all documents.
     """
-    what = canonical(value, kind)
-    stream = _stream(key, kind, what, attempt)
     digits = digits_of(value)
     plain = F.lit(False)
 
@@ -225,15 +223,20 @@ def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     )
 
 
+def _matches(text: Column) -> Column:
+    """All matches in a text as (value, kind, what), in order. Each step names its fields once, so
+    that later steps refer to them and don't repeat the expressions."""
+    found = F.regexp_extract_all(text, F.lit(ANY), 0)
+    kinds = F.transform(found, lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind")))
+    return F.transform(kinds, lambda m: F.struct(
+        m["value"].alias("value"), m["kind"].alias("kind"), canonical(m["value"], m["kind"]).alias("what")
+    ))
+
+
 def mentions(text: Column) -> Column:
-    """Array of (kind, what, value) found in a text, in order; empty for null."""
-    found = F.transform(
-        F.regexp_extract_all(text, F.lit(ANY), 0),
-        lambda m: F.struct(kind_of(m).alias("kind"), canonical(m, kind_of(m)).alias("what"), m.alias("value")),
-    )
-    kept = F.filter(found, lambda m: m["kind"].isNotNull())
-    none = F.array().cast("array<struct<kind:string,what:string,value:string>>")
-    return F.when(text.rlike(HINT), kept).otherwise(none)
+    """Array of (value, kind, what) of the entities in a text, in order; empty for null."""
+    none = F.array().cast("array<struct<value:string,kind:string,what:string>>")
+    return F.when(text.rlike(HINT), F.filter(_matches(text), lambda m: m["kind"].isNotNull())).otherwise(none)
 
 
 def retries(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame:
@@ -246,8 +249,10 @@ def retries(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame:
     state = entities.withColumn("attempt", F.lit(0))
     real = entities.select(F.col("kind").alias("real_kind"), F.col("what").alias("real_what"))
     for _ in range(rounds):
-        new = surrogate(F.col("value"), F.col("kind"), F.col("attempt"), key)
-        made = materialize(state.withColumn("made", canonical(new, F.col("kind"))))
+        kind = F.col("kind")
+        streams = materialize(state.withColumn("stream", _stream(key, kind, F.col("what"), F.col("attempt"))))
+        new = streams.withColumn("new", surrogate(F.col("value"), kind, F.col("stream"), F.col("attempt"), key))
+        made = materialize(new.drop("stream")).withColumn("made", canonical(F.col("new"), kind)).drop("new")
         same = F.row_number().over(Window.partitionBy("kind", "made").orderBy("what")) > 1
         clash = materialize(
             made.withColumn("same", same)
@@ -301,17 +306,27 @@ def replace(
 
 def _rewrite(df: DataFrame, text_col: str, found_col: str, key: str, attempt_of) -> DataFrame:
     text = F.col(f"`{text_col}`")
-
-    def new(m: Column) -> Column:
-        kind = kind_of(m)
-        return F.coalesce(surrogate(m, kind, attempt_of(kind, canonical(m, kind)), key), m)
-
-    hits = F.regexp_extract_all(text, F.lit(ANY), 0)
-    gaps = F.split(text, ANY)
-    joined = F.array_join(F.zip_with(gaps, hits, lambda g, m: F.concat(g, F.when(m.isNull(), "").otherwise(
-        F.when(kind_of(m).isNull(), m).otherwise(new(m))
-    ))), "")
-    changed = F.when(text.rlike(HINT), joined).otherwise(text)
-    kinds = F.transform(mentions(text), lambda m: m["kind"])
-    kept = [F.col(f"`{c}`") if c != text_col else changed.alias(text_col) for c in df.columns if c != found_col]
-    return df.select(*kept, kinds.alias(found_col))
+    told = F.transform(_matches(text), lambda m: F.struct(
+        m["value"].alias("value"), m["kind"].alias("kind"), m["what"].alias("what"),
+        attempt_of(m["kind"], m["what"]).alias("attempt"),
+    ))
+    keyed = F.transform(told, lambda m: F.struct(
+        m["value"].alias("value"), m["kind"].alias("kind"), m["attempt"].alias("attempt"),
+        _stream(key, m["kind"], m["what"], m["attempt"]).alias("stream"),
+    ))
+    new = F.transform(keyed, lambda m: F.struct(
+        m["kind"].alias("kind"),
+        F.when(m["kind"].isNull(), m["value"]).otherwise(
+            surrogate(m["value"], m["kind"], m["stream"], m["attempt"], key)
+        ).alias("value"),
+    ))
+    none = F.array().cast("array<struct<kind:string,value:string>>")
+    rest = [c for c in df.columns if c != found_col]
+    marked = df.select(*[F.col(f"`{c}`") for c in rest], F.when(text.rlike(HINT), new).otherwise(none).alias(found_col))
+    hits = F.col(f"`{found_col}`")
+    joined = F.array_join(
+        F.zip_with(F.split(text, ANY), hits, lambda g, m: F.concat(g, F.coalesce(m["value"], F.lit("")))), ""
+    )
+    changed = F.when(F.size(hits) > 0, joined).otherwise(text).alias(text_col)
+    kinds = F.array_compact(F.transform(hits, lambda m: m["kind"])).alias(found_col)
+    return marked.select(*[F.col(f"`{c}`") if c != text_col else changed for c in rest], kinds)

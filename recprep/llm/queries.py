@@ -26,7 +26,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return pieces.drop("ids")
 
 

@@ -44,17 +44,34 @@ def test_bpe_is_tiktoken(spark, docs):
     assert bpe.encode(docs([]), MULTI, public_tokenizers.PATTERN).count() == 0
 
 
-def test_rank_queue():
-    rng, queue, held = random.Random(1), bpe.RankQueue(100_000), []
-    for _ in range(4000):
-        if held and rng.random() < 0.45:
-            held.sort()
-            assert queue.pop() == held.pop(0)
-        else:
-            item = (rng.randrange(100_000) if rng.random() < 0.7 else 7, rng.randrange(50))
-            queue.push(*item)
-            held.append(item)
-    assert [queue.pop() for _ in held] == sorted(held) and queue.pop() is None
+def test_bpe_ranks_that_fall_along_the_way():
+    """A merge may have a lower rank than the merges it is made of."""
+    ranks = {bytes([b]): 1000 + b for b in range(256)} | {b"ab": 7, b"abc": 3, b"bc": 5, b"cab": 1, b"aa": 2, b"aaa": 9}
+    model = bpe.BytePairs(ranks, public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    for _ in range(300):
+        piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40)))
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while piece not in ranks:
+            found = [(ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]
+            if not found:
+                break
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert model.encode_piece(piece) == ([ranks[piece]] if piece in ranks else [ranks[p] for p in parts])
+
+
+def test_packing_encoder_is_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    assert len(packing._ranks(JSON)) == 50256
+    encoder, width = packing._encoder(JSON, public_tokenizers.PATTERN)
+    every = ["".join(f"a{chr(c)} {chr(c)}b" for c in range(k, min(k + 512, 0xD800))) for k in range(0, 0xD800, 512)]
+    texts = TRICKY + every + ["<|endoftext|> a <|endoftext|>"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, width).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:30])
 
 
 def test_chunks_join_again():
@@ -90,13 +107,13 @@ def check_pieces(pieces, texts, seq_len):
 
 def test_packing(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
-    pieces = packing.pack(df, JSON, window_sequences=8, bucket_docs=20).collect()
+    pieces = packing.pack(df, JSON, public_tokenizers.PATTERN, window_sequences=8, bucket_docs=20).collect()
     check_pieces(pieces, by_id(df, "text"), 2048)
 
 
 def test_packing_follows_targets(docs):
     rows = [(i, "word " * (5 + i % 90)) for i in range(900)]
-    pieces = packing.pack(docs(rows), JSON, seq_len=64, window_sequences=64, targets={"s0": 6, "s1": 3, "s2": 1}).collect()
+    pieces = packing.pack(docs(rows), JSON, public_tokenizers.PATTERN, seq_len=64, window_sequences=64, targets={"s0": 6, "s1": 3, "s2": 1}).collect()
     check_pieces(pieces, dict(rows), 64)
     total = Counter()
     for p in pieces:
@@ -112,10 +129,10 @@ def test_packing_follows_targets(docs):
 
 def test_packing_cases(docs):
     rows = [(1, None), (2, ""), (3, "x y " * 5000), (4, "a")]
-    check_pieces(packing.pack(docs(rows), JSON).collect(), dict(rows), 2048)
-    twice = packing.pack(docs([(1, "a b"), (1, "a b"), (None, "c")]), JSON).collect()
+    check_pieces(packing.pack(docs(rows), JSON, public_tokenizers.PATTERN).collect(), dict(rows), 2048)
+    twice = packing.pack(docs([(1, "a b"), (1, "a b"), (None, "c")]), JSON, public_tokenizers.PATTERN).collect()
     assert sum(p.length for p in twice) == 8 and len(twice) == 3
-    assert packing.pack(docs([]), JSON).count() == 0
+    assert packing.pack(docs([]), JSON, public_tokenizers.PATTERN).count() == 0
 
 
 def naive_bits(counts, text, order):
