@@ -30,7 +30,7 @@ class ChunkEncoder:
     ``limit`` chunks; that changes the time, never the ids.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 300_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 800_000):
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
 
