@@ -11,7 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from recprep.catalog import ALL_QUERIES
-from recprep.config import BuildConfig, GenerateConfig
+from recprep.config import BuildConfig
 from recprep.plans.build import build_dataset
 from recprep.session import get_session
 from recprep.sources.standins import REGION_PROVINCES, raw_behavior, raw_orders
@@ -20,7 +20,7 @@ HEADLINE = (
     "harmonize", "session_dwell", "enrich_sessions", "implicit_ratings", "implicit_ratings_all", "item_features",
     "user_features", "split_train", "null_item_attributes", "warm_events", "jitter_event_time",
     "drop_pre_purchase_carts", "append_bot_traffic", "degrade_all", "hash_sample", "retail_main", "shop_main",
-    "ledger_main", "ga_main", "ua_main", "route_main", "trend_main", "generate_for_customers",
+    "ledger_main", "ga_main", "ua_main", "route_main", "trend_main",
 )
 
 
@@ -35,7 +35,7 @@ def bench_build(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     at = tempfile.mkdtemp(prefix="recprep-bench-")
     raw_behavior(spark, sf_dir).drop("event_id").repartition(8).write.parquet(f"{at}/behavior")
     raw_orders(spark, sf_dir).repartition(16).write.parquet(f"{at}/orders")
-    cfg = BuildConfig(generate=GenerateConfig(min_train_mb=0, min_test_mb=0))
+    cfg = BuildConfig()
     out = {}
 
     def run() -> None:

@@ -218,6 +218,4 @@ EVENT_SQL = {
     "append_bot_traffic": f"WITH {E}, {bots('ev', 0.05)} SELECT {WITH_ID}, CAST(NULL AS BIGINT) AS true_event_time FROM ev UNION ALL BY NAME SELECT * FROM fl",
     "degrade_all": f"WITH {E}, {nulled('ev')}, {cold('nu')}, warm AS (SELECT * FROM nu WHERE item_id NOT IN (SELECT item_id FROM cold)), {jittered('warm')}, {dropped('ji', 0.08)}, {bots('dr', 0.05)} SELECT * FROM dr UNION ALL BY NAME SELECT * FROM fl",
     "hash_sample": f"WITH {E} SELECT {WITH_ID} FROM ev WHERE {unit('sample', 'user_session')} < 0.1",
-    "top_up_like_customers": "",
 }
-del EVENT_SQL["top_up_like_customers"]

@@ -1,41 +1,10 @@
-"""SQL for file round trips, generated events and counts."""
+"""SQL for file round trips and counts."""
 
-from oracles.events import ALL, COLUMNS, E, O, PROVINCE_LIST, cold, quarter, running, steps
+from oracles.events import ALL, COLUMNS, E, O, cold
 
 SHARDS = f"""WITH {E} SELECT event_id, event_time, user_id, item_id, split_part(user_session, '-', 2) AS table_suffix
 FROM ev WHERE split_part(user_session, '-', 2) BETWEEN '20240105' AND '20240114'"""
-CODES = (
-    "electronics.smartphone electronics.audio.headphone electronics.video.tv electronics.computer.laptop "
-    "fashion.clothing.shirt fashion.shoes fashion.bag fmcg.food.snack fmcg.beverage.coffee "
-    "fmcg.household.detergent automotive.motorcycle.helmet automotive.oil automotive.tire"
-).split()
-CODE_LIST = "[" + ", ".join(f"'{c}'" for c in CODES) + "]"
 
-
-def q(block: int, index: int) -> str:
-    return quarter(f"event-{block}", "u || '|' || s", index)
-
-
-def lognormal(a: str, b: str, mean: float, sigma: float) -> str:
-    z = f"SQRT(-2.0::DOUBLE * LN(1.0 - {a})) * COS(2.0::DOUBLE * PI() * {b})"
-    return f"ROUND(EXP({mean}::DOUBLE + {sigma}::DOUBLE * ({z})), 2)"
-
-
-KINDS = running(["view", "cart", "purchase", "remove", "checkout"], [0.62, 0.16, 0.10, 0.06, 0.06])
-AGES = running(["18-24", "25-34", "35-44", "45+"], [0.22, 0.38, 0.25, 0.15])
-DEVICES = running(["mobile", "desktop", "tablet"], [0.78, 0.18, 0.04])
-GENERATED = f"""WITH g AS (SELECT c_custkey AS u, s, (SELECT COUNT(*) FROM part) AS n FROM customer, range(10) r(s)),
-h AS (SELECT *, CAST(FLOOR({q(0, 0)} * n) AS BIGINT) AS item, {steps(q(0, 1), KINDS)} AS kind FROM g)
-SELECT 1704067200000 + u * 86400000 + s * (20000 + CAST(FLOOR({q(0, 2)} * 880000) AS BIGINT)) AS event_time,
-  kind AS event_type, 'user_' || u AS user_id, 'anon_' || u AS user_pseudo_id,
-  'item_' || lpad(CAST(item AS VARCHAR), 6, '0') AS item_id, 'cat_' || (item % 13) AS category_id,
-  {CODE_LIST}[CAST(item % 13 AS INT) + 1] AS category_code, 'brand_' || lpad(CAST(item % 832 AS VARCHAR), 4, '0') AS brand,
-  {lognormal(q(1, 0), q(1, 1), 4.2, 0.8)} AS price, 'sess_' || u || '_' || (s // 8) AS user_session,
-  50 + CAST(FLOOR({q(0, 3)} * 179950) AS BIGINT) AS engagement_time_msec, {steps(q(2, 0), DEVICES)} AS device_category,
-  {PROVINCE_LIST}[CAST(FLOOR({q(3, 0)} * 8) AS INT) + 1] AS geo_province, {q(2, 3)} < 0.18::DOUBLE AS discount_flag,
-  CASE WHEN kind = 'purchase' THEN ['completed', 'shipped', 'delivered'][CAST(FLOOR({q(2, 2)} * 3) AS INT) + 1] END AS fulfillment_status,
-  {lognormal(q(1, 2), q(1, 3), 6.5, 0.9)} AS customer_ltv, {steps(q(2, 1), AGES)} AS age_band
-FROM h"""
 FILE_SQL = {
     "csv_round_trip": "SELECT * FROM orders",
     "date_shards": SHARDS,
@@ -44,6 +13,5 @@ FILE_SQL = {
     "encoder_json": "SELECT 'p_name' AS encoder, p_name AS value, DENSE_RANK() OVER (ORDER BY p_name) AS idx FROM (SELECT DISTINCT p_name FROM part) UNION ALL SELECT 'p_brand', p_brand, DENSE_RANK() OVER (ORDER BY p_brand) FROM (SELECT DISTINCT p_brand FROM part)",
     "audit_outputs": f"WITH {E}, {O} SELECT 'behavior' AS name, TRUE AS exists, COUNT(*) AS rows, TRUE AS stored FROM ev UNION ALL SELECT 'orders', TRUE, COUNT(*), TRUE FROM oev UNION ALL SELECT 'missing', FALSE, NULL, FALSE",
     "manifest_counts": f"WITH {E}, {O}, {ALL} SELECT 'n_events_train' AS metric, COUNT(*) AS n FROM ev UNION ALL SELECT 'n_events_test', COUNT(*) FROM oev UNION ALL SELECT 'n_users_train', COUNT(DISTINCT user_id) FROM ev UNION ALL SELECT 'n_users_test', COUNT(DISTINCT user_id) FROM oev UNION ALL SELECT 'n_items_catalog', COUNT(DISTINCT item_id) FROM al",
-    "generate_for_customers": GENERATED,
     "stream_arrivals": f"WITH {E} SELECT event_id, {COLUMNS} FROM ev",
 }

@@ -1,4 +1,4 @@
-"""Queries over file round trips, generated events and the whole build."""
+"""Queries over file round trips and the whole build."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from recprep.config import BuildConfig, GenerateConfig
-from recprep.operators import degrade, features, generate
+from recprep.config import BuildConfig
+from recprep.operators import degrade, features
 from recprep.plans import build
 from recprep.session import shared_folder
 from recprep.sources import files
@@ -83,25 +83,6 @@ def manifest_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "metric string, n long")
 
 
-def generate_for_customers(spark, sf_dir):
-    """Generated events for every customer, items as many as parts."""
-    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_idx"))
-    items = table(spark, sf_dir, "part").count()
-    return generate.generate_for_users(users, 10, items=items)
-
-
-def top_up_split(spark, sf_dir):
-    """Grow the written behavior events to twice their size with new users."""
-    at = _scratch(spark)
-    files.write_parquet(behavior_events(spark, sf_dir), at)
-    target = 2 * files.stored_bytes(spark, at) / build.MB
-    build.top_up_split(spark, at, target, 1_000_000, 7, BuildConfig())
-    grown = spark.read.parquet(at)
-    return grown.groupBy(F.col("user_id").startswith("user_").alias("added")).agg(
-        F.count("*").alias("rows"), F.count_distinct("user_id").alias("users")
-    )
-
-
 def stream_arrivals(spark, sf_dir):
     """Behavior events harmonized from arriving files, stored in two triggers."""
     at = _scratch(spark)
@@ -119,7 +100,7 @@ def build_dataset(spark, sf_dir):
     at = _scratch(spark)
     raw_behavior(spark, sf_dir).drop("event_id").write.parquet(f"{at}/behavior")
     raw_orders(spark, sf_dir).write.parquet(f"{at}/orders")
-    cfg = BuildConfig(generate=GenerateConfig(min_train_mb=0, min_test_mb=0))
+    cfg = BuildConfig()
     manifest = build.build_dataset(
         spark, f"{at}/behavior", f"{at}/orders", f"{at}/out", cfg, region_to_province=REGION_PROVINCES
     )
@@ -130,6 +111,6 @@ FILE_QUERIES = {
     f.__name__: f
     for f in (
         csv_round_trip, date_shards, flat_date_shards, id_list_json, encoder_json, audit_outputs, manifest_counts,
-        generate_for_customers, top_up_split, stream_arrivals, build_dataset,
+        stream_arrivals, build_dataset,
     )
 }

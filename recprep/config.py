@@ -15,21 +15,6 @@ PROVINCES = ("ID-JK", "ID-JB", "ID-JT", "ID-JI", "ID-PA", "ID-SN", "ID-SU", "ID-
 PROVINCE_WEIGHTS = (0.32, 0.21, 0.14, 0.13, 0.04, 0.06, 0.07, 0.03)
 DEVICES = ("mobile", "desktop", "tablet")
 DEVICE_WEIGHTS = (0.78, 0.18, 0.04)
-CATEGORY_CODES = (
-    "electronics.smartphone",
-    "electronics.audio.headphone",
-    "electronics.video.tv",
-    "electronics.computer.laptop",
-    "fashion.clothing.shirt",
-    "fashion.shoes",
-    "fashion.bag",
-    "fmcg.food.snack",
-    "fmcg.beverage.coffee",
-    "fmcg.household.detergent",
-    "automotive.motorcycle.helmet",
-    "automotive.oil",
-    "automotive.tire",
-)
 SEED = 20260831
 # --- End of fixed values. ---
 
@@ -78,23 +63,6 @@ class RatingConfig:
             raise ValueError("high must not be below low")
 
 
-@dataclass(frozen=True)
-class GenerateConfig:
-    """Shape of generated events: baseline when a source is empty, growth of small splits."""
-
-    users: int = 20_000
-    events_per_user: int = 25
-    items: int = 50_000
-    min_train_mb: float = 5.0
-    min_test_mb: float = 5.0
-    max_user_growth: int = 3
-
-    def __post_init__(self) -> None:
-        for name in ("users", "events_per_user", "items", "max_user_growth"):
-            if getattr(self, name) < 0:
-                raise ValueError(f"{name} must not be negative")
-
-
 @dataclass(frozen=True)
 class BuildConfig:
     """Everything ``recprep.plans.build.build_dataset`` needs besides its inputs."""
@@ -106,10 +74,8 @@ class BuildConfig:
     provinces: tuple[str, ...] = PROVINCES
     devices: tuple[str, ...] = DEVICES
     device_weights: tuple[float, ...] = DEVICE_WEIGHTS
-    category_codes: tuple[str, ...] = CATEGORY_CODES
     degrade: DegradeConfig = field(default_factory=DegradeConfig)
     rating: RatingConfig = field(default_factory=RatingConfig)
-    generate: GenerateConfig = field(default_factory=GenerateConfig)
 
     def __post_init__(self) -> None:
         _check_rate("test_fraction", self.test_fraction)

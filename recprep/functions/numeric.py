@@ -14,11 +14,15 @@ def round_to(c: Column | str, places: int) -> Column:
     """Round half away from zero in binary floating point.
 
     ``F.round`` on a double goes through BigDecimal per row; this stays in primitive
-    arithmetic and rounds as SQL engines with a C ``round`` do.
+    arithmetic and rounds as SQL engines with a C ``round`` do. Values from 2^52 units on have
+    no digits to round and stay as they are.
     """
     c = col(c)
     scale = float(10**places)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    units = F.abs(c) * F.lit(scale)
+    whole = F.floor(units).cast("double")
+    rounded = F.signum(c) * (whole + F.when(units - whole >= 0.5, 1.0).otherwise(0.0)) / F.lit(scale)
+    return F.when(units < float(1 << 52), rounded).otherwise(c.cast("double"))
 
 
 def ratio_round(c: Column | str, places: int) -> Column:
@@ -71,12 +75,19 @@ def or_zero(c: Column | str, as_type: str = "long") -> Column:
     return F.coalesce(col(c), F.lit(0).cast(as_type))
 
 
+def bit_of(value: Column) -> Column:
+    """A long with the bit of an integer 0..63 set; other values are an error, not another bit."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), value.cast("int"))
+    wrong = F.raise_error(F.concat(F.lit("value outside 0..63: "), value.cast("string"))).cast("long")
+    return F.when(value.isNull() | value.between(0, 63), bit).otherwise(wrong)
+
+
 def count_small_domain(value: Column) -> Column:
-    """Exact COUNT(DISTINCT value) for integers 0..62, as one bit mask per group.
+    """Exact COUNT(DISTINCT value) for integers 0..63, as one bit mask per group.
 
     Month, weekday or hour counts need no DISTINCT, hence no Expand and no extra shuffle.
     """
     return F.coalesce(
-        F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), value.cast("int")))),
+        F.bit_count(F.bit_or(bit_of(value))),
         F.lit(0),
     ).cast("long")

@@ -102,9 +102,9 @@ def m_any(name: str, test: Column) -> Measure:
 
 
 def m_small_domain(name: str, value: Column) -> Measure:
-    """Exact COUNT(DISTINCT value) for integers 0..62, carried as a bit mask."""
+    """Exact COUNT(DISTINCT value) for integers 0..63, carried as a bit mask; others are an error."""
     part = f"_{name}"
-    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), value.cast("int")))
+    mask = F.bit_or(num.bit_of(value))
     return Measure(name, (mask.alias(part),), F.coalesce(F.bit_count(F.bit_or(part)), F.lit(0)).cast("long"))
 
 

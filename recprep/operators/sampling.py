@@ -13,12 +13,14 @@ from recprep.functions.hashing import u01
 _BUCKETS = 1 << 16
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, seed: int, salt: str = "sample") -> DataFrame:
+def hash_sample(df: DataFrame, key: str, fraction: float, seed: int, salt: str = "sample", instead: Column | None = None) -> DataFrame:
     """Keep every row of about ``fraction`` of the keys. A filter: no shuffle.
 
-    A NULL key is hashed as one key of its own, so its rows are kept or dropped together.
+    Where the key is NULL, ``instead`` is hashed; without it NULL is one key of its own, whose
+    rows are kept or dropped together.
     """
-    draw = u01(seed, salt, F.coalesce(F.col(key).cast("string"), F.lit("")))
+    values = [F.col(key).cast("string"), *([] if instead is None else [instead.cast("string")]), F.lit("")]
+    draw = u01(seed, salt, F.coalesce(*values))
     return df.where(draw < F.lit(fraction))
 
 

@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recprep.config import BuildConfig
-from recprep.operators import degrade, features, generate, ratings, sampling, sessions, split
+from recprep.functions.hashing import row_key
+from recprep.operators import degrade, features, ratings, sampling, sessions, split
 from recprep.session import materialize
 from recprep.sources import files
 from recprep.sources.events import harmonize, load_behavior, load_orders
 
-MB = 1024 * 1024
-
 
 def load_sources(
     spark: SparkSession,
@@ -32,10 +31,15 @@ def load_sources(
 
 
 def sample_sessions(events: DataFrame, cfg: BuildConfig, fraction: float | None, limit: int | None) -> DataFrame:
-    """Optionally keep a hash sample of sessions, then at most ``limit`` rows."""
+    """Optionally keep a hash sample of sessions, then at most ``limit`` rows.
+
+    Rows without a session are sampled by user, or one by one where that lacks too. The
+    limited rows are stored, since a limit may choose others each time it is evaluated.
+    """
     if fraction is not None:
-        events = sampling.hash_sample(events, "user_session", fraction, cfg.seed)
-    return events if limit is None else events.limit(limit)
+        alone = F.coalesce(F.col("user_id"), row_key(events))
+        events = sampling.hash_sample(events, "user_session", fraction, cfg.seed, instead=alone)
+    return events if limit is None else materialize(events.limit(limit))
 
 
 def split_counts(train: DataFrame, test: DataFrame) -> dict[str, int]:
@@ -52,55 +56,19 @@ def split_counts(train: DataFrame, test: DataFrame) -> dict[str, int]:
     }
 
 
-def top_up_split(spark: SparkSession, path: str, target_mb: float, user_offset: int, seed: int, cfg: BuildConfig) -> int:
-    """Append new users' events to a written split that is smaller than its target.
-
-    The stored size gives bytes per row, hence the number of users, in one pass; rows already
-    written are not rewritten. Returns the number of users added.
-    """
-    target, size = int(target_mb * MB), files.stored_bytes(spark, path)
-    if size >= target:
-        return 0
-    present = spark.read.parquet(path)
-    facts = present.agg(F.count("*").alias("rows"), F.count_distinct("user_id").alias("users")).first()
-    g = cfg.generate
-    users = generate.users_to_add(
-        size, facts["rows"], facts["users"], target, g.events_per_user, g.max_user_growth
-    )
-    if users:
-        extra = generate.top_up_rows(present, users, g.events_per_user, user_offset, seed, cfg)
-        extra.write.mode("append").parquet(path)
-    return users
-
-
-def grow_split(spark: SparkSession, train_path: str, test_path: str, cfg: BuildConfig) -> dict[str, int]:
-    """Bring both splits to their target size with users that exist in neither."""
-    g = cfg.generate
-    wanted = {train_path: g.min_train_mb, test_path: g.min_test_mb}
-    if all(files.stored_bytes(spark, path) >= mb * MB for path, mb in wanted.items()):
-        return {"n_users_added_train": 0, "n_users_added_test": 0}
-
-    def users(path: str) -> int:
-        return spark.read.parquet(path).agg(F.count_distinct("user_id")).first()[0]
-
-    offset = max(users(train_path), users(test_path)) + generate.USER_OFFSET
-    added = top_up_split(spark, train_path, g.min_train_mb, offset, cfg.seed, cfg)
-    more = top_up_split(spark, test_path, g.min_test_mb, offset + added, cfg.seed + 1, cfg)
-    return {"n_users_added_train": added, "n_users_added_test": more}
-
-
 def build_from_events(
     events: DataFrame,
     out_dir: str,
     cfg: BuildConfig = BuildConfig(),
     null_users: str = "drop",
     null_session: str = "isolate",
-    grow: bool = True,
+    at_least_one: bool = True,
 ) -> dict:
     """Run every stage on a unified event table and write the outputs below ``out_dir``.
 
     Session telemetry and degradation form one plan, written once; the split is written once
-    and everything after it reads the written split.
+    and everything after it reads the written split. ``at_least_one`` gives the test side a user
+    where the fraction rounds to none and two or more are eligible. An empty source is an error.
     """
     spark = events.sparkSession
     names = (
@@ -117,7 +85,9 @@ def build_from_events(
         timing[name] = round(time.time() - start, 3)
 
     with stage("telemetry_and_degradation"):
-        source = generate.ensure_nonempty(events, cfg)
+        if events.isEmpty():
+            raise ValueError("the source has no events")
+        source = events
         enriched = sessions.enrich_sessions(
             source, cfg.dwell_cap_ms, cfg.seed, null_session=null_session,
             devices=cfg.devices, device_weights=cfg.device_weights, provinces=cfg.provinces,
@@ -134,11 +104,10 @@ def build_from_events(
 
     with stage("train_test_split"):
         train, test = split.split_by_user(
-            damaged, cfg.test_fraction, cfg.min_user_events, cfg.seed, null_users, at_least_one=True
+            damaged, cfg.test_fraction, cfg.min_user_events, cfg.seed, null_users, at_least_one=at_least_one
         )
         files.write_parquet(train, paths["train_interactions"])
         files.write_parquet(test, paths["test_interactions"])
-        grown = grow_split(spark, paths["train_interactions"], paths["test_interactions"], cfg) if grow else {}
 
     train = spark.read.parquet(paths["train_interactions"])
     test = spark.read.parquet(paths["test_interactions"])
@@ -160,7 +129,6 @@ def build_from_events(
             **split_counts(train, test),
             "n_cold_items": cold_ids.count(),
             "n_null_items": spark.read.schema("item_id string").json(paths["null_items"]).count(),
-            **grown,
         }
     manifest = {
         "metrics": metrics,

@@ -1,16 +1,16 @@
 import pytest
 from pyspark.sql import functions as F
 
+from made import made_events
 from recprep.config import DegradeConfig
 from recprep.operators import degrade
-from recprep.operators.generate import bootstrap_events
 from recprep.session import materialize
 
 
 
 @pytest.fixture(scope="module")
 def events(spark):
-    made = bootstrap_events(spark, 60, 20, items=120)
+    made = made_events(spark, 60, 20, 120)
     return materialize(made.withColumn("event_id", F.xxhash64("user_id", "event_time", "item_id")))
 
 

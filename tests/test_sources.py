@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from recprep.config import BuildConfig, GenerateConfig
-from recprep.operators import generate
+from made import made_events
+from recprep.config import BuildConfig
 from recprep.plans import build
 from recprep.sources import events as src
 from recprep.sources import files
@@ -100,28 +100,9 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stream_orders(spark, folder, "customer_id string, product_id string, order_timestamp timestamp").isStreaming
 
 
-def test_generated_events(spark):
-    out = generate.bootstrap_events(spark, 50, 25, user_offset=10, items=500)
-    assert out.schema.simpleString() == src.event_schema().simpleString()
-    assert out.count() == 1_250 and out.select("user_id").distinct().count() == 50
-    assert out.where("(event_type = 'purchase') <> (fulfillment_status IS NOT NULL)").count() == 0
-    per_session = out.groupBy("user_session").count().agg(F.max("count")).first()[0]
-    assert per_session == 8
-    assert out.where("price <= 0 OR customer_ltv <= 0 OR engagement_time_msec < 50").count() == 0
-    assert abs(out.where("event_type = 'view'").count() / 1_250 - 0.62) < 0.05
-    assert generate.bootstrap_events(spark, 0, 5).count() == 0
-
-
-def test_users_to_add():
-    assert generate.users_to_add(1_000, 100, 10, 900, 25, 3) == 0
-    assert generate.users_to_add(1_000, 100, 10, 2_000, 25, 3) == 100
-    assert generate.users_to_add(10_000, 100, 1_000, 1_000_000, 25, 3) == 396
-    assert generate.users_to_add(10_000, 100, 50, 10**9, 25, 3) == 150
-
-
 @pytest.fixture
 def raw_sources(spark, tmp_path):
-    events = generate.bootstrap_events(spark, 80, 20, items=60)
+    events = made_events(spark, 80, 20, 60)
     raw = events.select(
         F.timestamp_millis("event_time").alias("event_time"), "event_type", F.col("item_id").alias("product_id"),
         "category_id", "category_code", "brand", "price", "user_id", "user_session",
@@ -137,14 +118,13 @@ def raw_sources(spark, tmp_path):
 
 def test_whole_build(spark, raw_sources):
     behavior, orders, out = raw_sources
-    cfg = BuildConfig(generate=GenerateConfig(items=60, min_train_mb=0, min_test_mb=0.2))
+    cfg = BuildConfig()
     manifest = build.build_dataset(spark, behavior, orders, out, cfg)
     metrics = manifest["metrics"]
     read = {n: spark.read.parquet(p) for n, p in manifest["outputs"].items() if n.endswith(("interactions", "features", "matrix"))}
     train, test = read["train_interactions"], read["test_interactions"]
     assert metrics["n_events_train"] == train.count() and metrics["n_events_test"] == test.count()
     assert train.join(test, "user_id", "left_semi").count() == 0
-    assert metrics["n_users_added_test"] >= 100 and metrics["n_users_added_train"] == 0
     assert metrics["n_cold_items"] == round(0.15 * 60)
     assert read["implicit_matrix"].where("pseudo_rating < 1 OR pseudo_rating > 5").count() == 0
     assert read["item_features"].count() == metrics["n_items_catalog"]
@@ -153,16 +133,31 @@ def test_whole_build(spark, raw_sources):
     assert build.read_manifest(spark, f"{out}/build_manifest")["metrics"] == metrics
 
 
-def test_empty_source_gets_a_baseline(spark, tmp_path):
-    empty = generate.bootstrap_events(spark, 0, 0)
-    cfg = BuildConfig(generate=GenerateConfig(users=30, events_per_user=10, items=40, min_train_mb=0, min_test_mb=0))
-    manifest = build.build_from_events(empty, str(tmp_path / "out"), cfg, grow=False)
-    assert manifest["metrics"]["n_events_raw"] == 300
+def test_empty_source_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError):
+        build.build_from_events(made_events(spark, 0, 0, 1), str(tmp_path / "out"))
 
 
 def test_sampling_options(spark):
-    events = generate.bootstrap_events(spark, 40, 20, items=50)
+    events = made_events(spark, 40, 20, 50)
     cfg = BuildConfig()
     assert build.sample_sessions(events, cfg, None, None).count() == 800
-    assert build.sample_sessions(events, cfg, None, 10).count() == 10
+    few = build.sample_sessions(events, cfg, None, 10)
+    assert few.count() == 10 and few.exceptAll(few).count() == 0
     assert 0 < build.sample_sessions(events, cfg, 0.3, None).count() < 800
+    orders = events.withColumn("user_session", F.lit(None).cast("string"))
+    assert 0 < build.sample_sessions(orders, cfg, 0.3, None).count() < 800
+    nobody = orders.withColumn("user_id", F.lit(None).cast("string"))
+    assert 0 < build.sample_sessions(nobody, cfg, 0.3, None).count() < 800
+
+
+def test_rounding_and_bits(spark):
+    from recprep.functions import numeric as num
+
+    rows = spark.createDataFrame([(1e18, 2), (0.49999999999999994, 0), (-2.5, 0), (0.125, 2)], "x double, p int")
+    got = rows.select("x", num.round_to("x", 0).alias("a"), num.round_to("x", 2).alias("b")).collect()
+    assert [r.a for r in got] == [1e18, 0.0, -3.0, 0.0] and [r.b for r in got] == [1e18, 0.5, -2.5, 0.13]
+    ok = spark.createDataFrame([(0,), (63,), (63,), (None,)], "v int")
+    assert ok.agg(num.count_small_domain(F.col("v"))).first()[0] == 2
+    with pytest.raises(Exception, match="outside 0..63"):
+        spark.createDataFrame([(64,)], "v int").agg(num.count_small_domain(F.col("v"))).collect()
