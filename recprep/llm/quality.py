@@ -76,14 +76,16 @@ def labelled(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str)
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 3000,
-    sample_bytes: int = 32768, dictionary_bytes: int = 112_640, chunk: int = 2048, level: int = 3,
+    sample_bytes: int = 32768, dictionary_bytes: int = 112_640, chunk: int = 2048, level: int = 3, folds: int = 4,
 ) -> QualityModel:
-    """Learn from at most ``sample_rows`` rows of each label, for the dictionaries and again for the calibration.
+    """Learn from at most ``sample_rows`` rows of each label.
 
     Only labelled rows with crc32(id) mod 3 <> 1 are used; the choice among them is by hash.
     Of a text longer than ``sample_bytes`` the sample holds that many bytes, from a place
-    given by the hash (scores always use whole texts). If a class has no rows, the model
-    has no weights and each score is 0.5.
+    given by the hash (scores always use whole texts). The calibration sees each sampled text
+    through dictionaries built without its fold, so it learns sizes as unseen texts have them
+    and no text is spent on one purpose only; the dictionaries of the model come from all.
+    If a class has fewer rows than two, the model has no weights and each score is 0.5.
     """
     rows = labelled(docs.filter(crc_rest(id_col, 3) != 1), labels, id_col=id_col, text_col=text_col)
     turn = F.xxhash64(F.lit("sample"), "id")
@@ -92,19 +94,24 @@ def fit(
     rows = rows.select("id", "label", turn.alias("turn"), F.substring(F.col("text"), place, F.lit(sample_bytes)).alias("text"))
     sample = {}
     for label in (0, 1):
-        taken = rows.filter(F.col("label") == label).orderBy("turn", "id").limit(2 * sample_rows)
+        taken = rows.filter(F.col("label") == label).orderBy("turn", "id").limit(sample_rows)
         sample[label] = [r["text"] for r in taken.collect() if r["text"].strip()]
-    # Every other text goes to the dictionaries, the rest to the calibration.
-    halves = {label: (texts[::2], texts[1::2]) for label, texts in sample.items()}
     empty = QualityModel(b"", b"", (), chunk, level)
-    if not all(half for pair in halves.values() for half in pair):
+    if min(map(len, sample.values())) < 2:
         return empty
-    dictionaries = [_dictionary(halves[label][0], dictionary_bytes, chunk, level) for label in (1, 0)]
-    model = QualityModel(*dictionaries, (), chunk, level)
-    sizes = Sizes(model)
-    x = np.array([features(sizes.of(t)) for label in (1, 0) for t in halves[label][1]])
-    y = np.array([label for label in (1, 0) for _ in halves[label][1]], float)
-    return QualityModel(*dictionaries, _logistic(x, y), chunk, level)
+
+    def dictionaries(left_out: int | None) -> list[bytes]:
+        used = {k: [t for i, t in enumerate(texts) if i % folds != left_out] for k, texts in sample.items()}
+        return [_dictionary(used[label], dictionary_bytes, chunk, level) for label in (1, 0)]
+
+    x, y = [], []
+    for fold in range(folds):
+        sizes = Sizes(QualityModel(*dictionaries(fold), (), chunk, level))
+        for label in (1, 0):
+            held = sample[label][fold::folds]
+            x += [features(sizes.of(t)) for t in held]
+            y += [float(label)] * len(held)
+    return QualityModel(*dictionaries(None), _logistic(np.array(x), np.array(y)), chunk, level)
 
 
 def _dictionary(texts: list[str], size: int, chunk: int, level: int) -> bytes:
@@ -116,12 +123,12 @@ def _dictionary(texts: list[str], size: int, chunk: int, level: int) -> bytes:
         return b"".join(parts)[:size]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, ...]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 50) -> tuple[float, ...]:
     """Weights by Newton steps, bias first; inputs are scaled inside and the scale is folded in."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.hstack([np.ones((len(x), 1)), (x - mean) / scale])
     w = np.zeros(z.shape[1])
-    penalty = ridge * len(x) * np.eye(z.shape[1])
+    penalty = ridge * np.eye(z.shape[1])
     penalty[0, 0] = 1e-9
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
