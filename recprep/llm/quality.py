@@ -64,14 +64,14 @@ class Sizes:
         return len(raw), *sums
 
 
-def labelled(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """id, text, label (0 or 1) of documents with one clear label; several equal labels count once."""
+def labelled(docs: DataFrame, labels: DataFrame, *, id_col: str) -> DataFrame:
+    """id, label (0 or 1) of the labelled documents; several equal labels count once, unequal ones not."""
     clear = (
         labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("label"))
         .filter("id IS NOT NULL AND label IN (0, 1)").groupBy("id")
         .agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
     )
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(clear, "id")
+    return clear.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
 
 
 def fit(
@@ -87,15 +87,20 @@ def fit(
     and no text is spent on one purpose only; the dictionaries of the model come from all.
     If a class has fewer rows than two, the model has no weights and each score is 0.5.
     """
-    rows = labelled(docs.filter(crc_rest(id_col, 3) != 1), labels, id_col=id_col, text_col=text_col)
-    turn = F.xxhash64(F.lit("sample"), "id")
+    # Ids are chosen before any text moves; then only the chosen texts leave the scan.
+    known = labelled(docs, labels.filter(crc_rest(id_col, 3) != 1), id_col=id_col)
+    known = known.withColumn("turn", F.xxhash64(F.lit("sample"), "id"))
+    chosen = [known.filter(F.col("label") == label).orderBy("turn", "id").limit(sample_rows) for label in (0, 1)]
+    picked = docs.sparkSession.createDataFrame([tuple(r) for part in chosen for r in part.collect()], known.schema)
     size = F.length("text")
-    place = F.when(size > sample_bytes, F.pmod(turn, size - sample_bytes)).otherwise(0).cast("int") + 1
-    rows = rows.select("id", "label", turn.alias("turn"), F.substring(F.col("text"), place, F.lit(sample_bytes)).alias("text"))
-    sample = {}
-    for label in (0, 1):
-        taken = rows.filter(F.col("label") == label).orderBy("turn", "id").limit(sample_rows)
-        sample[label] = [r["text"] for r in taken.collect() if r["text"].strip()]
+    place = F.when(size > sample_bytes, F.pmod("turn", size - sample_bytes)).otherwise(0).cast("int") + 1
+    texts = (
+        docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(picked), "id")
+        .select("id", "label", "turn", F.substring(F.col("text"), place, F.lit(sample_bytes)).alias("text"))
+        .groupBy("id", "label", "turn").agg(F.min("text").alias("text"))
+    )
+    found = sorted(texts.collect(), key=lambda r: (r["turn"], r["id"]))
+    sample = {label: [r["text"] for r in found if r["label"] == label and r["text"].strip()] for label in (0, 1)}
     empty = QualityModel(b"", b"", (), chunk, level)
     if min(map(len, sample.values())) < 2:
         return empty
