@@ -37,7 +37,19 @@ PATTERNS = {
     "card": r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d-])",
     "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? {_NAME}(?: {_NAME})?",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace(r"([ -])", "(?<gap>[ -])").replace(r"\1", r"\k<gap>")
+# One pattern for all kinds. Each branch starts with a check of one character, so a position
+# inside a word costs next to nothing; the checks are implied by the branch and change no match.
+# An e-mail address starts where its run of characters starts, or where a match has just ended.
+_RUN = r"[\p{L}\p{N}._%+-]"
+_NUMBERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("ip", "phone", "ssn", "card"))
+ANY = "|".join([
+    f"(?=A){PATTERNS['access_key']}",
+    r"(?<=[=:\s\"'])(?<=[=:]\s{0,3}[\"']{0,1})" + PATTERNS["secret"],
+    rf"(?:(?<!{_RUN})|\G){PATTERNS['email'].replace('+@', '++@')}",
+    f"(?=[0-9+(])(?:{_NUMBERS})",
+    f"(?=[A-Z]){PATTERNS['iban']}",
+    f"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}]){PATTERNS['name']}",
+]).replace(r"([ -])", "(?<gap>[ -])").replace(r"\1", r"\k<gap>")
 # No entity without one of these.
 HINT = rf"[0-9@]|(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? \p{{Lu}}"
 DIGIT_KINDS = ["phone", "ssn", "card"]
@@ -139,6 +151,11 @@ def _same_form(value: Column, stream: Column, keep: Column, hexed: Column) -> Co
     return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["out"])
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _more(stream: Column, attempt: Column) -> Column:
     """Letters that a later attempt adds where the form leaves too few surrogates (short names)."""
     return F.translate(F.substring(stream, F.lit(97), attempt * 2), "0123456789", "ghjklmnpqr")
@@ -178,16 +195,15 @@ def surrogate(value: Column, kind: Column, stream: Column, attempt: Column, key:
     plain = F.lit(False)
 
     body = _same_form(F.substring(digits, F.lit(1), F.length(digits) - 1), stream, F.lit(1), plain)
-    check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(body, True), F.lit(10)), F.lit(10))
-    number = F.concat(body, check.cast("string"))
-    spread = F.aggregate(
+    number = _once(body, lambda b: F.concat(b, F.pmod(F.lit(10) - F.pmod(_luhn_sum(b, True), F.lit(10)), F.lit(10)).cast("string")))
+    spread = _once(number, lambda n: F.aggregate(
         F.split(value, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("k")),
         lambda acc, c: F.struct(
-            F.concat(acc["out"], F.when(c.rlike("[0-9]"), F.substring(number, acc["k"] + 1, F.lit(1))).otherwise(c)).alias("out"),
+            F.concat(acc["out"], F.when(c.rlike("[0-9]"), F.substring(n, acc["k"] + 1, F.lit(1))).otherwise(c)).alias("out"),
             (acc["k"] + c.rlike("[0-9]").cast("int")).alias("k"),
         ),
         lambda acc: acc["out"],
-    )
+    ))
 
     octets = F.transform(
         F.sequence(F.lit(0), F.lit(3)),
