@@ -1,5 +1,7 @@
 """SQL for the unified-event operators."""
 
+from oracles.common import favg
+
 SEED = 20260831
 E = """
 raw_b AS (
@@ -182,7 +184,7 @@ ITEM_COLUMNS = {"category_code": "category_code_idx", "brand": "brand_idx", "cat
 USER_COLUMNS = {"age_band": "age_band_idx", "geo_province": "geo_province_idx", "device_category": "device_idx"}
 ITEM_BASE = f"""
 it AS (SELECT item_id, {first_of('category_id')}, {first_of('category_code')}, {first_of('brand')},
-    SUM(round_even(price * 10000, 0)) / COUNT(price) / 10000 AS price, COUNT(*) AS popularity FROM al GROUP BY 1)"""
+    {favg('price')} AS price, COUNT(*) AS popularity FROM al GROUP BY 1)"""
 USER_BASE = f"""
 us AS (SELECT user_id, {first_of('age_band')}, {first_of('geo_province')}, {first_of('device_category')},
     {first_of('customer_ltv')}, COUNT(*) AS interaction_count FROM al GROUP BY 1)"""

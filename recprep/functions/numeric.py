@@ -30,23 +30,32 @@ def ratio_round(c: Column | str, places: int) -> Column:
     return round_to(round_to(c, places + 6), places)
 
 
-def _units(c: Column | str, places: int) -> Column:
-    return F.rint(col(c).cast("double") * F.lit(float(10**places)))
+def split_units(c: Column | str, places: int) -> tuple[Column, Column]:
+    """A value as whole units of 10^-places and what is left of it: nothing is cut off.
+
+    The rest is exactly 0.0 for a value that has no more than ``places`` decimals, and for
+    values so large (2^52 units) that a double holds no smaller part.
+    """
+    value, scale = col(c).cast("double"), F.lit(float(10**places))
+    whole = F.rint(value * scale)
+    return whole, F.when(F.abs(whole) < float(1 << 52), value - whole / scale).otherwise(F.lit(0.0))
 
 
 def fixed_sum(c: Column | str, places: int = 4) -> Column:
-    """Sum in units of 10^-places.
+    """Sum of whole units of 10^-places plus the sum of the rests.
 
-    Whole units are exact in a double up to 2^53, so partial sums can meet in any order (or
-    be recomputed after a lost executor) and still give the same bits. Above 2^53 units it
-    is as exact as a plain double sum; it never overflows.
+    Whole units are exact in a double up to 2^53, so for values with at most ``places``
+    decimals partial sums can meet in any order (or be recomputed after a lost executor) and
+    still give the same bits. Finer values keep all their digits; their sum, like sums above
+    2^53 units, is as exact as a plain double sum.
     """
-    return F.sum(_units(c, places)) / F.lit(float(10**places))
+    whole, rest = split_units(c, places)
+    return F.sum(whole) / F.lit(float(10**places)) + F.sum(rest)
 
 
 def fixed_avg(c: Column | str, places: int = 4) -> Column:
-    """Average built on the same order-free sum."""
-    return F.sum(_units(c, places)) / F.count(col(c)) / F.lit(float(10**places))
+    """Average built on the same sum."""
+    return fixed_sum(c, places) / F.nullif(F.count(col(c)), F.lit(0))
 
 
 def safe_div(top: Column | str, bottom: Column | str) -> Column:

@@ -7,13 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recprep.operators.keyed import first_values
+from recprep.operators.keyed import first_values, m_avg
 from recprep.operators.ranks import dense_index
 from recprep.session import materialize
 
 ITEM_ENCODINGS = {"category_code": "category_code_idx", "brand": "brand_idx", "category_id": "category_id_idx"}
 USER_ENCODINGS = {"age_band": "age_band_idx", "geo_province": "geo_province_idx", "device_category": "device_idx"}
-PRICE_UNITS = 10_000.0
 
 
 def ordinal_encode(
@@ -48,17 +47,14 @@ def item_features(
     events: DataFrame, cold_ids: DataFrame | None = None, order: str = "event_time"
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Per item: first category and brand, mean price, popularity, cold flag, encodings."""
-    units = F.rint(F.col("price") * PRICE_UNITS)
+    price = m_avg("price", "price")
     items = first_values(
         events,
         ["item_id"],
         ["category_id", "category_code", "brand"],
         order,
-        partial=[F.sum(units).alias("_sum"), F.count("price").alias("_priced"), F.count("*").alias("_n")],
-        merged=[
-            (F.sum("_sum") / F.nullif(F.sum("_priced"), F.lit(0)) / PRICE_UNITS).alias("price"),
-            F.sum("_n").alias("popularity"),
-        ],
+        partial=[*price.partial, F.count("*").alias("_n")],
+        merged=[price.merged.alias("price"), F.sum("_n").alias("popularity")],
     )
     if cold_ids is None:
         items = items.withColumn("is_cold", F.lit(False))

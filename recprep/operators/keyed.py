@@ -56,20 +56,18 @@ class Measure:
     merged: Column
 
 
-def _units(c: Column | str, places: int) -> Column:
-    return F.rint(num.col(c).cast("double") * F.lit(float(10**places)))
-
-
 def m_sum(name: str, c: Column | str, places: int = 4) -> Measure:
-    """Order-free sum of a double (see ``fixed_sum``)."""
-    part = f"_{name}"
-    return Measure(name, (F.sum(_units(c, places)).alias(part),), F.sum(part) / F.lit(float(10**places)))
+    """Sum of a double (see ``fixed_sum``)."""
+    part, left = f"_{name}", f"_{name}_rest"
+    whole, rest = num.split_units(c, places)
+    merged = F.sum(part) / F.lit(float(10**places)) + F.sum(left)
+    return Measure(name, (F.sum(whole).alias(part), F.sum(rest).alias(left)), merged)
 
 
 def m_avg(name: str, c: Column | str, places: int = 4) -> Measure:
-    part, seen = f"_{name}", f"_{name}_n"
-    merged = F.sum(part) / F.nullif(F.sum(seen), F.lit(0)) / F.lit(float(10**places))
-    return Measure(name, (F.sum(_units(c, places)).alias(part), F.count(num.col(c)).alias(seen)), merged)
+    total, seen = m_sum(name, c, places), f"_{name}_n"
+    merged = total.merged / F.nullif(F.sum(seen), F.lit(0))
+    return Measure(name, (*total.partial, F.count(num.col(c)).alias(seen)), merged)
 
 
 def m_total(name: str, c: Column | str) -> Measure:

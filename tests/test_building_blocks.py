@@ -80,6 +80,19 @@ def test_sum_does_not_depend_on_order(spark):
     assert tuple(a) == tuple(b)
 
 
+def test_sum_cuts_no_decimals(spark):
+    fine = spark.createDataFrame([(0.00004,), (0.00003,), (0.00002,), (None,)], "x double")
+    total, mean = fine.agg(numeric.fixed_sum("x"), numeric.fixed_avg("x")).first()
+    assert abs(total - 0.00009) < 1e-18 and abs(mean - 0.00003) < 1e-18
+    mixed = spark.createDataFrame([(1, 1e17), (2, 12.34567891), (1, 2e17), (2, 0.00000001)], "k int, x double")
+    want = {1: 3e17, 2: 12.34567892}
+    assert {k: round(s, 10) for k, s in mixed.groupBy("k").agg(numeric.fixed_sum("x")).collect()} == want
+    two = keyed.two_level(mixed, ["k"], ["x"], [keyed.m_sum("s", "x"), keyed.m_avg("a", "x")])
+    assert {r.k: (round(r.s, 10), round(r.a, 10)) for r in two.collect()} == {1: (3e17, 1.5e17), 2: (12.34567892, 6.17283946)}
+    none = spark.createDataFrame([(None,)], "x double").agg(numeric.fixed_sum("x"), numeric.fixed_avg("x")).first()
+    assert tuple(none) == (None, None)
+
+
 def test_numeric_helpers(spark):
     row = spark.range(1).select(
         numeric.round_to(F.lit(2.5), 0), numeric.round_to(F.lit(-1.25), 1), numeric.safe_div(F.lit(1.0), F.lit(0)),
