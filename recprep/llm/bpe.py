@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from recprep.llm.chunks import ChunkEncoder
 from recprep.llm.common import arrow_batches, text_of
 
+_SHORT, _PIECES = 32, 400_000  # pre-tokens remembered: characters of one, and how many
+
 
 class BytePairs:
     """Encode and decode by a table of ranks; a token's id is its rank."""
@@ -33,6 +35,7 @@ class BytePairs:
                 left, right = ranks.get(token[:k]), ranks.get(token[k:])
                 if left is not None and right is not None:
                     self.pairs[left * self.stride + right] = rank
+        self.seen: dict[str, bytes] = {}
         # Python's \s has four control characters more than the Unicode white space meant here.
         space = r"\p{White_Space}"
         self.pattern = regex.compile(pattern.replace(r"[^\s", "[^" + space).replace(r"\S", r"\P{White_Space}").replace(r"\s", space))
@@ -56,23 +59,21 @@ class BytePairs:
         buckets: dict[int, list[int]] = {}
         words: dict[int, int] = {}
         top = 0
-        fresh = [(pairs(a * stride + b), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
-        while True:
-            for rank, i in fresh:
-                if rank is None:
-                    continue
-                if rank in buckets:
-                    heappush(buckets[rank], i)
-                    continue
-                buckets[rank] = [i]
-                word = rank >> 8
-                if word in words:
-                    words[word] |= 1 << (rank & 255)
-                else:
-                    words[word] = 1 << (rank & 255)
-                    top |= 1 << word
-            if not top:
-                return [i for i in ids if i >= 0]
+        for i in range(end - 1):
+            rank = pairs(ids[i] * stride + ids[i + 1])
+            if rank is None:
+                continue
+            if rank in buckets:
+                buckets[rank].append(i)  # ascending, so a heap already
+                continue
+            buckets[rank] = [i]
+            word = rank >> 8
+            if word in words:
+                words[word] |= 1 << (rank & 255)
+            else:
+                words[word] = 1 << (rank & 255)
+                top |= 1 << word
+        while top:
             word = (top & -top).bit_length() - 1
             bits = words[word]
             rank = word << 8 | (bits & -bits).bit_length() - 1
@@ -88,22 +89,61 @@ class BytePairs:
                 else:
                     del words[word]
                     top &= top - 1
-            fresh = []
             j = after[i]
             if ids[i] < 0 or j >= end or pairs(ids[i] * stride + ids[j]) != rank:
                 continue
-            ids[i], ids[j] = rank, -1
+            merged = ids[i] = rank
+            ids[j] = -1
             k, h = after[j], before[i]
             after[i] = k
             if k < end:
                 before[k] = i
-                fresh.append((pairs(rank * stride + ids[k]), i))
+                rank = pairs(merged * stride + ids[k])
+                if rank is None:
+                    pass
+                elif rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> 8
+                    if word in words:
+                        words[word] |= 1 << (rank & 255)
+                    else:
+                        words[word] = 1 << (rank & 255)
+                        top |= 1 << word
             if h >= 0:
-                fresh.append((pairs(ids[h] * stride + rank), h))
+                rank = pairs(ids[h] * stride + merged)
+                if rank is None:
+                    pass
+                elif rank in buckets:
+                    heappush(buckets[rank], h)
+                else:
+                    buckets[rank] = [h]
+                    word = rank >> 8
+                    if word in words:
+                        words[word] |= 1 << (rank & 255)
+                    else:
+                        words[word] = 1 << (rank & 255)
+                        top |= 1 << word
+        return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> list[int]:
         return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
 
+    def encode_packed(self, text: str) -> bytes:
+        """Ids as bytes, with a bounded memory of short pre-tokens met before."""
+        seen, out = self.seen, []
+        for piece in self.pattern.findall(text):
+            ids = seen.get(piece)
+            if ids is None:
+                ids = _packed(self.encode_piece(piece.encode()))
+                if len(piece) <= _SHORT:
+                    if len(seen) >= _PIECES:
+                        seen.clear()
+                    seen[piece] = ids
+            out.append(ids)
+        return b"".join(out)
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -118,7 +158,7 @@ def load(path: str, pattern: str) -> tuple[BytePairs, ChunkEncoder]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     model = BytePairs(ranks, pattern)
-    return model, ChunkEncoder(lambda chunks: [_packed(model.encode(c)) for c in chunks])
+    return model, ChunkEncoder(lambda chunks: [model.encode_packed(c) for c in chunks])
 
 
 def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
