@@ -192,7 +192,8 @@ def postings(docs: DataFrame, threshold: float, least: int, sketch) -> DataFrame
     """Prefix of every line: word, place (from 0, rare words first), n, parity, and where the line is.
 
     A prefix has n - ceil(threshold * n) + 1 words: two lines that reach the threshold have a
-    word of both prefixes in common. docs may have ``only``: the lines that count.
+    word of both prefixes in common. Words that only one line has find nothing and are left out
+    (their places still count). docs may have ``only``: the lines that count.
     """
     kind = docs.schema["doc"].dataType.simpleString()
     limited = "only" in docs.columns
@@ -206,7 +207,9 @@ def postings(docs: DataFrame, threshold: float, least: int, sketch) -> DataFrame
             line = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(line)) - np.repeat(lines.start[:-1], n)
             prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
-            taken = (place < prefix[line]) & good[line]
+            # A word whose counter stands at 1 is in no other line of the whole corpus.
+            shared = counts[(lines.words & np.uint64(_SKETCH - 1)).astype(np.int64)] > 1
+            taken = (place < prefix[line]) & good[line] & shared
             line, place, word = line[taken], place[taken], lines.words[taken]
             at = pa.array(lines.doc[line])
             yield pa.RecordBatch.from_arrays(
