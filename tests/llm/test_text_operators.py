@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from recprep.llm import components, exact_dedup, lines, quality, rules, simhash
+import corpus_pipeline
+from recprep.llm import components, exact_dedup, lines, quality, rules, shingles, simhash
 from tests.llm.conftest import SF, by_id
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -150,6 +151,45 @@ def test_simhash_cases(docs):
     assert simhash.near_duplicates(docs([])).count() == simhash.keep_one(docs([])).count() == 0
 
 
+def near_groups(rows, words=5, threshold=0.8):
+    """The id that is kept of each group, by brute force."""
+    sets = {}
+    for i, t in rows:
+        parts = (t or "").lower().split()
+        sets[i] = {tuple(parts[k : k + words]) for k in range(max(1, len(parts) - words + 1))} if parts else set()
+
+    def near(a, b):
+        return sets[a] == sets[b] or len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) - 1e-9
+
+    names = brute_components(list(sets), near)
+    return sorted(set(names.values()))
+
+
+def test_near_duplicate_stage_finds_all_pairs(spark, docs):
+    rng = random.Random(7)
+    rows = []
+    for i in range(0, 120, 4):
+        base = [rng.choice(WORDS) + str(rng.randrange(9)) for _ in range(rng.randint(30, 120))]
+        rows.append((i, " ".join(base)))
+        for k in (1, 2, 3):
+            copy = list(base)
+            for _ in range(rng.randint(1, 4)):
+                copy[rng.randrange(len(copy))] = "new"
+            rows.append((i + k, " ".join(copy)))
+    rows += [(200, "a b"), (201, "A  b"), (202, "a b c"), (203, None), (204, " "), (205, "a b c d e"), (206, "a b c d e f")]
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs(rows), SF).collect())
+    assert got == near_groups(rows)
+
+
+def test_near_duplicate_cases(docs):
+    base = [f"w{i}" for i in range(60)]
+    group = [(i, " ".join([*base, f"x{i}"])) for i in range(150)]
+    rows = [*group, (3, group[3][1]), (None, "one two three four five six"), (None, "one two three four five six")]
+    kept = shingles.keep_one(docs(rows))
+    assert kept.columns == docs([]).columns and sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == [-1, 0]
+    assert shingles.keep_one(docs([])).count() == 0
+
+
 def test_rule_signals(spark, docs):
     df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     more = docs([(-1, None), (-2, ""), (-3, "a b c d e f g h " * 3000), (-4, " x\n\nx\n x")]).select("doc_id", "text")
