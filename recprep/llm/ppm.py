@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from recprep.session import materialize
 _END = 0xFF  # closes a text; no UTF-8 text holds this byte
 _START = 0x0A  # stands before the first byte, as often as the order asks
 _SLICE = 1 << 22  # bytes whose contexts are looked up at a time
+_WORD = -1  # the level of words among the levels of contexts
 
 
 @dataclass(frozen=True)
@@ -169,14 +171,16 @@ def adaptive_code_length(text: bytes, order: int = 4) -> float:
     return float(cost)
 
 
-def train(docs: DataFrame, *, order: int = 4, max_pairs: int = 1 << 20, text_col: str = "text") -> Trie:
-    """Count all (context, symbol) pairs of all texts and build the trie.
+def train(
+    docs: DataFrame, *, order: int = 4, max_pairs: int | None = None, text_col: str = "text",
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], DataFrame]:
+    """Count all (context, symbol) pairs of all texts.
 
-    Orders 0 and 1 are complete (at most 65,536 pairs). A longer pair stays in the model if
-    it makes up at least 1 / max_pairs of all symbols, so no order holds more than
-    ``max_pairs`` pairs whatever the size of the corpus; that bound makes the trie safe to
-    send to every executor. What falls below it is coded through an escape. A kept pair's
-    shorter contexts are always kept too.
+    Orders 0 and 1 come back as arrays (pairs, counts): at most 65,536 pairs. Longer contexts
+    come back as a stored table (level, at, seen): one row per context ``at``, with all symbols
+    seen after it and their counts. That table grows with the corpus and stays distributed.
+    All counts are kept, unless ``max_pairs`` asks for pairs that make up at least
+    1 / max_pairs of all symbols; a kept pair's shorter contexts are always kept too.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -190,14 +194,50 @@ def train(docs: DataFrame, *, order: int = 4, max_pairs: int = 1 << 20, text_col
 
     found = docs.select(text_of(text_col).alias("text")).mapInArrow(work, "gram long, n long")
     full = materialize(found.groupBy("gram").agg(F.sum("n").alias("n")))
-    symbols = full.agg(F.sum("n")).first()[0] or 0
-    counts = []
+    least = 1
+    if max_pairs is not None:
+        least = max(1, -(-(full.agg(F.sum("n")).first()[0] or 0) // max_pairs))
+    low, longer = [], None
     for k in range(order + 1):
         tail = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("pair")
-        least = 1 if k < 2 else max(1, -(-symbols // max_pairs))
-        kept = full.groupBy(tail).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toArrow()
-        counts.append((kept.column("pair").to_numpy(), kept.column("n").to_numpy()))
-    return build(counts)
+        pairs = full.groupBy(tail).agg(F.sum("n").alias("n"))
+        if k < 2:
+            kept = pairs.toArrow()
+            low.append((kept.column("pair").to_numpy(), kept.column("n").to_numpy()))
+            continue
+        symbol = F.struct(F.col("pair").bitwiseAND(F.lit(255)).alias("symbol"), "n")
+        level = pairs.filter(F.col("n") >= least).groupBy(F.shiftright("pair", 8).alias("at")).agg(F.collect_list(symbol).alias("seen"))
+        level = level.select(F.lit(k).alias("level"), "at", "seen")
+        longer = level if longer is None else longer.unionByName(level)
+    if longer is None:
+        longer = spark.createDataFrame([], _CONTEXTS)
+    return low, materialize(longer)
+
+
+_CONTEXTS = "level int, at long, seen array<struct<symbol: long, n: long>>"
+
+
+def contexts_of(texts: list[bytes], order: int) -> list[np.ndarray]:
+    """Distinct contexts of the texts, of each length from 2 to order."""
+    distinct = np.zeros(0, np.int64)
+    for grams, _ in grams_of(texts, order):
+        distinct = np.union1d(distinct, grams >> 8)
+    return [np.unique(distinct & ((1 << 8 * k) - 1)) for k in range(2, order + 1)]
+
+
+def told_trie(low: list[tuple[np.ndarray, np.ndarray]], told: pa.Table, order: int) -> Trie:
+    """Trie of the complete orders 0 and 1 and the told contexts (level, at, seen).
+
+    Each context that a text asks for comes with those it ends with, so what the trie says of
+    the text is what the trie of all contexts says.
+    """
+    counts, level = list(low), told.column("level").to_numpy()
+    for k in range(2, order + 1):
+        part = told.filter(pa.array(level == k)).combine_chunks()
+        at = np.repeat(part.column("at").to_numpy(), pc.list_value_length(part.column("seen")).to_numpy())
+        pairs = pc.list_flatten(part.column("seen")).combine_chunks()
+        counts.append((at << 8 | pairs.field("symbol").to_numpy(), pairs.field("n").to_numpy()))
+    return build(counts[: order + 1])
 
 
 def _hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +269,7 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def score(
-    df: DataFrame, trained_on: DataFrame, *, order: int = 4, max_pairs: int = 1 << 20, block_bytes: int = 16 << 20,
+    df: DataFrame, trained_on: DataFrame, *, order: int = 4, max_pairs: int | None = None, block_bytes: int = 16 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
@@ -237,16 +277,17 @@ def score(
     ``score`` is the log10 probability of the text under the trie of ``trained_on``;
     ``base_score`` that of its words and one end under add-one unigram counts of the same texts
     (words are told apart by 64-bit hashes). Documents are dealt into blocks of about
-    ``block_bytes``; a block asks once for the counts of its distinct words, so frequent words
-    cost one row per block, not one per document.
+    ``block_bytes``; a block asks once for the counts of its distinct words and of its distinct
+    contexts, so frequent ones cost one row per block, not one per document. No count is
+    dropped, however rare (unless ``max_pairs`` is given, see :func:`train`).
 
     Defined cases: null text is empty and has the end alone; without training texts every
     count is 0 and every byte costs 8 bits; repeated rows and null ids are scored one by one;
     an empty table gives an empty result; other columns are left out.
     """
     spark = df.sparkSession
-    trie = train(trained_on, order=order, max_pairs=max_pairs, text_col=text_col)
-    model = spark.sparkContext.broadcast(trie)
+    low, contexts = train(trained_on, order=order, max_pairs=max_pairs, text_col=text_col)
+    model = spark.sparkContext.broadcast(low)
     counts = materialize(word_counts(trained_on, text_col=text_col))
     ends = trained_on.count()
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -260,19 +301,26 @@ def score(
     dealt = rows.withColumn("block", F.pmod(place, F.lit(blocks)))
 
     def ask(table: pa.Table) -> pa.Table:
-        hashes, _ = _hashes(_flat(table.column("text").to_pylist())[0])
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(hashes), pa.int64()), "word": hashes})
-
-    asked = dealt.groupBy("block").applyInArrow(ask, "block long, word long")
-    told = asked.join(counts, "word")
+        texts = table.column("text").to_pylist()
+        wanted = [_hashes(_flat(texts)[0])[0], *contexts_of([t.encode() for t in texts], order)]
+        level = np.repeat(np.array([_WORD, *range(2, order + 1)], np.int32), [len(w) for w in wanted])
+        block = pa.array([table.column("block")[0].as_py()] * len(level), pa.int64())
+        return pa.table({"block": block, "level": level, "at": np.concatenate(wanted)})
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "block long, level int, at long")
+    word = F.array(F.struct(F.lit(0).cast("long").alias("symbol"), "n")).alias("seen")
+    known = counts.select(F.lit(_WORD).alias("level"), F.col("word").alias("at"), word).unionByName(contexts)
+    told = asked.join(known, ["level", "at"]).select("block", "level", "at", "seen")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def answer(docs: pa.Table, known: pa.Table) -> pa.Table:
         texts = docs.column("text").to_pylist()
         flat, lengths = _flat(texts)
         hashes, which = _hashes(flat)
-        order_ = np.argsort(known.column("word").to_numpy())
-        words, n = known.column("word").to_numpy()[order_], known.column("n").to_numpy()[order_]
+        own = known.filter(pa.array(known.column("level").to_numpy() == _WORD))
+        order_ = np.argsort(own.column("at").to_numpy())
+        words = own.column("at").to_numpy()[order_]
+        n = pc.list_flatten(own.column("seen")).combine_chunks().field("n").to_numpy()[order_]
         at = _find(words, hashes)
         found = np.where(at >= 0, n[at] if len(n) else 0, 0)[which]
         owner = np.repeat(np.arange(len(texts)), lengths)
@@ -280,7 +328,7 @@ def score(
         seen = np.bincount(owner, found > 0, len(texts)).astype(np.int64)
         n_tokens = lengths + 1
         base = logs + np.log10(ends + 1) - n_tokens * np.log10(tokens + distinct + 1)
-        code = code_lengths(model.value, [t.encode() for t in texts])
+        code = code_lengths(told_trie(model.value, known, order), [t.encode() for t in texts])
         return pa.table({
             "doc_id": docs.column("doc_id"), "n_tokens": n_tokens, "n_known": seen + (ends > 0),
             "train_tokens": np.full(len(texts), tokens), "base_score": base, "score": -code * np.log10(2.0),

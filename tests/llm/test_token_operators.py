@@ -181,6 +181,20 @@ def test_ppm_brute_force(docs, max_pairs):
             assert r.score == pytest.approx(-naive_bits(counts, texts[i].encode(), 3) * np.log10(2))
 
 
+def test_ppm_keeps_rare_contexts(docs):
+    """A context seen once keeps its count, however many symbols the corpus has."""
+    rows = [(i, "the cat sat on the mat " * 20_000) for i in range(5)] + [(5, "qzxj vwky")]
+    got = by_id(ppm.score(docs(rows), docs(rows)), "score")
+    counts = [defaultdict(Counter) for _ in range(5)]
+    for _, t in rows:
+        data = b"\n" * 4 + t.encode() + b"\xff"
+        for p in range(4, len(data)):
+            for k in range(5):
+                counts[k][data[p - k : p]][data[p]] += 1
+    assert sum(len(t) + 1 for _, t in rows) > 1 << 21
+    assert got[5] == pytest.approx(-naive_bits(counts, b"qzxj vwky", 4) * np.log10(2))
+
+
 def test_ppm_cases(docs):
     df = docs([(1, "ab"), (2, None)])
     got = by_id(ppm.score(df, df.limit(0)), "n_known", "train_tokens", "base_score", "score")
