@@ -11,7 +11,7 @@ from recprep.llm.common import crc_rest, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_dedup(table(spark, sf_dir, "documents"))
+    return lines.line_dedup(table(spark, sf_dir, "documents"), least_words=1)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from recprep.llm import components, exact_dedup, lines, quality, rules, shingles, simhash
+from recprep.llm import components, exact_dedup, lines, quality, queries, rules, shingles, simhash
 from tests.llm.conftest import SF, by_id
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -49,6 +49,19 @@ def test_lines_brute_force(docs, seed):
     assert got == like_lines(rows, 0.8, 3)
 
 
+def test_lines_of_few_words(spark, docs, tmp_path):
+    """The query and the stage remove copies of short lines and of lines without spaces too."""
+    rng = random.Random(5)
+    short = ["Les.", "les.", "And ornd.", "ornd. and", "a b c", "a b d", "a b c d e", "a b c d e f", "これは空白のない長い行です", "这是没有空格的一行", ""]
+    rows = [(i, "\n".join(rng.choice(short) for _ in range(rng.randint(0, 5)))) for i in range(30)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = like_lines(rows, 0.8, 1)
+    assert any(len(r) > 1 for r in want.values())
+    assert by_id(queries.op1_line_dedup(spark, str(tmp_path)), "removed") == want
+    kept = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]) for i, t in rows}
+    assert by_id(corpus_pipeline.line_stage(spark, docs(rows), str(tmp_path)), "text") == kept
+
+
 def test_lines_large_similar_group_and_clean(docs):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(40)]
