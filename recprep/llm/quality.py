@@ -80,6 +80,9 @@ def fit(
 ) -> QualityModel:
     """Learn from at most ``sample_rows`` rows of each label.
 
+    Where that bound leaves labels out, the bias is corrected by the share of each label among
+    all usable rows, so the scores mean the same at every size of the table.
+
     Only labelled rows with crc32(id) mod 3 <> 1 are used; the choice among them is by hash.
     Of a text longer than ``sample_bytes`` the sample holds that many bytes, from a place
     given by the hash (scores always use whole texts). The calibration sees each sampled text
@@ -91,7 +94,8 @@ def fit(
     known = labelled(docs, labels.filter(crc_rest(id_col, 3) != 1), id_col=id_col)
     known = known.withColumn("turn", F.xxhash64(F.lit("sample"), "id"))
     chosen = [known.filter(F.col("label") == label).orderBy("turn", "id").limit(sample_rows) for label in (0, 1)]
-    picked = docs.sparkSession.createDataFrame([tuple(r) for part in chosen for r in part.collect()], known.schema)
+    rows = [part.collect() for part in chosen]
+    picked = docs.sparkSession.createDataFrame([tuple(r) for part in rows for r in part], known.schema)
     size = F.length("text")
     place = F.when(size > sample_bytes, F.pmod("turn", size - sample_bytes)).otherwise(0).cast("int") + 1
     texts = (
@@ -116,7 +120,10 @@ def fit(
             held = sample[label][fold::folds]
             x += [features(sizes.of(t)) for t in held]
             y += [float(label)] * len(held)
-    return QualityModel(*dictionaries(None), _logistic(np.array(x), np.array(y)), chunk, level)
+    bias, *slopes = _logistic(np.array(x), np.array(y))
+    everyone = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    bias += math.log(everyone[1] / len(rows[1])) - math.log(everyone[0] / len(rows[0]))
+    return QualityModel(*dictionaries(None), (bias, *slopes), chunk, level)
 
 
 def _dictionary(texts: list[str], size: int, chunk: int, level: int) -> bytes:

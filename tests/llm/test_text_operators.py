@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -253,6 +254,21 @@ def test_quality_held_out(spark):
     assert auc > 0.95 and np.mean([(s >= 0.5) == q for s, q in held]) > 0.95
 
 
+def test_quality_sample_keeps_the_class_share(spark, docs, monkeypatch):
+    """Where the sample is bounded, the bias still has the odds of the labels of all rows."""
+    rng, fitted, plain = random.Random(9), [], quality._logistic
+    monkeypatch.setattr(quality, "_logistic", lambda x, y: fitted.append((plain(x, y), y)) or fitted[-1][0])
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(12))) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i, _ in rows], "doc_id long, quality int")
+    used = [int(i % 10 > 0) for i, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    for bound in (3000, 20):
+        bias = quality.fit(docs(rows), labels, sample_rows=bound).weights[0]
+        weights, y = fitted[-1]
+        assert len(y) == min(bound, sum(used)) + min(bound, len(used) - sum(used))
+        missing = np.log(sum(used) / (len(used) - sum(used))) - np.log(sum(y) / (len(y) - sum(y)))
+        assert bias - weights[0] == pytest.approx(missing) and (missing > 1 if bound == 20 else missing == pytest.approx(0))
+
+
 def test_quality_cases(spark, docs):
     df = docs([(1, None), (2, ""), (3, "word " * 100_000), (3, "word " * 100_000), (None, "x")])
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
