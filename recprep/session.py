@@ -55,4 +55,16 @@ def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table once to the shared folder and read it back: computed once, lineage cut."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` wrote, after their last reader's result is stored."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path:
+            spark = table.sparkSession
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
