@@ -2,86 +2,29 @@
 
 from __future__ import annotations
 
-import json
-import os
-import struct
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.chunks import ChunkEncoder
+from recprep.llm import vocab
 from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of
 from recprep.session import materialize
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> tuple[ChunkEncoder, np.dtype]:
-    """Once per Python worker; ids take two bytes where the vocabulary allows it.
-
-    Where the ids of a byte-level BPE rise in the order of its merges, ids are ranks, and the
-    rank-based library gives the same ids several times faster; else the tokenizer itself encodes.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    width = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-    ranks = _ranks(path)
-    if ranks:
-        import tiktoken
-
-        encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        form = "H" if width.itemsize == 2 else "I"
-
-        def many(chunks: list[str]) -> list[bytes]:
-            return [struct.pack(f"<{len(ids)}{form}", *ids) for ids in map(encode, chunks)]
-    else:
-
-        def many(chunks: list[str]) -> list[bytes]:
-            return [np.array(e.ids, width).tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    return ChunkEncoder(many), width
-
-
-def _ranks(path: str) -> dict[bytes, int] | None:
-    """Tokens as bytes with their ids, if ids follow the merges and the file asks for nothing but byte-level BPE."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    model, before = spec["model"], spec.get("pre_tokenizer") or {}
-    plain = (
-        model.get("type", "BPE") == "BPE" and not spec.get("normalizer") and before.get("type") == "ByteLevel"
-        and not before.get("add_prefix_space") and before.get("use_regex", True) and not model.get("dropout")
-        and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
-    )
-    if not plain:
-        return None
-    # The printable stand-ins of bytes: themselves where printable, else 256 upwards.
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    stand_in = {chr(b): b for b in shown}
-    stand_in.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))})
-    vocabulary = model["vocab"]
-    added = {t["content"] for t in spec.get("added_tokens", [])}
-    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-    singles = [vocabulary.get(c) for c in stand_in]
-    if None in singles or any(a >= b for a, b in zip(merged, merged[1:])) or merged and max(singles) >= merged[0]:
-        return None
-    return {bytes(stand_in[c] for c in token): i for token, i in vocabulary.items() if token not in added}
-
-
 def tokenize(df: DataFrame, path: str, pattern: str, *, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """doc_id, source, n, width, ids (binary). ``path`` names a byte-level tokenizer on every executor.
 
-    Null text is empty: its ids are the end id alone.
+    Null text is empty: its ids are the end id alone. Strings of added tokens become their ids,
+    as the tokenizers library has it by default.
     """
     arrow_batches(df.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, width = _encoder(path, pattern)
+        encoder = vocab.load(path, pattern)
+        width = encoder.width
         end = np.array([end_id], width).tobytes()
         for batch in batches:
             ids = [x + end for x in encoder.encode(batch.column(2).to_pylist())]

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from recprep.llm import bpe, exact_dedup, lines, packing, pii, ppm, quality, rules, simhash, warc
+from recprep.llm import (
+    alignment, bpe, exact_dedup, lines, packing, pii, ppm, quality, records, rules, simhash, warc,
+)
 from recprep.llm.common import crc_rest, table
 
 
@@ -67,6 +69,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).drop("payload")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, public_tokenizers.PATTERN, b)[0]
+
+
+def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return records.binary_records(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -78,6 +90,8 @@ LLM_QUERIES = {
     "op8_ppm": op8_ppm,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
+    "op11_alignment": op11_alignment,
+    "op12_binary_records": op12_binary_records,
 }
 
 LLM_SQL = {
