@@ -12,6 +12,7 @@ documents. No row of the shuffles stands for a single link, and none holds more
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ from recprep.llm.common import arrow_batches, text_of
 from recprep.session import discard, materialize
 
 _BLOCK_DOCS, _BLOCK_BYTES, _SLICE_BYTES = 1 << 16, 16 << 20, 4 << 20
-_CHUNK, _CHUNKS = 64, 200_000  # chunks remembered per worker: characters of one, and how many
+_CHUNK, _CHUNKS = 64, 300_000  # chunks remembered per worker: characters of one, and how many
 _SPACE = "▁"  # fixed value: the sign for a space in pieces
 
 
@@ -50,6 +51,7 @@ class Aligner:
             inside = inside or _SPACE in piece.lstrip(_SPACE)
         # Chunks can be encoded one by one only if no piece goes on over the space between two words.
         self.cuttable = not inside
+        self.names = list(map(str, range(max(len(self.b_bytes), 1 + max(self.a_bytes)))))
         self.known: dict[str, tuple | None] = {}
 
     def chunks(self, text: str) -> list[str]:
@@ -59,40 +61,42 @@ class Aligner:
         head, rest = cut(text)
         return [" " + head, *[" " + r for r in rest]]
 
-    def align(self, chunk: str, a_ids: np.ndarray, b_ids: list[int]) -> tuple | None:
+    def align(self, chunk: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
         """(tokens of A, of B, groups, links, groups as text, pairs) of a chunk, or None where bytes differ."""
-        a_ids = a_ids.tolist()
         whole = chunk.encode()
         a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
         if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
             return None
-        pairs, groups = [], []
+        a_named, b_named = [self.names[i] for i in a_ids], [self.names[i] for i in b_ids]
+        a_left, b_left = [len(x) for x in a_parts], [len(x) for x in b_parts]
+        pairs, groups, last = [], [], len(a_ids)
         i = j = from_i = from_j = 0
-        end_a, end_b = len(a_parts[0]), len(b_parts[0])
+        high, low = a_ids[0] << 32, b_ids[0]
+        behind = a_left[0] - b_left[0]  # how far the token of A reaches beyond that of B
         while True:
-            pairs.append(a_ids[i] << 32 | b_ids[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a_ids[from_i : i + 1]))}|{','.join(map(str, b_ids[from_j : j + 1]))}")
+            pairs.append(high | low)
+            if not behind:
                 i, j = i + 1, j + 1
-                from_i, from_j = i, j
-                if i == len(a_ids):
+                groups.append(",".join(a_named[from_i:i]) + "|" + ",".join(b_named[from_j:j]))
+                if i == last:
                     break
-                end_a, end_b = end_a + len(a_parts[i]), end_b + len(b_parts[j])
-            elif end_a < end_b:
+                from_i, from_j = i, j
+                high, low, behind = a_ids[i] << 32, b_ids[j], a_left[i] - b_left[j]
+            elif behind < 0:
                 i += 1
-                end_a += len(a_parts[i])
+                high, behind = a_ids[i] << 32, behind + a_left[i]
             else:
                 j += 1
-                end_b += len(b_parts[j])
-        return len(a_ids), len(b_ids), len(groups), len(pairs), ";".join(groups), np.array(pairs, np.int64).tobytes()
+                low, behind = b_ids[j], behind - b_left[j]
+        return last, len(b_ids), len(groups), len(pairs), ";".join(groups), array("q", pairs).tobytes()
 
     def align_all(self, chunks: list[str]) -> Iterator[tuple | None]:
-        width = self.a.width
+        width = self.a.width.char
         for at in range(0, len(chunks), 5000):
             part = chunks[at : at + 5000]
             b_ids = self.b.encode([c[1:] for c in part], num_threads=1)
             for chunk, a, b in zip(part, self.a.many(part), b_ids):
-                yield self.align(chunk, np.frombuffer(a, width), b)
+                yield self.align(chunk, memoryview(a).cast(width).tolist(), b)
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
         """(n_a, n_b, n_groups, n_links, groups as text, pairs as 64-bit numbers) of each text; zeros and '' without tokens."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from recprep.llm import (
-    alignment, bpe, exact_dedup, lines, packing, pii, ppm, quality, records, rules, simhash, warc,
+    alignment, bpe, collocations, exact_dedup, lines, packing, pii, ppm, quality, records, rules, simhash, warc,
 )
 from recprep.llm.common import crc_rest, table
 
@@ -79,6 +79,10 @@ def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.binary_records(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -92,6 +96,7 @@ LLM_QUERIES = {
     "op10_warc": op10_warc,
     "op11_alignment": op11_alignment,
     "op12_binary_records": op12_binary_records,
+    "op13_collocations": op13_collocations,
 }
 
 LLM_SQL = {
@@ -118,4 +123,39 @@ LLM_SQL = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM g
     """,
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p
+        ), t AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM w GROUP BY lang
+        ), g AS (
+            SELECT lang, words[i : i + m - 1] AS phrase
+            FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w), (SELECT unnest(range(1, 6)) AS m)
+            WHERE i + m - 1 <= len(words)
+        ), f AS (SELECT lang, phrase, count(*)::HUGEINT AS f FROM g GROUP BY lang, phrase HAVING count(*) >= 100
+        ), c AS (SELECT * FROM f WHERE len(phrase) > 1
+        ), k AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n, 1000 * c.f * n // (l.f * r.f) AS score
+            FROM (SELECT *, unnest(range(1, len(phrase))) AS k FROM c) c
+            JOIN f l ON l.lang = c.lang AND l.phrase = c.phrase[1 : k]
+            JOIN f r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1 : len(c.phrase)]
+            JOIN t ON t.lang = c.lang
+        ), s AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), part AS (
+            SELECT c.lang, c.f AS more, c.phrase[i : i + m - 1] AS phrase
+            FROM (SELECT *, unnest(range(1, len(phrase) + 1)) AS i FROM c) c, (SELECT unnest(range(2, 5)) AS m)
+            WHERE i + m - 1 <= len(c.phrase) AND m < len(c.phrase)
+        ), best AS (
+            SELECT s.* FROM s WHERE NOT EXISTS (
+                SELECT 1 FROM part WHERE part.lang = s.lang AND part.phrase = s.phrase AND 100 * part.more >= 100 * s.a)
+        ), o AS (
+            SELECT *, array_to_string(phrase, ' ') AS told FROM best
+        ), q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, told) AS rank FROM o)
+        SELECT lang, rank, told AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+               score::BIGINT AS score
+        FROM q WHERE rank <= 2000
+    """,
 }

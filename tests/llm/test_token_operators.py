@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from recprep.llm import bpe, chunks, packing, pii, ppm, warc
+from recprep.llm import bpe, chunks, packing, pii, ppm, vocab, warc
 from tests.llm.conftest import SF, by_id
 
 JSON, MULTI = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"))
@@ -61,17 +62,24 @@ def test_bpe_ranks_that_fall_along_the_way():
         assert model.encode_piece(piece) == ([ranks[piece]] if piece in ranks else [ranks[p] for p in parts])
 
 
-def test_packing_encoder_is_the_tokenizer():
+SPECIAL = ["<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>", "<|endoftext", "  <|endoftext|>  y"]
+
+
+def test_file_encoder_is_the_tokenizer():
+    """The library as it comes: strings of special tokens become their ids; and with its switch, they do not."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
-    assert len(packing._ranks(JSON)) == 50256
-    encoder, width = packing._encoder(JSON, public_tokenizers.PATTERN)
+    with open(JSON, encoding="utf-8") as file:
+        assert len(vocab.ranks_of(json.load(file))) == 50256
     every = ["".join(f"a{chr(c)} {chr(c)}b" for c in range(k, min(k + 512, 0xD800))) for k in range(0, 0xD800, 512)]
-    texts = TRICKY + every + ["<|endoftext|> a <|endoftext|>"]
-    for text, ids in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(ids, width).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:30])
+    texts = TRICKY + every + SPECIAL
+    for special in (True, False):
+        tokenizer = Tokenizer.from_file(JSON)
+        if not special:
+            tokenizer.encode_special_tokens = True
+        encoder = vocab.load(JSON, public_tokenizers.PATTERN, special)
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, encoder.width).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:30])
 
 
 def test_chunks_join_again():
