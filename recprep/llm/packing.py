@@ -55,7 +55,7 @@ def queue_offsets(docs: DataFrame, bucket_docs: int) -> DataFrame:
     sums of a source meet in one task, so a source with most of the rows is summed in parallel.
     """
     buckets = max(1, -(-docs.count() // bucket_docs))
-    dealt = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "n"), F.lit(buckets)))
+    dealt = docs.withColumn("bucket", F.pmod(F.xxhash64("row_id"), F.lit(buckets)))
     inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "row_id")
     sums = dealt.groupBy("source", "bucket").agg(F.sum("n").alias("in_bucket"))
     before = sums.withColumn("before", _running("in_bucket", Window.partitionBy("source").orderBy("bucket")))
@@ -77,16 +77,20 @@ def rounds(queued: DataFrame, window_tokens: int, targets: Mapping[str | None, f
     has to wait for the one before it, and the carry crosses windows and partitions exactly.
 
     Without ``targets`` the share of a source is its share of all tokens, and all queues end
-    together. With targets, sources that are not named share one weight of their own (key
-    None, default: nothing but their tokens' share), and a queue that ends early leaves the
-    later rounds to the others.
+    together. With targets, sources that are not named share the weight under the key None by
+    their tokens (without that key each has its share of all tokens), and a queue that ends
+    early leaves the later rounds to the others.
     """
     totals = queued.groupBy("source").agg(F.sum("n").alias("tokens"))
-    everything = queued.agg(F.sum("n").alias("all_tokens"))
+    named = F.coalesce(F.col("source").isin(*[s for s in targets or () if s is not None]), F.lit(False))
+    everything = totals.agg(
+        F.sum("tokens").alias("all_tokens"), F.sum(F.when(~named, F.col("tokens"))).alias("other_tokens")
+    )
     shares = totals.crossJoin(F.broadcast(everything)).withColumn("share", F.col("tokens") / F.col("all_tokens"))
     if targets:
         whole = float(sum(targets.values()))
-        share = F.col("share")
+        rest = targets.get(None)
+        share = F.col("share") if rest is None else F.lit(rest / whole) * F.col("tokens") / F.col("other_tokens")
         for source, weight in targets.items():
             if source is not None:
                 share = F.when(F.col("source") == source, F.lit(weight / whole)).otherwise(share)

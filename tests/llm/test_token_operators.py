@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from recprep.llm import bpe, chunks, packing, pii, ppm, vocab, warc
@@ -67,8 +68,6 @@ SPECIAL = ["<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "<|endoftext|><
 
 def test_file_encoder_is_the_tokenizer():
     """The library as it comes: strings of special tokens become their ids; and with its switch, they do not."""
-    from tokenizers import Tokenizer
-
     with open(JSON, encoding="utf-8") as file:
         assert len(vocab.ranks_of(json.load(file))) == 50256
     every = ["".join(f"a{chr(c)} {chr(c)}b" for c in range(k, min(k + 512, 0xD800))) for k in range(0, 0xD800, 512)]
@@ -89,14 +88,14 @@ def test_chunks_join_again():
 
 
 def check_pieces(pieces, texts, seq_len):
-    enc = tik("byte_bpe_50k.tiktoken")
+    enc = Tokenizer.from_file(JSON)  # untouched
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for p in pieces:
         by_doc[p.doc_id].append(p)
         by_seq[p.sequence_id].append(p)
     assert by_doc.keys() == texts.keys()
     for i, text in texts.items():
-        ids, at = np.array(enc.encode_ordinary(text or "") + [1], "<u4"), 0
+        ids, at = np.array(enc.encode(text or "", add_special_tokens=False).ids + [1], "<u4"), 0
         for p in sorted(by_doc[i], key=lambda p: p.start):
             part = ids[p.start : p.start + p.length]
             assert p.start == at and p.doc_tokens == len(ids) and p.ids_crc32 == zlib.crc32(part.tobytes())
@@ -135,8 +134,24 @@ def test_packing_follows_targets(docs):
         assert abs(served[source] - share * last * 64 * 64) <= 400  # less than a document is carried
 
 
+def test_packing_shares_a_weight_among_unnamed_sources(docs):
+    rows = [(i, "word " * (5 + i % 90)) for i in range(900)]
+    pieces = packing.pack(docs(rows), JSON, public_tokenizers.PATTERN, seq_len=64, window_sequences=64, targets={"s0": 0.5, None: 0.5}).collect()
+    check_pieces(pieces, dict(rows), 64)
+    total, served = Counter(), Counter()
+    for p in pieces:
+        total[p.source] += p.length
+    last = int(total["s0"] / (0.5 * 64 * 64))
+    for p in pieces:
+        if p.round < last:
+            served[p.source] += p.length
+    others = total["s1"] + total["s2"]
+    for source, share in (("s0", 0.5), ("s1", 0.5 * total["s1"] / others), ("s2", 0.5 * total["s2"] / others)):
+        assert abs(served[source] - share * last * 64 * 64) <= 400
+
+
 def test_packing_cases(docs):
-    rows = [(1, None), (2, ""), (3, "x y " * 5000), (4, "a")]
+    rows = [(1, None), (2, ""), (3, "x y " * 5000), (4, "a"), *enumerate(SPECIAL, 5)]
     check_pieces(packing.pack(docs(rows), JSON, public_tokenizers.PATTERN).collect(), dict(rows), 2048)
     twice = packing.pack(docs([(1, "a b"), (1, "a b"), (None, "c")]), JSON, public_tokenizers.PATTERN).collect()
     assert sum(p.length for p in twice) == 8 and len(twice) == 3
