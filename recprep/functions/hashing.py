@@ -6,7 +6,7 @@ again when a lost task is retried.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _UNIT = float(1 << 52)  # 13 hex digits: exact in a double, so u is in [0, 1) and 1 - u > 0
@@ -38,20 +38,15 @@ def u01(seed: int, salt: str, *keys: Column) -> Column:
     return unit(digest(seed, salt, *keys))
 
 
-def row_key(df: DataFrame, occurrence: bool = False) -> Column:
+def row_key(df: DataFrame) -> Column:
     """Key for a row without an id: 128 hash bits over all columns.
 
     Two 64-bit hashes read the columns in their binary form, which is many times cheaper than
     an MD5 over their text. Exact copies share one key, so they share each draw;
-    ``occurrence=True`` numbers the copies of a row first and is only meant for inputs with
-    few copies of any one row.
+    ``operators.ordered.row_ids`` tells copies apart.
     """
-    names = list(df.columns)
-    key = F.concat_ws("", F.hex(F.xxhash64(*names)), F.hex(F.xxhash64(F.lit("second"), *names)))
-    if not occurrence:
-        return key
-    copy_no = F.row_number().over(Window.partitionBy(*df.columns).orderBy(F.lit(0)))
-    return F.concat_ws("#", key, copy_no.cast("string"))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return F.concat_ws("", F.hex(F.xxhash64(*names)), F.hex(F.xxhash64(F.lit("second"), *names)))
 
 
 def pick(draw: Column, values: tuple, weights: tuple | None = None) -> Column:

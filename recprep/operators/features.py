@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.operators.keyed import first_values, m_avg
-from recprep.operators.ranks import dense_index
+from recprep.operators.ranks import dense_index, dense_indexes
 from recprep.session import materialize
 
 ITEM_ENCODINGS = {"category_code": "category_code_idx", "brand": "brand_idx", "category_id": "category_id_idx"}
@@ -30,9 +30,10 @@ def ordinal_encode(
 
 
 def _encode_all(df: DataFrame, encodings: dict[str, str]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Encode several columns; every mapping comes from one written copy of the table."""
+    """Encode several text columns; all mappings come from one pass over a written copy of the table."""
     base = materialize(df)
-    maps = {out: _value_index(base, column) for column, out in encodings.items()}
+    known = materialize(dense_indexes(base, list(encodings)))
+    maps = {out: known.where(F.col("column") == column).drop("column") for column, out in encodings.items()}
     done = base
     for column, out in encodings.items():
         done, _ = ordinal_encode(done, column, out, maps[out])

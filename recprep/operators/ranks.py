@@ -5,28 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recprep.operators.ordered import with_position
+from recprep.session import materialize
 
-def dense_index(values: DataFrame, column: str, out: str = "idx", splits: int = 255) -> DataFrame:
-    """Number distinct non-NULL values 1..k in ascending order.
 
-    Up to ``splits`` values, drawn by hash, cut the value range into pieces of similar size
-    (a job brings just these to the driver). Each piece is numbered on its own and shifted by
-    the sizes of the pieces before it, at most ``splits + 1`` rows. The cut points depend on
-    the values only, not on partitioning.
+def dense_index(values: DataFrame, column: str, out: str = "idx") -> DataFrame:
+    """Number distinct non-NULL values 1..k in ascending order."""
+    distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
+    return with_position(distinct, [column], out, ties=False)
+
+
+def dense_indexes(df: DataFrame, columns: list[str], out: str = "idx") -> DataFrame:
+    """(column, value, idx): the distinct non-NULL values of each column, numbered 1..k in ascending order.
+
+    One pass over ``df`` for all columns, which must have one type. Values are tagged with the place
+    of their column, reduced to distinct ones on the map side, laid out by (tag, value), and a
+    column's numbers start where the one before ends.
     """
-    distinct = values.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
-    drawn = distinct.orderBy(F.md5(F.col("v").cast("string")), "v").limit(splits).collect()
-    kind = distinct.schema["v"].dataType
-    points = F.array(*[F.lit(row["v"]).cast(kind) for row in drawn])
-    located = distinct.select("v", F.size(F.filter(points, lambda p: p <= F.col("v"))).alias("piece"))
-    ranked = located.withColumn("r", F.row_number().over(Window.partitionBy("piece").orderBy("v")))
-    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = located.groupBy("piece").agg(F.count("*").alias("c")).select(
-        "piece", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("shift")
-    )
-    return ranked.join(F.broadcast(offsets), "piece").select(
-        F.col("v").alias(column), (F.col("r") + F.col("shift")).cast("long").alias(out)
-    )
+    kinds = {df.schema[c].dataType for c in columns}
+    if len(kinds) != 1:
+        raise ValueError("columns of one type can share a pass")
+    tagged = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("tag"), F.col(c).alias("value")) for i, c in enumerate(columns)
+    ])).alias("t")).select("t.*")
+    distinct = tagged.where(F.col("value").isNotNull()).distinct()
+    placed = materialize(with_position(distinct, ["tag", "value"], "at", ties=False))
+    first = placed.groupBy("tag").agg(F.min("at").alias("first"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("tag") + 1)
+    joined = placed.join(F.broadcast(first), "tag")  # a row per column
+    return joined.select(name.alias("column"), "value", (F.col("at") - F.col("first") + 1).alias(out))
 
 
 def running_total(df: DataFrame, key: str, weight: str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.functions.hashing import u01
+from recprep.operators.ordered import row_ids
 
-_BUCKETS = 1 << 16
+_BUCKETS = 1 << 16  # of one histogram
+_RANKED = 100_000  # keys of a bucket that one task may rank
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int, salt: str = "sample", instead: Column | None = None) -> DataFrame:
@@ -43,28 +45,33 @@ def hash_cut(
 
     ``keys`` holds each key once. Which keys are in an exact-n sample is then a comparison
     with a literal (``in_cut``) that any table can make row by row, without a join. The n-th
-    position is found from a histogram of hash buckets (at most 65,536 rows) and a rank
-    inside the one bucket where the count reaches n, so no task ever sorts all keys. This
-    runs a job; one row comes back.
+    position is found from a histogram of hash buckets (at most 65,536 rows); the bucket where
+    the count reaches n gets a histogram of its own, until it holds few enough keys (100,000) to
+    rank them in one task. Each level is a job; one row comes back.
     """
     draws = keys.where(F.col(key).isNotNull()).select(
         F.col(key).cast("string").alias("k"), u01(seed, salt, F.col(key)).alias("u")
-    ).withColumn("b", F.floor(F.col("u") * _BUCKETS))
-    histogram = draws.groupBy("b").agg(F.count("*").alias("c"))
-    upto = histogram.select(
-        "b",
-        "c",
-        F.sum("c").over(Window.orderBy("b")).alias("upto"),
-        F.sum("c").over(Window.partitionBy()).alias("total"),
     )
-    wanted = size(F.col("total")).cast("long")
-    edge = upto.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("c") < wanted)).select(
-        "b", (wanted - (F.col("upto") - F.col("c"))).alias("rank")
-    )
-    inside = draws.join(F.broadcast(edge), "b")  # edge has at most one row
-    ranked = inside.withColumn("rn", F.row_number().over(Window.partitionBy("b").orderBy("u", "k")))
-    last = ranked.where(F.col("rn") == F.col("rank")).select("u", "k").first()
-    return None if last is None else Cut(last["u"], last["k"])
+    wanted, cells = None, 1.0
+    for _ in range(3):
+        cells *= _BUCKETS
+        histogram = draws.withColumn("b", F.floor(F.col("u") * cells)).groupBy("b").agg(F.count("*").alias("c"))
+        upto = histogram.select(
+            "b", "c", F.sum("c").over(Window.orderBy("b")).alias("upto"), F.sum("c").over(Window.partitionBy()).alias("total")
+        )
+        rank = size(F.col("total")).cast("long") if wanted is None else F.lit(wanted)
+        edge = upto.where((F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank)).select(
+            "b", "c", (rank - (F.col("upto") - F.col("c"))).alias("rank")
+        ).first()
+        if edge is None:
+            return None
+        wanted = edge["rank"]
+        draws = draws.where(F.floor(F.col("u") * cells) == F.lit(edge["b"]))
+        if edge["c"] <= _RANKED:
+            break
+    ranked = draws.withColumn("rn", F.row_number().over(Window.orderBy("u", "k")))
+    last = ranked.where(F.col("rn") == F.lit(wanted)).select("u", "k").first()
+    return Cut(last["u"], last["k"])
 
 
 def in_cut(key: str, cut: Cut | None, seed: int, salt: str) -> Column:
@@ -81,3 +88,15 @@ def take_keys(
 ) -> DataFrame:
     """Exactly n of the given distinct keys."""
     return keys.where(in_cut(key, hash_cut(keys, key, size, seed, salt), seed, salt))
+
+
+def limit_rows(df: DataFrame, n: int, seed: int, key: Column | None = None, salt: str = "limit") -> DataFrame:
+    """At most ``n`` rows, the same ones in any run and under any partitioning.
+
+    The rows that come first by a hash of ``key`` (one value per row; default: the row itself and
+    the number of its copy). They are found by a comparison with the n-th position, in parallel;
+    rows without a key are left out.
+    """
+    ids = row_ids(df, "_row") if key is None else df.withColumn("_row", key.cast("string"))
+    cut = hash_cut(ids.select("_row"), "_row", lambda total: F.least(total, F.lit(n)), seed, salt)
+    return ids.where(in_cut("_row", cut, seed, salt)).drop("_row")

@@ -42,12 +42,7 @@ def session_dwell(
     else:
         group = F.coalesce(F.concat(F.lit("s"), group), F.lit("-"))
     inside = keyed.where(in_session).withColumn("_group", group)
-    led = next_in_group(
-        inside, "_group", ["event_time", "_tie"], "_next", split,
-        # the default tie reads every column: cut along time alone then
-        cut_order=["event_time"] if tie is None else None,
-        sample_on=[c for c in ("item_id", "event_type") if c in columns],
-    )
+    led = next_in_group(inside, "_group", ["event_time", "_tie"], "_next", split)
     gap = F.col("_next") - F.col("event_time")
     dwell = F.coalesce(clamp(gap, 0, cap_ms), F.lit(0)).cast("long").alias("engagement_time_msec")
     alone = events.where(~in_session).select(*columns, F.lit(0).cast("long").alias("engagement_time_msec"))

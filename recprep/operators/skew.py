@@ -1,21 +1,22 @@
-"""Cut the time line of hot keys, so that an ordered window never holds a hot key whole."""
+"""The next value of an ordered group, where a group may hold most of the rows."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recprep.operators.ordered import PART, ROW, lay_out
+from recprep.session import materialize
+
 
 @dataclass(frozen=True)
 class SplitPlan:
-    """When and how finely keys are cut.
+    """Which keys are hot: those with at least 1/``pieces`` of the sampled rows, and at least ``min_hits`` of them.
 
-    A key is cut when it holds at least 1/``pieces`` of the sampled rows (and at least
-    ``min_hits`` of them); it gets about ``share * pieces`` cut points. There are at most
-    ``pieces`` such keys and twice as many cut points, whatever the size of the data. The
-    sample (1 row in ``sample_mod``, by hash) only finds cut points; every row stays.
+    There are at most ``pieces`` such keys, whatever the size of the data. The sample (1 row in
+    ``sample_mod``) decides only which way a key's rows take, never the result.
     """
 
     pieces: int = 4096
@@ -23,75 +24,43 @@ class SplitPlan:
     min_hits: int = 32
 
 
-def cut_points(
-    df: DataFrame, key: str, order: list[str], plan: SplitPlan, sample_on: list[str] = ()
-) -> DataFrame | None:
-    """(key, cuts): sorted cut positions for each hot key; None when no key is hot.
-
-    Rows are sampled by a hash of key, order and ``sample_on``. Usually this is one job over
-    a few columns of the sample that finds no hot key. Otherwise at most ``pieces`` keys and
-    twice as many cut points go through the driver.
-    """
-    mixed = F.xxhash64(F.lit("cut"), key, *order, *sample_on)
-    sample = df.select(key, *order, mixed.alias("_h")).where(
-        F.pmod("_h", F.lit(plan.sample_mod)) == 0
-    )
-    counts = sample.groupBy(key).agg(F.count("*").alias("_n"))
+def hot_keys(df: DataFrame, key: str, plan: SplitPlan) -> DataFrame | None:
+    """Keys (at most ``plan.pieces``) that hold a large share of the rows; None when there is none."""
+    place = F.xxhash64(F.monotonically_increasing_id())
+    sample = df.select(key, place.alias("_h")).where(F.pmod("_h", F.lit(plan.sample_mod)) == 0)
+    counts = materialize(sample.groupBy(key).agg(F.count("*").alias("_n")))
     seen = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("most")).first()
     if seen["most"] is None or seen["most"] < plan.min_hits or seen["most"] * plan.pieces < seen["total"]:
         return None
     enough = (F.col("_n") >= plan.min_hits) & (F.col("_n") * F.lit(plan.pieces) >= F.lit(seen["total"]))
-    wanted = F.ceil(F.col("_n") * F.lit(plan.pieces) / F.lit(seen["total"]))
-    hot = counts.where(enough).select(key, wanted.alias("_wanted"))
-    ranked = sample.join(F.broadcast(hot), key).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(key).orderBy("_h", *order))
-    )
-    # at most `pieces` rows of a key pass, also through the limit before the shuffle
-    kept = ranked.where(F.col("_rn") <= plan.pieces).where(F.col("_rn") <= F.col("_wanted"))
-    cuts = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
-    return df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
-
-
-def _piece(order: list[str]) -> Column:
-    position = F.struct(*order)
-    passed = F.size(F.filter(F.col("_cuts"), lambda c: c <= position))
-    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(passed)
+    return counts.where(enough).select(key)
 
 
 def next_in_group(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    out: str,
-    plan: SplitPlan | None = SplitPlan(),
-    cut_order: list[str] | None = None,
-    sample_on: list[str] = (),
+    df: DataFrame, key: str, order: list[str], out: str, plan: SplitPlan | None = SplitPlan()
 ) -> DataFrame:
     """Add ``out``: the value of ``order[0]`` in the next row of the same key (NULL at the end).
 
-    Equal to LEAD(order[0]) OVER (PARTITION BY key ORDER BY order). Rows are windowed per
-    (key, piece); the last row of a piece takes the first value of the next piece, which
-    comes from a table with one row per piece of a hot key. ``order`` must be unique per key.
-    Cuts are made along ``cut_order``, a prefix of ``order`` that is cheap to read.
+    Equal to LEAD(order[0]) OVER (PARTITION BY key ORDER BY order). Rows of hot keys take another
+    way: a segmented scan over range partitions of (key, order), which also cut a key whose rows
+    share one instant. Inside a partition LEAD gives the next row; the last row of a key in a
+    partition takes the first value of that key in the next partition, from a table with one row
+    per key and partition (each border adds at most one, so it may be broadcast).
     """
-    along = cut_order or order
-    cuts = None if plan is None else cut_points(df, key, along, plan, sample_on)
-    if cuts is None:
-        window = Window.partitionBy(key).orderBy(*order)
+    hot = None if plan is None else hot_keys(df, key, plan)
+    window = Window.partitionBy(key).orderBy(*order)
+    if hot is None:
         return df.withColumn(out, F.lead(order[0]).over(window))
-    marked = df.join(F.broadcast(cuts), key, "left").withColumn("_piece", _piece(along)).drop("_cuts")
-    window = Window.partitionBy(key, "_piece").orderBy(*order)
-    led = marked.withColumn("_lead", F.lead(order[0]).over(window))
-    heads = (
-        df.select(key, *along).join(F.broadcast(cuts), key)
-        .withColumn("_piece", _piece(along))
-        .groupBy(key, "_piece").agg(F.min(order[0]).alias("_head"))
-    )
-    following = heads.select(
-        key, "_piece", F.lead("_head").over(Window.partitionBy(key).orderBy("_piece")).alias("_next")
-    )
-    return (
-        led.join(F.broadcast(following), [key, "_piece"], "left")
-        .withColumn(out, F.coalesce("_lead", "_next"))
-        .select(*df.columns, out)
-    )
+    usual = df.join(F.broadcast(hot), key, "left_anti").withColumn(out, F.lead(order[0]).over(window))
+    return usual.unionByName(_segmented(df.join(F.broadcast(hot), key, "left_semi"), key, order, out))
+
+
+def _segmented(rows: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
+    laid = lay_out(rows, [key, *order])
+    inside = Window.partitionBy(PART, key).orderBy(ROW)
+    led = laid.withColumn("_lead", F.lead(order[0]).over(inside))
+    heads = laid.groupBy(key, PART).agg(F.min(order[0]).alias("_head"))
+    line = Window.partitionBy(key).orderBy(PART)
+    following = heads.select(key, PART, F.lead("_head").over(line).alias("_next"))
+    joined = led.join(F.broadcast(following), [key, PART])
+    return joined.withColumn(out, F.coalesce("_lead", "_next")).select(*rows.columns, out)

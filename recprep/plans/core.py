@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from recprep.operators.keyed import best_row
+from recprep.operators.ordered import with_position
 
 CUSTOMER, PRODUCT = "customer_id", "product_id"
 
@@ -23,8 +24,8 @@ def interaction_dataset(
     ``sides`` holds (table, join keys, how). Every side has one row per join key, so the joins
     never multiply rows and a hot customer is split by the adaptive skew join. ``best`` picks
     the row to keep when interactions hold several per key; it runs before the joins, so only
-    kept rows are widened. ``columns`` may call the interactions by ``name``. ``ordered`` adds
-    a global sort, which writers do not need.
+    kept rows are widened. ``columns`` may call the interactions by ``name``. ``ordered`` lays the
+    rows out in that global order, in parallel, and adds ``position``, the place in it from 1.
     """
     rows = interactions if best is None else best_row(interactions, list(keys), best)
     if name is not None:
@@ -32,4 +33,4 @@ def interaction_dataset(
     for table, on, how in sides:
         rows = rows.join(table, on, how)
     out = rows.select(*columns)
-    return out.orderBy(*ordered) if ordered else out
+    return with_position(out, ordered) if ordered else out

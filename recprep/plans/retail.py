@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.functions import numeric as num
 from recprep.functions.text import first_like
 from recprep.functions.times import days_between, days_until, local_parts, local_time
-from recprep.operators.keyed import (
-    dimension,
-    distinct_counts,
-    m_avg,
-    m_max,
-    m_min,
-    m_sum,
-    m_total,
-    two_level,
-)
+from recprep.operators.keyed import distinct_counts, m_avg, m_sum, m_total
 from recprep.plans.core import CUSTOMER, PRODUCT, interaction_dataset
+from recprep.session import materialize
 
 # --- Fixed values: name patterns and labels of store classes. ---
 STORE_TYPES = [
@@ -32,21 +26,80 @@ CHAIN_PATTERN, CHAIN, INDEPENDENT = "%#%", "Chain Store", "Independent Store"
 # --- End of fixed values. ---
 
 
-def _stores(sales: DataFrame) -> DataFrame:
-    return sales.where(F.col("store_number").isNotNull()).withColumn(CUSTOMER, F.col("store_number"))
+def _measures() -> SimpleNamespace:
+    """Measures summed once per (store, item, category, vendor) and merged per item, store or category."""
+    return SimpleNamespace(
+        sale=m_avg("sale", "sale_dollars"), spent=m_sum("sale", "sale_dollars"),  # they share their parts
+        bottles=m_total("bottles", "bottles_sold"),
+        cost=m_avg("cost", "state_bottle_cost"), retail=m_avg("retail", "state_bottle_retail"),
+        liters=m_avg("liters", "volume_sold_liters"), gallons=m_avg("gallons", "volume_sold_gallons"),
+        per_liter=m_avg("per_liter", num.safe_div("sale_dollars", "volume_sold_liters")), pack=m_avg("pack", "pack"),
+    )
+
+
+_PAIR = ["store_number", "item_number", "category_name", "vendor_name"]
+_STORE_ATTRIBUTES = ["store_name", "address", "city", "zip_code", "county", "county_number"]
+_ITEM_ATTRIBUTES = [
+    "item_description", "category", "category_name", "vendor_number", "vendor_name", "pack", "bottle_volume_ml",
+]
+
+
+def pair_facts(sales: DataFrame) -> DataFrame:
+    """The pre-aggregate of the family: one row per store, item, category and vendor as sold.
+
+    One pass over the sales; everything but attributes and distinct days comes from this table.
+    The only wide DISTINCT is the date; months and weekdays are bit masks.
+    """
+    m = _measures()
+    measures = (m.sale, m.bottles, m.cost, m.retail, m.liters, m.gallons, m.per_liter, m.pack)
+    return sales.groupBy(*_PAIR).agg(
+        F.count_distinct("date").alias("purchase_frequency"),
+        F.min("date").alias("_first"),
+        F.max("date").alias("_last"),
+        F.bit_or(num.bit_of(F.month("date"))).alias("_months"),
+        F.bit_or(num.bit_of(F.dayofweek("date"))).alias("_weekdays"),
+        F.stddev_samp("state_bottle_retail").alias("price_variation"),
+        F.stddev_samp("bottles_sold").alias("purchase_quantity_variation"),
+        *[p for each in measures for p in each.partial],
+    )
+
+
+def day_marks(sales: DataFrame) -> DataFrame:
+    """Distinct (store or item, day, attributes): a second pass that serves both sides at once."""
+    def tagged(side: str, key: str, mine: list[str]) -> Column:
+        values = [
+            (F.col(c) if c in mine else F.lit(None).cast(sales.schema[c].dataType)).alias(f"_{i}")
+            for i, c in enumerate(_STORE_ATTRIBUTES + _ITEM_ATTRIBUTES)
+        ]
+        return F.struct(F.lit(side).alias("side"), F.col(key).cast("string").alias("key"), F.col("date"), *values)
 
+    both = F.array(tagged("store", "store_number", _STORE_ATTRIBUTES), tagged("item", "item_number", _ITEM_ATTRIBUTES))
+    return sales.select(F.explode(both).alias("m")).select("m.*").where(F.col("key").isNotNull()).distinct()
+
+
+def _side(marks: DataFrame, side: str, key: str, names: list[str], days: str) -> DataFrame:
+    """Per store or item: its smallest attribute combination (NULLs first) and its distinct days."""
+    at = 0 if side == "store" else len(_STORE_ATTRIBUTES)
+    own = F.struct(*[F.col(f"_{at + i}").alias(n) for i, n in enumerate(names)])
+    per_key = marks.where(F.col("side") == side).groupBy("key").agg(
+        F.min(own).alias("_own"), F.count_distinct("date").alias(days)
+    )
+    return per_key.select(F.col("key").alias(key), "_own.*", days)
 
-def _items(sales: DataFrame) -> DataFrame:
-    return sales.where(F.col("item_number").isNotNull()).withColumn(PRODUCT, F.col("item_number"))
+
+def _as_key(df: DataFrame, key: str, like: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(key, F.col(key).cast(like.schema[column].dataType))
 
 
 def store_demographics(sales: DataFrame) -> DataFrame:
     """Store attributes, street, type and size class; one row per store."""
-    named = _stores(sales).withColumn("customer_name", F.col("store_name"))
-    plain = ["customer_name", "address", "city", "zip_code", "county", "county_number"]
-    one = dimension(named, [CUSTOMER], plain)
+    return _as_key(_demographics(day_marks(sales)), CUSTOMER, sales, "store_number")
+
+
+def _demographics(marks: DataFrame) -> DataFrame:
+    plain = ["customer_name", *_STORE_ATTRIBUTES[1:]]
     name = F.col("customer_name")
-    return one.select(
+    return _side(marks, "store", CUSTOMER, plain, "active_days").select(
         CUSTOMER,
         *plain,
         F.split("address", ",")[0].alias("street_address"),
@@ -57,22 +110,24 @@ def store_demographics(sales: DataFrame) -> DataFrame:
 
 def product_features(sales: DataFrame) -> DataFrame:
     """Item attributes, price and volume averages, reach, and size of its category in items."""
-    named = _items(sales).withColumn("product_name", F.col("item_description"))
-    attributes = [
-        "product_name", "category", "category_name", "vendor_number", "vendor_name", "pack", "bottle_volume_ml",
-    ]
-    measures = [
-        m_avg("avg_cost", "state_bottle_cost"),
-        m_avg("avg_retail_price", "state_bottle_retail"),
-        m_avg("avg_sale_dollars", "sale_dollars"),
-        m_avg("avg_volume_liters", "volume_sold_liters"),
-        m_avg("avg_volume_gallons", "volume_sold_gallons"),
-        m_total("total_bottles_sold", "bottles_sold"),
-        m_sum("total_revenue", "sale_dollars"),
-        m_avg("avg_price_per_liter", num.safe_div("sale_dollars", "volume_sold_liters")),
-    ]
-    reach = distinct_counts(named, [PRODUCT], {"stores_selling": "store_number", "days_available": "date"})
-    items = dimension(named, [PRODUCT], attributes, measures).join(reach, PRODUCT)
+    return _products(pair_facts(sales), day_marks(sales), sales)
+
+
+def _products(pairs: DataFrame, marks: DataFrame, sales: DataFrame) -> DataFrame:
+    m = _measures()
+    measured = pairs.where(F.col("item_number").isNotNull()).groupBy(F.col("item_number").alias(PRODUCT)).agg(
+        m.cost.merged.alias("avg_cost"),
+        m.retail.merged.alias("avg_retail_price"),
+        m.sale.merged.alias("avg_sale_dollars"),
+        m.liters.merged.alias("avg_volume_liters"),
+        m.gallons.merged.alias("avg_volume_gallons"),
+        m.bottles.merged.alias("total_bottles_sold"),
+        m.spent.merged.alias("total_revenue"),
+        m.per_liter.merged.alias("avg_price_per_liter"),
+        F.count_distinct("store_number").alias("stores_selling"),
+    )
+    named = _side(marks, "item", PRODUCT, ["product_name", *_ITEM_ATTRIBUTES[1:]], "days_available")
+    items = materialize(_as_key(named, PRODUCT, sales, "item_number").join(measured, PRODUCT))
     size = items.groupBy(F.col("category_name").alias("_c")).agg(F.count("*").alias("category_popularity"))
     joined = items.join(size, F.col("category_name").eqNullSafe(F.col("_c"))).drop("_c")
     return (
@@ -84,30 +139,50 @@ def product_features(sales: DataFrame) -> DataFrame:
 
 def store_product_interactions(sales: DataFrame) -> DataFrame:
     """One row per (store, item, category, vendor) as sold."""
-    both = _items(_stores(sales)).withColumn("_month", F.month("date")).withColumn("_dow", F.dayofweek("date"))
-    # the only wide DISTINCT is the date; months and weekdays are bit masks
-    return both.groupBy(CUSTOMER, PRODUCT, "category_name", "vendor_name").agg(
-        F.count_distinct("date").alias("purchase_frequency"),
-        F.sum(F.col("bottles_sold").cast("long")).alias("total_bottles_purchased"),
-        num.fixed_sum("sale_dollars").alias("total_spent"),
-        num.fixed_avg("state_bottle_retail").alias("avg_price_per_bottle"),
-        num.fixed_avg("volume_sold_liters").alias("avg_volume_per_transaction"),
-        F.max("date").alias("last_purchase_date"),
-        F.min("date").alias("first_purchase_date"),
-        days_between(F.max("date"), F.min("date")).alias("customer_relationship_days"),
-        num.count_small_domain(F.col("_month")).alias("months_purchased"),
-        num.count_small_domain(F.col("_dow")).alias("days_of_week_purchased"),
-        F.stddev_samp("state_bottle_retail").alias("price_variation"),
-        num.fixed_avg("pack").alias("avg_pack_size"),
-        F.stddev_samp("bottles_sold").alias("purchase_quantity_variation"),
+    return _interactions(pair_facts(sales))
+
+
+def _sum(name: str, places: int = 4) -> Column:
+    """The sum of a pre-aggregated row."""
+    return F.col(f"_{name}") / F.lit(float(10**places)) + F.col(f"_{name}_rest")
+
+
+def _avg(name: str) -> Column:
+    return _sum(name) / F.nullif(F.col(f"_{name}_n"), F.lit(0))
+
+
+def _bits(mask: str) -> Column:
+    return F.coalesce(F.bit_count(mask), F.lit(0)).cast("long")
+
+
+def _interactions(pairs: DataFrame) -> DataFrame:
+    both = pairs.where(F.col("store_number").isNotNull() & F.col("item_number").isNotNull())
+    return both.select(
+        F.col("store_number").alias(CUSTOMER), F.col("item_number").alias(PRODUCT), "category_name", "vendor_name",
+        "purchase_frequency",
+        F.col("_bottles").alias("total_bottles_purchased"),
+        _sum("sale").alias("total_spent"),
+        _avg("retail").alias("avg_price_per_bottle"),
+        _avg("liters").alias("avg_volume_per_transaction"),
+        F.col("_last").alias("last_purchase_date"),
+        F.col("_first").alias("first_purchase_date"),
+        days_between(F.col("_last"), F.col("_first")).alias("customer_relationship_days"),
+        _bits("_months").alias("months_purchased"),
+        _bits("_weekdays").alias("days_of_week_purchased"),
+        "price_variation",
+        _avg("pack").alias("avg_pack_size"),
+        "purchase_quantity_variation",
     )
 
 
 def top_categories(sales: DataFrame, k: int = 3) -> DataFrame:
     """The k categories a store spends most on (ties: by name), as one text."""
-    spent = _stores(sales).where(F.col("category_name").isNotNull()).groupBy(CUSTOMER, "category_name").agg(
-        num.fixed_sum("sale_dollars").alias("_spent")
-    )
+    return _top_categories(pair_facts(sales), k)
+
+
+def _top_categories(pairs: DataFrame, k: int = 3) -> DataFrame:
+    bought = pairs.where(F.col("store_number").isNotNull() & F.col("category_name").isNotNull())
+    spent = bought.groupBy(F.col("store_number").alias(CUSTOMER), "category_name").agg(_measures().spent.merged.alias("_spent"))
     window = Window.partitionBy(CUSTOMER).orderBy(F.desc("_spent"), "category_name")
     best = spent.withColumn("_r", F.row_number().over(window)).where(F.col("_r") <= k)
     listed = F.sort_array(F.collect_list(F.struct("_r", "category_name")))  # at most k entries
@@ -116,17 +191,19 @@ def top_categories(sales: DataFrame, k: int = 3) -> DataFrame:
 
 def store_behavior(sales: DataFrame, as_of: str) -> DataFrame:
     """Per store: variety, spending, top categories, activity span and recency."""
-    stores = _stores(sales).withColumn("_month", F.month("date"))
-    measures = [
-        m_sum("total_spent_all_time", "sale_dollars"),
-        m_avg("avg_transaction_value", "sale_dollars"),
-        m_total("total_bottles_all_time", "bottles_sold"),
-        m_min("_first", "date"),
-        m_max("_last", "date"),
-    ]
-    daily = two_level(
-        stores, [CUSTOMER], ["date"], measures,
-        [F.count("date").alias("active_days"), num.count_small_domain(F.month("date")).alias("active_months")],
+    return _behavior(materialize(pair_facts(sales)), day_marks(sales), sales, as_of)
+
+
+def _behavior(pairs: DataFrame, marks: DataFrame, sales: DataFrame, as_of: str) -> DataFrame:
+    stores = pairs.where(F.col("store_number").isNotNull()).withColumn(CUSTOMER, F.col("store_number"))
+    m = _measures()
+    totals = stores.groupBy(CUSTOMER).agg(
+        m.spent.merged.alias("total_spent_all_time"),
+        m.sale.merged.alias("avg_transaction_value"),
+        m.bottles.merged.alias("total_bottles_all_time"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        _bits(F.bit_or("_months")).alias("active_months"),
     )
     variety = distinct_counts(
         stores, [CUSTOMER],
@@ -136,9 +213,11 @@ def store_behavior(sales: DataFrame, as_of: str) -> DataFrame:
             "unique_vendors_purchased": "vendor_name",
         },
     )
+    days = marks.where("side = 'store'").groupBy(F.col("key").alias(CUSTOMER)).agg(F.count_distinct("date").alias("active_days"))
     return (
-        daily.join(variety, CUSTOMER)
-        .join(top_categories(sales), CUSTOMER, "left")
+        totals.join(_as_key(days, CUSTOMER, sales, "store_number"), CUSTOMER)
+        .join(variety, CUSTOMER)
+        .join(_top_categories(pairs), CUSTOMER, "left")
         .withColumn("days_active", days_between(F.col("_last"), F.col("_first")))
         .withColumn("days_since_last_purchase", days_until(as_of, F.col("_last")))
         .drop("_first", "_last")
@@ -181,14 +260,18 @@ def _main_columns(as_of: str) -> list[Column]:
 
 
 def store_product_dataset(sales: DataFrame, as_of: str, ordered: bool = False) -> DataFrame:
-    """One row per (store, item) with bottles sold: the one with the highest spend."""
-    interactions = store_product_interactions(sales).where(F.col("total_bottles_purchased") > 0)
+    """One row per (store, item) with bottles sold: the one with the highest spend.
+
+    The sales are read twice: for the pre-aggregate and for the days and attributes. Both are
+    stored, and all parts of the dataset come from them.
+    """
+    pairs, marks = materialize(pair_facts(sales)), materialize(day_marks(sales))
     return interaction_dataset(
-        interactions,
+        _interactions(pairs).where(F.col("total_bottles_purchased") > 0),
         [
-            (product_features(sales).alias("p"), [PRODUCT], "inner"),
-            (store_demographics(sales), [CUSTOMER], "inner"),
-            (store_behavior(sales, as_of), [CUSTOMER], "inner"),
+            (_products(pairs, marks, sales).alias("p"), [PRODUCT], "inner"),
+            (_as_key(_demographics(marks), CUSTOMER, sales, "store_number"), [CUSTOMER], "inner"),
+            (_behavior(pairs, marks, sales, as_of), [CUSTOMER], "inner"),
         ],
         _main_columns(as_of),
         best=[

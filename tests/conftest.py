@@ -25,6 +25,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Small tables stay in as many partitions as large ones would have."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 @pytest.fixture
 def make_events(spark):
     """Unified events from partial rows; an ``event_id`` numbers them."""

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from recprep.operators import sessions
-from recprep.operators.skew import SplitPlan, cut_points
+from recprep.operators.ordered import lay_out
+from recprep.operators.skew import SplitPlan, hot_keys
 
 CAP = 30 * 60_000
 T0 = 1_789_034_400_000
@@ -43,24 +45,40 @@ def hot_events(spark):
     )
 
 
-def test_hot_session_is_cut_and_result_is_the_same(spark):
+def test_hot_session_is_cut_and_result_is_the_same(spark, uncoalesced):
     events = hot_events(spark)
     plan = SplitPlan(pieces=64, sample_mod=1, min_hits=50)
     plain = sessions.session_dwell(events, CAP, F.col("event_id"), split=None)
     cut = sessions.session_dwell(events, CAP, F.col("event_id"), split=plan)
     assert plain.exceptAll(cut).count() == 0 and cut.count() == 3_000
-    points = cut_points(events, "user_session", ["event_time", "event_id"], plan).collect()
-    assert [p.user_session for p in points] == ["hot"]
-    assert len(points[0]["_cuts"]) == 22  # ceil(1000 / 3000 * 64)
+    assert [r.user_session for r in hot_keys(events, "user_session", plan).collect()] == ["hot"]
+    assert hot_keys(events.where("user_session <> 'hot'"), "user_session", SplitPlan(4, 1, 50)) is None
 
 
-def test_cuts_along_time_only_keep_default_tie(spark):
+def test_default_tie_in_a_hot_session(spark, uncoalesced):
     events = hot_events(spark)
     plan = SplitPlan(pieces=64, sample_mod=1, min_hits=50)
     plain = sessions.session_dwell(events, CAP, split=None)
     assert plain.exceptAll(sessions.session_dwell(events, CAP, split=plan)).count() == 0
 
 
+@pytest.mark.parametrize("instants", [1, 3, 100_000])
+def test_session_with_nine_tenths_of_the_rows(spark, uncoalesced, instants):
+    """Also where all its rows share one instant: the segments are cut by the tie then."""
+    events = spark.range(20_000).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 300)).alias("user_session"),
+        (F.lit(T0) + F.pmod(F.xxhash64("id"), F.lit(instants)) * 7).alias("event_time"),
+        F.lit("i").alias("item_id"), F.lit("view").alias("event_type"), F.col("id").alias("event_id"),
+    )
+    plan = SplitPlan(pieces=64, sample_mod=4, min_hits=50)
+    plain = sessions.session_dwell(events, CAP, F.col("event_id"), split=None)
+    cut = sessions.session_dwell(events, CAP, F.col("event_id"), split=plan)
+    assert plain.exceptAll(cut).count() == 0 and cut.count() == 20_000
+    laid = lay_out(events.where("user_session = 'hot'"), ["user_session", "event_time", "event_id"])
+    sizes = [r["count"] for r in laid.groupBy("_part").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 9_000
+
+
 def test_profile_keeps_known_values_and_is_per_session(spark, make_events):
     events = make_events(
         [{"user_session": f"s{i % 500}", "event_time": T0 + i} for i in range(1_500)]
