@@ -23,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, text_of
+from recprep.llm.common import arrow_batches, release, text_of
 from recprep.session import discard, materialize
 
 # A-Z in lower case, a tab as a space, and every sign that ends a piece as a full stop.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes(46 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BLOCK_BYTES, _SLICE_BYTES = 8 << 20, 2 << 20
+_BLOCK_BYTES, _SLICE_BYTES = 32 << 20, 2 << 20  # a block has fewer than 2^24 words, so _LOCAL bits number them
+_LOCAL, _PART = 24, 16
 _CLASSES = 4  # classes of counts per power of two
 
 
@@ -53,12 +54,13 @@ class _Words:
 
 
 def split(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """One pass over the texts, by blocks of about 8 MB: a row per (block, lang, word) with its number in
-    the block and its count, and a row per (block, lang) with the texts in these numbers (``codes``)."""
+    """One pass over the texts, by blocks of about 32 MB: a row per (block, lang, word) with its number there
+    (``local``), its place among all words and its count, and a row per (block, lang) with the texts in these numbers (``codes``,
+    the lowest bytes of all numbers first: the higher ones are mostly zero and pack well)."""
     arrow_batches(df.sparkSession, 1000)
     fields = pa.schema([
-        ("block", pa.int64()), ("lang", pa.string()), ("local", pa.int32()), ("word", pa.string()), ("n", pa.int64()),
-        ("codes", pa.binary()),
+        ("block", pa.int64()), ("lang", pa.string()), ("local", pa.int32()), ("place", pa.int64()),
+        ("word", pa.string()), ("n", pa.int64()), ("codes", pa.binary()),
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +70,7 @@ def split(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(length, f.type)) for f in fields], schema=fields)
 
         def closed() -> Iterator[pa.RecordBatch]:
-            block = part << 32 | number
+            block, place = part << _PART | number, (part << _PART | number) << _LOCAL
             for lang, words in held.items():
                 codes = np.concatenate(words.codes)
                 counts = np.bincount(codes, minlength=len(words.numbers))
@@ -78,11 +80,13 @@ def split(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                     yield rows(
                         len(some), block=pa.array(np.full(len(some), block)), lang=pa.array([lang] * len(some), pa.string()),
                         local=pa.array(np.arange(at, at + len(some), dtype=np.int32)),
+                        place=pa.array(np.arange(place + at, place + at + len(some))),
                         word=pa.array(some, pa.binary()).cast(pa.string()), n=pa.array(counts[at : at + len(some)].astype(np.int64)),
                     )
+                place += len(names)
                 yield rows(
                     1, block=pa.array([block], pa.int64()), lang=pa.array([lang], pa.string()),
-                    codes=pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                    codes=pa.array([_planes(codes)], pa.binary()),
                 )
 
         for batch in batches:
@@ -109,20 +113,37 @@ def split(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     rows = df.select(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), text_of(f"`{text_col}`").alias("text")
     )
-    return rows.mapInArrow(work, "block long, lang string, local int, word string, n long, codes binary")
+    return rows.mapInArrow(work, "block long, lang string, local int, place long, word string, n long, codes binary")
 
 
-def frequent_words(stored: DataFrame, min_count: int) -> DataFrame:
-    """id, lang, word, f of the words that occur often enough; no other word can be part of a candidate."""
-    counts = stored.filter("word IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    return counts.filter(F.col("f") >= min_count).select((F.monotonically_increasing_id() + 1).alias("id"), "lang", "word", "f")
+def _planes(codes: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane."""
+    return np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def runs(stored: DataFrame, words: DataFrame) -> DataFrame:
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def told_words(stored: DataFrame, min_count: int) -> DataFrame:
+    """block, lang, local, id, f, word of the words that occur often enough; no other word can be part of a candidate.
+
+    A word's id is its place in the first block that has it. The rows of a word are at most one
+    per block, so the window that adds up its counts and finds that place sees no occurrences.
+    ``word`` is given once, in the row of that place.
+    """
+    same = Window.partitionBy("lang", "word")
+    rows = stored.filter("word IS NOT NULL").select("block", "lang", "local", "place", "word", "n")
+    known = rows.withColumns({"f": F.sum("n").over(same), "id": F.min("place").over(same)})
+    often = known.filter(F.col("f") >= min_count)
+    return often.select("block", "lang", "local", "id", "f", F.when(F.col("place") == F.col("id"), F.col("word")).alias("word"))
+
+
+def runs(stored: DataFrame, told: DataFrame) -> DataFrame:
     """Texts as runs of frequent words, a row per (block, lang): ids and counts of its words, and the runs
-    in places of these lists from 1 (0: end of a run). A block asks for its own words by an equi-join."""
+    in places of these lists from 1 (0: end of a run). A block meets what it is told of its own words."""
     spark = stored.sparkSession
-    told = stored.filter("word IS NOT NULL").join(words, ["lang", "word"]).select("block", "lang", "local", "id", "f")
+    told = told.select("block", "lang", "local", "id", "f")
     coded = stored.filter("codes IS NOT NULL").select(F.col("block").alias("in_block"), F.col("lang").alias("of"), "codes")
     arrow_batches(spark, 10_000)
 
@@ -130,7 +151,7 @@ def runs(stored: DataFrame, words: DataFrame) -> DataFrame:
         out = {"block": pa.int64(), "lang": pa.string(), "ids": pa.binary(), "f": pa.binary(), "codes": pa.binary()}
         if not len(left) or not len(right):
             return pa.schema(list(out.items())).empty_table()
-        codes = np.frombuffer(left.column("codes")[0].as_py(), "<i4")
+        codes = _from_planes(left.column("codes")[0].as_py())
         local = right.column("local").to_numpy()
         place = np.zeros(max(int(codes.max()), int(local.max())) + 1, np.int32)
         place[local] = np.arange(1, len(local) + 1)
@@ -278,10 +299,12 @@ def collocations(
     """
     reach = max_words - 1
     stored = materialize(split(df, lang_col, text_col))
-    words = materialize(frequent_words(stored, min_count))
+    told = materialize(told_words(stored, min_count))
+    words = materialize(told.filter("word IS NOT NULL").select("id", "lang", "word", "f"))
     totals = materialize(stored.filter("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")))
-    texts = materialize(runs(stored, words))
-    discard(stored)
+    texts = materialize(runs(stored, told))
+    discard(stored, told)
+    release(df.sparkSession)
     waves = materialize(frontier(words, totals, first_share, growth))
     last = waves.agg(F.max("wave")).first()[0]
     right, left, best, open_langs = [], [], None, waves.select("lang").distinct()
@@ -294,6 +317,7 @@ def collocations(
             discard(near)
             found = survivors(reduce(DataFrame.unionByName, right), reduce(DataFrame.unionByName, left), words, totals, percent)
             newest = materialize(found)
+            release(df.sparkSession)
             if best is not None:
                 discard(best)
             best = newest
