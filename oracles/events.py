@@ -207,7 +207,10 @@ EVENT_SQL = {
     + ") SELECT encoder, value, DENSE_RANK() OVER (PARTITION BY encoder ORDER BY value) AS idx FROM lo",
     "user_features": f"WITH {E}, {O}, {ALL}, {USER_BASE}, " + encoded(USER_COLUMNS, "us", "us.*"),
     "ordinal_encode": "SELECT p_partkey, p_name, DENSE_RANK() OVER (ORDER BY p_name) AS name_idx FROM part",
-    "ordinal_encode_known": "WITH m AS (SELECT p_type, DENSE_RANK() OVER (ORDER BY p_type) AS idx FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 2)) SELECT p_partkey, part.p_type, COALESCE(idx, 0) AS type_idx FROM part LEFT JOIN m ON part.p_type = m.p_type",
+    "ordinal_encode_known": "WITH m AS (SELECT p_type, DENSE_RANK() OVER (ORDER BY p_type) AS idx FROM (SELECT DISTINCT p_type FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem))) SELECT p_partkey, part.p_type, COALESCE(idx, 0) AS type_idx FROM part LEFT JOIN m ON part.p_type = m.p_type",
+    "row_copies": "SELECT l_suppkey, l_returnflag, l_linestatus, ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_returnflag, l_linestatus) AS copy_no FROM lineitem",
+    "limit_rows": f"WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_orderkey || '-' || l_linenumber AS key FROM lineitem) SELECT * EXCLUDE (key) FROM k ORDER BY {unit('limit', 'key')}, key LIMIT 1000",
+    "session_dwell_hot": f"WITH {E}, hot AS (SELECT * REPLACE ('s' || event_id % 3 AS user_session) FROM ev), {DWELL.format(src='hot')} SELECT {WITH_ID} FROM dw",
     "split_train": f"WITH {E}, {eligible('ev')} SELECT {WITH_ID} FROM ev WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM tu)",
     "split_test": f"WITH {E}, {eligible('ev')} SELECT {WITH_ID} FROM ev WHERE user_id IN (SELECT user_id FROM tu)",
     "null_item_attributes": f"WITH {O}, {nulled('oev')} SELECT {COLUMNS} FROM nu",

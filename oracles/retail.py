@@ -95,3 +95,5 @@ SELECT customer_id, product_id, product_name, category, pf.category_name, pf.ven
 FROM spi JOIN pf USING (product_id) JOIN sd USING (customer_id) JOIN sb USING (customer_id)
 WHERE total_bottles_purchased > 0""",
 }
+RETAIL_SQL["retail_main_ordered"] = f"""SELECT ROW_NUMBER() OVER (ORDER BY customer_id NULLS FIRST, product_id NULLS FIRST) AS position,
+  customer_id, product_id FROM ({RETAIL_SQL['retail_main']})"""

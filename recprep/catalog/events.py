@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recprep.config import SEED
 from recprep.functions.numeric import round_to
-from recprep.operators import degrade, features, ratings, sampling, sessions, split
+from recprep.operators import degrade, features, ordered, ratings, sampling, sessions, split
+from recprep.operators.skew import SplitPlan
 from recprep.sources.events import harmonize as union_events
 from recprep.sources.standins import behavior_events, keyed_events, order_events, table
 
@@ -77,9 +79,28 @@ def ordinal_encode(spark, sf_dir):
 
 
 def ordinal_encode_known(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    _, mapping = features.ordinal_encode(part.where("p_size <= 2"), "p_type", "idx")
-    return features.ordinal_encode(part.drop("p_size"), "p_type", "type_idx", mapping)[0]
+    """The mapping is learned from the types that were sold, and applied to all parts."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    sold = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    _, mapping = features.ordinal_encode(part.join(sold, "p_partkey", "left_semi"), "p_type", "idx")
+    return features.ordinal_encode(part, "p_type", "type_idx", mapping)[0]
+
+
+def row_copies(spark, sf_dir):
+    """Numbers of identical rows."""
+    return ordered.number_copies(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus"))
+
+
+def limit_rows(spark, sf_dir):
+    """A thousand order lines, the same ones in any run."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return sampling.limit_rows(lines, 1000, SEED, F.concat_ws("-", "l_orderkey", "l_linenumber"))
+
+
+def session_dwell_hot(spark, sf_dir):
+    """Dwell in three sessions that hold all events: they are cut into segments."""
+    events = keyed_events(spark, sf_dir).withColumn("user_session", F.concat(F.lit("s"), F.col("event_id") % 3))
+    return sessions.session_dwell(events, CAP_MS, F.col("event_id"), split=SplitPlan(sample_mod=16))
 
 
 def split_train(spark, sf_dir):
@@ -139,6 +160,6 @@ EVENT_QUERIES = {
         implicit_ratings, implicit_ratings_all, item_features, item_encoders, user_features,
         ordinal_encode, ordinal_encode_known, split_train, split_test, null_item_attributes, null_items,
         cold_items, warm_events, cold_catalog, jitter_event_time, drop_pre_purchase_carts,
-        append_bot_traffic, degrade_all, hash_sample,
+        append_bot_traffic, degrade_all, hash_sample, row_copies, limit_rows, session_dwell_hot,
     )
 }

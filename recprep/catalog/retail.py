@@ -40,10 +40,16 @@ def retail_main(spark, sf_dir):
     return out.withColumn("purchase_quantity_variation", round_to("purchase_quantity_variation", 4))
 
 
+def retail_main_ordered(spark, sf_dir):
+    """Place of each row of the dataset in its order by store and item."""
+    out = retail.store_product_dataset(materialize(retail_sales(spark, sf_dir)), AS_OF, ordered=True)
+    return out.select("position", "customer_id", "product_id")
+
+
 RETAIL_QUERIES = {
     f.__name__: f
     for f in (
         retail_store_demographics, retail_product_features, retail_interactions, retail_store_behavior,
-        top_categories, retail_main,
+        top_categories, retail_main, retail_main_ordered,
     )
 }
