@@ -12,12 +12,17 @@ from recprep.operators.keyed import best_row
 from recprep.operators.ranks import weighted_pick
 from recprep.operators.sampling import Cut, hash_cut, in_cut
 from recprep.session import materialize
+from recprep.sources.events import to_event_schema
 
 NULL_SALT = "null-item"
 COLD_SALT = "cold-item"
 JITTER_SALT = "jitter"
 CART_SALT = "cart"
+# --- Fixed values: what a bot's events look like. ---
 EVENTS_PER_BOT = 200
+BOT_PREFIX = "bot_"
+BOT_VALUES = {"event_type": "view", "device_category": "desktop", "discount_flag": False}
+# --- End of fixed values. ---
 POPULARITY_UNITS = 1e6  # weights are whole numbers: their totals do not depend on order
 
 
@@ -89,6 +94,13 @@ def _exponential(draw: Column, rate_per_s: float) -> Column:
     return -F.log(F.lit(1.0) - draw) * F.lit(1000.0) / F.lit(float(rate_per_s))
 
 
+def _moved(time: Column | str, ms: Column) -> Column:
+    """A timestamp some milliseconds later; days go apart, since the function takes an INT, which ends at 24.8 days."""
+    day = 86_400_000
+    later = F.timestamp_add("DAY", F.floor(ms / day).cast("int"), time if isinstance(time, Column) else F.col(time))
+    return F.timestamp_add("MILLISECOND", F.pmod(ms, F.lit(day)).cast("int"), later)
+
+
 def jitter_event_time(
     events: DataFrame, rate_per_s: float, seed: int = SEED, key: Column | None = None
 ) -> DataFrame:
@@ -97,7 +109,7 @@ def jitter_event_time(
     delay = F.floor(_exponential(draw, rate_per_s))
     kind = events.schema["event_time"].dataType.simpleString()
     if kind in ("timestamp", "timestamp_ntz"):
-        moved = F.timestamp_add("MILLISECOND", delay.cast("int"), F.col("event_time"))
+        moved = _moved("event_time", delay)
     else:
         moved = F.col("event_time") + delay
     return events.withColumn("true_event_time", F.col("event_time")).withColumn("event_time", moved)
@@ -180,14 +192,13 @@ def bot_traffic(
     n_bot = int(fraction * facts["n"]) if facts["items"] else 0
     if n_bot == 0:
         return None
-    bots = max(1, n_bot // EVENTS_PER_BOT)
-    per_bot = n_bot // bots
+    last_bot = max(n_bot // EVENTS_PER_BOT, 1) - 1
+    events_each = n_bot // (last_bot + 1)  # the last bot also makes what is left over
 
-    rows = events.sparkSession.range(n_bot).select(
-        F.col("id").alias("_i"),
-        F.least(F.floor(F.col("id") / per_bot), F.lit(bots - 1)).alias("_bot"),
-        digest(seed, "bot-event", F.col("id")).alias("_d"),
-    )
+    rows = events.sparkSession.range(n_bot).withColumnRenamed("id", "_i").withColumns({
+        "_bot": F.least(F.floor(F.col("_i") / events_each), F.lit(last_bot)),
+        "_d": digest(seed, "bot-event", F.col("_i")),
+    })
     gap = F.floor(clamp(_exponential(quarter(F.col("_d"), 2), rate_per_s), gap_min_ms, gap_max_ms))
     per_bot_so_far = Window.partitionBy("_bot").orderBy("_i").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -204,23 +215,21 @@ def bot_traffic(
     time_type = events.schema["event_time"].dataType
     if time_type.simpleString() in ("timestamp", "timestamp_ntz"):
         start = F.lit(facts["t0"]).cast(time_type)
-        event_time = F.timestamp_add("MILLISECOND", F.col("_offset").cast("int"), start)
+        event_time = _moved(start, F.col("_offset"))
     else:
         event_time = F.lit(facts["t0"] or 0) + F.col("_offset")
-    made = {
-        "event_time": event_time,
-        "event_type": F.lit("view"),
-        "user_id": F.lit(None).cast("string"),
-        "user_pseudo_id": F.concat(F.lit(f"bot_{seed}_"), F.col("_bot").cast("string")),
+    stamped = time_type.simpleString() in ("timestamp", "timestamp_ntz")
+    values = {name: F.lit(value) for name, value in BOT_VALUES.items()} | {
         "item_id": F.col("item_id"),
-        "user_session": F.lit(None).cast("string"),
+        "event_time": F.lit(None) if stamped else event_time,
         "engagement_time_msec": F.col("engagement_time_msec"),
-        "device_category": F.lit("desktop"),
         "geo_province": pick(u01(seed, "bot", F.col("_bot")), tuple(provinces)),
-        "discount_flag": F.lit(False),
-        "true_event_time": event_time,
+        "user_pseudo_id": F.concat(F.lit(f"{BOT_PREFIX}{seed}_"), F.col("_bot").cast("string")),
     }
-    return picked.select(*[value.alias(name) for name, value in made.items()])
+    made = to_event_schema(picked.withColumn("true_event_time", event_time), values, ("true_event_time",))
+    if stamped:
+        made = made.withColumn("event_time", F.col("true_event_time"))
+    return made.select(*[c for c in made.columns if c in events.columns or c == "true_event_time"])
 
 
 # --- all of it ------------------------------------------------------------------------
@@ -240,12 +249,12 @@ def degrade_human_events(
     step read it. ``items_from``: a cheaper table with the same items (the source before
     enrichment, say).
     """
-    source = events if items_from is None else items_from
-    columns = events.columns
+    source = events if items_from is None else items_from  # rows or distinct items
     cold = is_cold(cold_item_cut(source, cfg.cold_item_rate, seed), seed)
     keyed = events.withColumn("_row", row_key(events) if key is None else key)
     blanked = null_item_attributes(keyed, cfg.null_item_rate, seed)
     late = jitter_event_time(blanked, cfg.jitter_rate_per_s, seed, F.col("_row"))
+    columns = events.columns
     stored = materialize(late.withColumn("_cold", cold), ("_cold",))
     warm = stored.where(~F.col("_cold") & F.col("item_id").isNotNull()).drop("_cold")
     kept = drop_pre_purchase_carts(warm, cfg.cart_drop_rate, seed, F.col("_row"), store=True)

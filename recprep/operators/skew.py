@@ -28,12 +28,12 @@ def hot_keys(df: DataFrame, key: str, plan: SplitPlan) -> DataFrame | None:
     """Keys (at most ``plan.pieces``) that hold a large share of the rows; None when there is none."""
     place = F.xxhash64(F.monotonically_increasing_id())
     sample = df.select(key, place.alias("_h")).where(F.pmod("_h", F.lit(plan.sample_mod)) == 0)
-    counts = materialize(sample.groupBy(key).agg(F.count("*").alias("_n")))
+    counts = sample.groupBy(key).agg(F.count("*").alias("_n"))
     seen = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("most")).first()
     if seen["most"] is None or seen["most"] < plan.min_hits or seen["most"] * plan.pieces < seen["total"]:
         return None
     enough = (F.col("_n") >= plan.min_hits) & (F.col("_n") * F.lit(plan.pieces) >= F.lit(seen["total"]))
-    return counts.where(enough).select(key)
+    return materialize(counts.where(enough).select(key))
 
 
 def next_in_group(

@@ -37,31 +37,42 @@ def _size(test_fraction: float, at_least_one: bool):
     return size
 
 
-def split_by_user(
+def with_side(
     events: DataFrame,
     test_fraction: float,
     min_events: int,
     seed: int = SEED,
     null_users: str = "drop",
     at_least_one: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with no user on both sides.
+) -> DataFrame:
+    """Add ``side``: train, test, or NULL for rows that belong to neither.
 
-    Users below ``min_events`` stay in train. Rows without a user are in neither part
-    (``null_users="drop"``) or in train (``"train"``). Eligible users are written once. Only
-    users whose hash lies below the cut can be test users, so only that slice of the events
-    meets the user list in a join.
+    No user is on both sides, and users below ``min_events`` are in train. Rows without a user
+    are in neither part (``null_users="drop"``) or in train (``"train"``). Eligible users are
+    written once. Only users whose hash lies below the cut can be test users, so only that
+    slice of the events meets the user list in a join.
     """
     if null_users not in ("drop", "train"):
         raise ValueError("null_users is 'drop' or 'train'")
     eligible = materialize(eligible_users(events, min_events))
     cut = hash_cut(eligible, "user_id", _size(test_fraction, at_least_one), seed, SPLIT_SALT)
     below = in_cut("user_id", cut, seed, SPLIT_SALT)
-    chosen = eligible.where(below)
-    slice_ = events.where(below)
-    test = slice_.join(chosen, "user_id", "left_semi").select(*events.columns)
-    rest = events.where(~below)
-    if null_users == "drop":
-        rest = rest.where(F.col("user_id").isNotNull())
-    train = rest.unionByName(slice_.join(chosen, "user_id", "left_anti").select(*events.columns))
+    chosen = eligible.where(below).select("user_id", F.lit("test").alias("side"))
+    slice_ = events.where(below).join(chosen, "user_id", "left").withColumn("side", F.coalesce("side", F.lit("train")))
+    unnamed = F.lit(None).cast("string") if null_users == "drop" else F.lit("train")
+    rest = events.where(~below).withColumn("side", F.when(F.col("user_id").isNull(), unnamed).otherwise(F.lit("train")))
+    return rest.unionByName(slice_)
+
+
+def split_by_user(
+    events: DataFrame,
+    test_fraction: float,
+    min_events: int,
+    seed: int = SEED,
+    null_users: str = "drop",
+    at_least_one: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by :func:`with_side`."""
+    sides = with_side(events, test_fraction, min_events, seed, null_users, at_least_one)
+    train, test = (sides.where(F.col("side") == s).select(*events.columns) for s in ("train", "test"))
     return train, test

@@ -87,6 +87,7 @@ def harmonize_orders(
     raw: DataFrame,
     region_to_province: dict[str, str] | None = None,
     null_age_band: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Order table to purchase events, using whichever of the known columns exist.
 
@@ -119,7 +120,7 @@ def harmonize_orders(
         values["discount_flag"] = F.col("discount")
     if "age" in have:
         values["age_band"] = age_band(F.col("age").cast("int"), null_age_band)
-    return to_event_schema(raw, values)
+    return to_event_schema(raw, values, keep)
 
 
 def _read_glob(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -132,10 +133,10 @@ def _read_glob(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def load_behavior(
-    spark: SparkSession, path_glob: str, event_type_map: dict[str, str] | None = None
+    spark: SparkSession, path_glob: str, event_type_map: dict[str, str] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Read and harmonize behavior logs; an error when no file matches."""
-    return harmonize_behavior(_read_glob(spark, path_glob), event_type_map)
+    return harmonize_behavior(_read_glob(spark, path_glob), event_type_map, keep)
 
 
 def load_orders(
@@ -143,9 +144,10 @@ def load_orders(
     path_glob: str,
     region_to_province: dict[str, str] | None = None,
     null_age_band: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Read and harmonize order tables; an error when no file matches."""
-    return harmonize_orders(_read_glob(spark, path_glob), region_to_province, null_age_band)
+    return harmonize_orders(_read_glob(spark, path_glob), region_to_province, null_age_band, keep)
 
 
 def harmonize(behavior: DataFrame, orders: DataFrame) -> DataFrame:

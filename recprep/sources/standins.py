@@ -64,8 +64,8 @@ def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonize_behavior(raw_behavior(spark, sf_dir), keep=("event_id",))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` with its order, part and customer as an order table."""
+def raw_orders(spark: SparkSession, sf_dir: str, key: str | None = None) -> DataFrame:
+    """``lineitem`` with its order, part and customer as an order table; ``key`` names a row id to add."""
     line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
     joined = (
@@ -86,6 +86,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         age.cast("int").alias("age"),
         (F.col("l_discount") > 0.05).alias("discount"),
         F.col("c_acctbal").alias("ltv"),
+        *([] if key is None else [F.concat_ws("-", F.concat(F.lit("o"), F.col("l_orderkey")), "l_linenumber").alias(key)]),
     )
 
 

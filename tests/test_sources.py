@@ -6,6 +6,7 @@ from recprep.config import BuildConfig
 from recprep.plans import build
 from recprep.sources import events as src
 from recprep.sources import files
+from recprep.streaming import windows
 from recprep.streaming.harmonize import append_arrivals, stream_behavior, stream_orders
 
 BEHAVIOR = [
@@ -68,6 +69,94 @@ def test_csv_conversion_skips_existing_target(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
+def test_csv_rejects_are_kept_and_counted(spark, tmp_path):
+    """Types come from the heads; a later field that does not fit is NULL and its line is kept."""
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b,c\n" + "".join(f"{i},{i}.5,x\n" for i in range(50)) + "oops,1.5,y\n51,bad,z\n")
+    (folder / "b.csv").write_text("a,b,c\n7,1,\n")
+    assert files.infer_csv_schema(spark, str(folder), lines=40).simpleString() == "struct<a:int,b:double,c:string>"
+    assert files.csv_to_parquet(spark, str(folder), target, head_lines=40) == {"rows": 53, "rejected": 2}
+    rows = files.read_converted(spark, target)
+    assert rows.columns == ["a", "b", "c"] and rows.count() == 53
+    assert [(r.a, r.b) for r in rows.where("c in ('y', 'z')").orderBy("c").collect()] == [(None, 1.5), (51, None)]
+    assert sorted(r.line for r in files.rejected_lines(spark, target).collect()) == ["51,bad,z", "oops,1.5,y"]
+    assert files.csv_to_parquet(spark, str(folder), target) is None
+    (tmp_path / "out" / "_SUCCESS").unlink()  # as after a failed job
+    with pytest.raises(FileNotFoundError):
+        files.read_converted(spark, target)
+    assert files.csv_to_parquet(spark, str(folder), target, head_lines=40)["rows"] == 53
+    with pytest.raises(FileNotFoundError):
+        files.infer_csv_schema(spark, str(tmp_path / "none" / "*.csv"))
+
+
+def test_csv_schema_covers_the_heads_of_all_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v\n1\n")
+    (tmp_path / "b.csv").write_text("v\n1.5\n")
+    (tmp_path / "c.csv").write_text("v\nword\n")
+    assert files.infer_csv_schema(spark, str(tmp_path / "[ab].csv")).simpleString() == "struct<v:double>"
+    assert files.infer_csv_schema(spark, str(tmp_path / "*.csv")).simpleString() == "struct<v:string>"
+
+
+def test_digest_sees_content_not_order(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id % 50 a", "cast(id % 7 as string) b", "if(id % 3 = 0, null, id) c")
+    digest = files.write_checked(rows, str(tmp_path / "t"))
+    assert digest == files.content_digest(rows.repartition(7).select("c", "a", "b")) and digest.startswith("500:")
+    assert files.read_checked(spark, str(tmp_path / "t"), digest).count() == 500
+    changed = (
+        rows.limit(499), rows.unionByName(rows.limit(1)), rows.withColumn("b", F.when(F.col("c") == 7, "x").otherwise(F.col("b"))),
+        rows.where("c <> 7 or c is null").unionByName(rows.where("c = 8")),
+    )
+    for other in changed:
+        assert files.content_digest(other) != digest
+    rows.where("a > 0").write.mode("overwrite").parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        files.read_checked(spark, str(tmp_path / "t"), digest)
+    assert files.content_digest(rows.limit(0)) == "0:0:0:0"
+
+
+def test_shards_out_of_range_are_not_read(spark, tmp_path):
+    for day in range(1, 31):
+        spark.range(3).coalesce(1).write.parquet(str(tmp_path / f"events_202401{day:02d}"))
+    picked = files.read_date_shards(spark, str(tmp_path / "events_*"), start="20240105", end="20240114")
+    assert len(picked.inputFiles()) == 10 and all("events_2024010" in f or "events_2024011" in f for f in picked.inputFiles())
+    assert picked.count() == 30 and picked.select("table_suffix").distinct().count() == 10
+    assert files.read_date_shards(spark, str(tmp_path / "events_*"), start="20250101").count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.read_date_shards(spark, str(tmp_path / "none_*"))
+
+
+def test_stream_windows_equal_their_batch_twin(spark, tmp_path):
+    """Late events within the delay count; events behind the watermark do not; open windows wait."""
+    start = 1_704_067_200
+    made = [(i % 5, start + 97 * i - (i % 9) * 60) for i in range(400)]
+    events = spark.createDataFrame(made, "user_id int, s long").select("user_id", F.timestamp_seconds("s").alias("event_at"))
+    for part in range(5):
+        chunk = [m for i, m in enumerate(made) if i // 80 == part]
+        rows = spark.createDataFrame(chunk, "user_id int, s long").select("user_id", F.timestamp_seconds("s").alias("event_at"))
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    def stream():
+        return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for name, of in (
+        ("windows", lambda e: windows.window_counts(e, "1 hour", "20 minutes", ["user_id"])),
+        ("slides", lambda e: windows.window_counts(e, "1 hour", "20 minutes", ["user_id"], slide="30 minutes")),
+        ("sessions", lambda e: windows.session_counts(e, "6 minutes", "20 minutes", ["user_id"])),
+    ):
+        out, state = str(tmp_path / name), str(tmp_path / f"{name}-state")
+        windows.run_to_end(of(stream()), out, state)
+        twin = windows.closed(of(events), events, "20 minutes")
+        got = spark.read.parquet(out)
+        assert 0 < twin.count() < of(events).count()
+        assert got.exceptAll(twin).count() == 0 and twin.exceptAll(got).count() == 0
+        windows.run_to_end(of(stream()), out, state)  # nothing new has arrived
+        assert spark.read.parquet(out).count() == twin.count()
+    late = spark.createDataFrame([(1, start)], "user_id int, s long").select("user_id", F.timestamp_seconds("s").alias("event_at"))
+    late.write.mode("append").parquet(str(tmp_path / "in"))
+    before = spark.read.parquet(str(tmp_path / "windows")).count()
+    windows.run_to_end(windows.window_counts(stream(), "1 hour", "20 minutes", ["user_id"]), str(tmp_path / "windows"), str(tmp_path / "windows-state"))
+    assert spark.read.parquet(str(tmp_path / "windows")).count() == before
+
+
 def test_date_shards(spark, tmp_path):
     for day in ("20240101", "20240102", "20240103"):
         spark.createDataFrame([(day,)], "d string").coalesce(1).write.parquet(str(tmp_path / f"events_{day}"))
@@ -131,6 +220,12 @@ def test_whole_build(spark, raw_sources):
     assert read["user_features"].count() == metrics["n_users_train"]
     assert train.where("device_category IS NULL AND user_session IS NOT NULL").count() == 0
     assert build.read_manifest(spark, f"{out}/build_manifest")["metrics"] == metrics
+    assert metrics["n_bot_events"] > 0 and metrics["n_dropped_no_user"] == metrics["n_bot_events"] and metrics["n_dropped_no_item"] == 0
+    for name in manifest["digests"]:
+        assert build.read_output(spark, manifest, name).count() >= 0
+    spark.read.parquet(manifest["outputs"]["item_features"]).limit(3).write.mode("append").parquet(manifest["outputs"]["item_features"])
+    with pytest.raises(ValueError):
+        build.read_output(spark, manifest, "item_features")
 
 
 def test_empty_source_is_an_error(spark, tmp_path):
