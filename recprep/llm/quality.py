@@ -21,22 +21,19 @@ class QualityModel:
 
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]  # bias first
+    weights: tuple[float, ...]  # bias, slope; empty where there was too little to learn from
+    share: float  # of good rows among all usable labels
     chunk: int
     level: int
 
 
-def features(sizes: tuple[int, int, int, int]) -> tuple[float, ...]:
-    """From raw size and sizes with the good, the bad and no dictionary: normalised numbers.
+_DOUBT = 50.0  # bytes at which a text's own evidence counts as much as the share of its class
 
-    The first is the normalised difference; the others say how well the text compresses at all
-    (squared too: repeated text compresses too well, noise too badly).
-    """
-    raw, good, bad, plain = sizes
-    if raw == 0:
-        return 0.0, 0.0, 0.0, 0.0, 0.0
-    shrunk = math.log(plain / raw)
-    return (bad - good) / max(bad, good), math.log(good / raw), shrunk, shrunk * shrunk, math.log(raw)
+
+def difference(sizes: tuple[int, int, int]) -> float:
+    """The normalised difference of the sizes with the bad and with the good dictionary."""
+    raw, good, bad = sizes
+    return (bad - good) / max(bad, good) if raw else 0.0
 
 
 class Sizes:
@@ -46,7 +43,6 @@ class Sizes:
     def __init__(self, model: QualityModel):
         self.chunk = model.chunk
         self.coders = [self._coder(d, model.level) for d in (model.good, model.bad)]
-        self.plain = zstandard.ZstdCompressor(level=model.level, write_content_size=False)
 
     @staticmethod
     def _coder(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -57,10 +53,10 @@ class Sizes:
         params = zstandard.ZstdCompressionParameters.from_level(level, write_content_size=False, write_dict_id=False)
         return zstandard.ZstdCompressor(dict_data=data, compression_params=params)
 
-    def of(self, text: str) -> tuple[int, int, int, int]:
+    def of(self, text: str) -> tuple[int, int, int]:
         raw = text.encode()
         parts = [raw[i : i + self.chunk] for i in range(0, len(raw), self.chunk)]
-        sums = [sum(len(coder.compress(p)) for p in parts) for coder in (*self.coders, self.plain)]
+        sums = [sum(len(coder.compress(p)) for p in parts) for coder in self.coders]
         return len(raw), *sums
 
 
@@ -76,7 +72,7 @@ def labelled(docs: DataFrame, labels: DataFrame, *, id_col: str) -> DataFrame:
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 3000,
-    sample_bytes: int = 32768, dictionary_bytes: int = 112_640, chunk: int = 2048, level: int = 3, folds: int = 4,
+    dictionary_bytes: int = 112_640, chunk: int = 2048, level: int = 3, folds: int = 4,
 ) -> QualityModel:
     """Learn from at most ``sample_rows`` rows of each label.
 
@@ -84,11 +80,13 @@ def fit(
     all usable rows, so the scores mean the same at every size of the table.
 
     Only labelled rows with crc32(id) mod 3 <> 1 are used; the choice among them is by hash.
-    Of a text longer than ``sample_bytes`` the sample holds that many bytes, from a place
-    given by the hash (scores always use whole texts). The calibration sees each sampled text
-    through dictionaries built without its fold, so it learns sizes as unseen texts have them
-    and no text is spent on one purpose only; the dictionaries of the model come from all.
-    If a class has fewer rows than two, the model has no weights and each score is 0.5.
+    Chosen texts are used whole. The calibration sees each of them through dictionaries built
+    without its fold, so it learns differences as unseen texts have them and no text is spent
+    on one purpose only; the dictionaries of the model come from all.
+
+    Defined cases: null text is empty, and empty texts are not learnt from; several equal labels of
+    a document count once, contradicting ones not at all; of rows that repeat an id the smallest
+    text is used; if a class has fewer than two rows, the model has no weights and each score is 0.5.
     """
     # Ids are chosen before any text moves; then only the chosen texts leave the scan.
     known = labelled(docs, labels.filter(crc_rest(id_col, 3) != 1), id_col=id_col)
@@ -96,16 +94,13 @@ def fit(
     chosen = [known.filter(F.col("label") == label).orderBy("turn", "id").limit(sample_rows) for label in (0, 1)]
     rows = [part.collect() for part in chosen]
     picked = docs.sparkSession.createDataFrame([tuple(r) for part in rows for r in part], known.schema)
-    size = F.length("text")
-    place = F.when(size > sample_bytes, F.pmod("turn", size - sample_bytes)).otherwise(0).cast("int") + 1
     texts = (
         docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(picked), "id")
-        .select("id", "label", "turn", F.substring(F.col("text"), place, F.lit(sample_bytes)).alias("text"))
         .groupBy("id", "label", "turn").agg(F.min("text").alias("text"))
     )
     found = sorted(texts.collect(), key=lambda r: (r["turn"], r["id"]))
     sample = {label: [r["text"] for r in found if r["label"] == label and r["text"].strip()] for label in (0, 1)}
-    empty = QualityModel(b"", b"", (), chunk, level)
+    empty = QualityModel(b"", b"", (), 0.5, chunk, level)
     if min(map(len, sample.values())) < 2:
         return empty
 
@@ -115,15 +110,16 @@ def fit(
 
     x, y = [], []
     for fold in range(folds):
-        sizes = Sizes(QualityModel(*dictionaries(fold), (), chunk, level))
+        sizes = Sizes(QualityModel(*dictionaries(fold), (), 0.5, chunk, level))
         for label in (1, 0):
             held = sample[label][fold::folds]
-            x += [features(sizes.of(t)) for t in held]
+            x += [[difference(sizes.of(t))] for t in held]
             y += [float(label)] * len(held)
     bias, *slopes = _logistic(np.array(x), np.array(y))
     everyone = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     bias += math.log(everyone[1] / len(rows[1])) - math.log(everyone[0] / len(rows[0]))
-    return QualityModel(*dictionaries(None), (bias, *slopes), chunk, level)
+    share = everyone[1] / (everyone[0] + everyone[1])
+    return QualityModel(*dictionaries(None), (bias, *slopes), share, chunk, level)
 
 
 def _dictionary(texts: list[str], size: int, chunk: int, level: int) -> bytes:
@@ -153,12 +149,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 50)
 
 
 def score_text(model: QualityModel, sizes: Sizes, text: str) -> float:
-    """Probability that the text is good; an empty text has the score of the bias alone."""
+    """Probability that the text is good.
+
+    The calibrated difference and the share of good texts, weighted by how much text there is: the
+    difference of a few bytes says little, and an empty text has the share alone.
+    """
     if not model.weights:
         return 0.5
-    bias, *slopes = model.weights
-    z = bias + sum(w * v for w, v in zip(slopes, features(sizes.of(text))))
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    found = sizes.of(text)
+    bias, slope = model.weights
+    own = 1 / (1 + math.exp(-max(-30.0, min(30.0, bias + slope * difference(found)))))
+    trust = found[0] / (found[0] + _DOUBT)
+    return trust * own + (1 - trust) * model.share
 
 
 def score(df: DataFrame, model: QualityModel, *, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recprep.llm import vocab
-from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of
+from recprep.llm.common import arrow_batches, crc32_of, out_batches, qualified, rows_in, text_of
 from recprep.llm.warc import _open
 from recprep.session import shared_folder
 
@@ -344,7 +344,7 @@ def binary_records(
     their names. Ids that are no integers are written and read as strings.
     """
     spark = df.sparkSession
-    folder = f"{folder or shared_folder(spark)}/records-{uuid.uuid4().hex}"
+    folder = qualified(spark, f"{folder or shared_folder(spark)}/records-{uuid.uuid4().hex}")
     kind = df.schema[id_col].dataType
     docs = ordered(df, id_col, text_col)
     written = write_records(docs, folder, tokenizer_path, pattern, end_id=end_id, file_bytes=file_bytes)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recprep.llm.common import arrow_batches, out_batches, rows_in, text_of
+from recprep.llm.common import arrow_batches, out_batches, qualified, rows_in, text_of
 from recprep.session import shared_folder
 
 _CRLF2 = b"\r\n\r\n"
@@ -116,19 +116,26 @@ def write_archives(marked: DataFrame, folder: str, *, archive_bytes: int = 256 <
 
 
 def inflate(read, size: int = 1 << 20) -> Iterator[bytes]:
-    """Blocks of a gzip file of one or many members, in one pass over its bytes."""
+    """Blocks of a gzip file of one or many members, in one pass over its bytes.
+
+    A block has at most ``size`` bytes, however well the file is compressed.
+    """
     unpack = zlib.decompressobj(31)
     data = read(size)
     while data:
-        yield unpack.decompress(data)
-        while unpack.eof and unpack.unused_data:
-            data, unpack = unpack.unused_data, zlib.decompressobj(31)
-            yield unpack.decompress(data)
-        data = read(size)
-        if unpack.eof and data:
-            unpack = zlib.decompressobj(31)
-    if not unpack.eof:
-        raise ValueError("the archive ends inside a gzip member")
+        yield unpack.decompress(data, size)
+        data = unpack.unconsumed_tail
+        if unpack.eof:
+            data = unpack.unused_data or read(size)
+            if data:
+                unpack = zlib.decompressobj(31)
+        elif not data:
+            data = read(size)
+    while not unpack.eof:  # all bytes are read; what zlib still holds comes out in blocks too
+        block = unpack.decompress(b"", size)
+        if not block:
+            raise ValueError("the archive ends inside a gzip member")
+        yield block
 
 
 def headers(head: bytes) -> dict[str, str]:
@@ -263,19 +270,24 @@ def archive_pages(
     archive and an empty result. Other columns are left out, whatever their names.
     """
     spark = pages.sparkSession
-    folder = f"{folder or shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    folder = qualified(spark, f"{folder or shared_folder(spark)}/warc-{uuid.uuid4().hex}")
     id_type = pages.schema[id_col].dataType.simpleString()
     marked = mark_revisits(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, min_bytes=min_bytes)
     # Writing has a side effect: its manifest is stored, so that nothing is written twice.
     manifest = _stored(write_archives(marked, folder, archive_bytes=archive_bytes), folder, "mono")
-    members = _stored(normalise(manifest.repartition("archive"), folder), folder, "member")
+    # Explicit numbers of tasks: these rows are tiny, what they stand for is not, and adaptive
+    # execution merges by bytes. A task per archive, then a task per 32 MB of members.
+    archives = max(1, min(manifest.count(), 100_000))
+    members = _stored(normalise(manifest.repartitionByRange(archives, "archive"), folder), folder, "member")
     wanted = members.select("archive")
     if members.isEmpty():
         entries = spark.createDataFrame([], _INDEX)
     else:
         entries = read_index(spark, folder).join(wanted, "archive", "left_semi")
     # Ranges of an archive go to tasks in order of offset: few open files, forward seeks only.
-    spread = entries.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    stored = entries.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = int(max(1, min(stored // (32 << 20) + 8, 100_000)))
+    spread = entries.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return read_records(spread, folder, "long" if isinstance(pages.schema[id_col].dataType, T.IntegralType) else id_type)
 
 
