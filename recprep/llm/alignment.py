@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.llm import vocab
-from recprep.llm.chunks import cut
+from recprep.llm.chunks import cut, no_cycles
 from recprep.llm.common import arrow_batches, text_of
 from recprep.session import discard, materialize
 
@@ -98,25 +98,28 @@ class Aligner:
             for chunk, a, b in zip(part, self.a.many(part), b_ids):
                 yield self.align(chunk, memoryview(a).cast(width).tolist(), b)
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
+    @no_cycles
+    def texts(self, texts: list[str]) -> list[tuple[int, int, int, int, str, bytes]]:
         """(n_a, n_b, n_groups, n_links, groups as text, pairs as 64-bit numbers) of each text; zeros and '' without tokens."""
         known = self.known
         if len(known) > _CHUNKS:
             known.clear()
         cuts = [self.chunks(t) if t else [] for t in texts]
-        fresh = list({c for chunks in cuts for c in chunks if c not in known})
+        fresh = list({c for chunks in cuts for c in chunks}.difference(known))
         new = dict(zip(fresh, self.align_all(fresh)))
         known.update((c, v) for c, v in new.items() if len(c) <= _CHUNK)
+        out = []
         for chunks in cuts:
             try:
                 found = [known[c] for c in chunks]
             except KeyError:
                 found = [known[c] if c in known else new[c] for c in chunks]
             if not found or None in found:
-                yield 0, 0, 0, 0, "", b""
+                out.append((0, 0, 0, 0, "", b""))
                 continue
             a, b, groups, links, shown, pairs = zip(*found)
-            yield sum(a), sum(b), sum(groups), sum(links), ";".join(shown), b"".join(pairs)
+            out.append((sum(a), sum(b), sum(groups), sum(links), ";".join(shown), b"".join(pairs)))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -269,7 +272,7 @@ def postings(
                     block, number = Block(part << 32 | number), number + 1
                 room = min(_BLOCK_DOCS - block.docs, 4096)
                 upto = min(at + room, max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _SLICE_BYTES, "right"))))
-                found = list(aligner.texts(texts[at:upto]))
+                found = aligner.texts(texts[at:upto])
                 low = np.arange(block.docs, block.docs + len(found))
                 links = np.array([f[3] for f in found], np.int64)
                 block.add(np.frombuffer(b"".join([f[5] for f in found]), np.int64), np.repeat(low, links))

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable
+from functools import wraps
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def no_cycles(work: Callable) -> Callable:
+    """Run without the search for reference cycles, which scans large memories again and again and finds none here."""
+
+    @wraps(work)
+    def quiet(*args, **options):
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return work(*args, **options)
+        finally:
+            if on:
+                gc.enable()
+
+    return quiet
+
+
 def cut(text: str) -> tuple[str, list[str]]:
     """The first chunk, and the others without the one space that precedes each of them.
 
@@ -34,6 +52,7 @@ class ChunkEncoder:
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
 
+    @no_cycles
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known.clear()
@@ -41,9 +60,9 @@ class ChunkEncoder:
         new: set[str] = set()
         for _, rest in cuts:
             new.update(rest)
-        fresh = [c for c in new if c not in self.known]
+        fresh = list(new.difference(self.known))
         for chunk, ids in zip(fresh, self.encode_many([" " + c for c in fresh])):
             self.known[chunk] = ids
         heads = self.encode_many([head for head, _ in cuts])
-        known = self.known
-        return [head + b"".join([known[c] for c in rest]) for head, (_, rest) in zip(heads, cuts)]
+        of = self.known.__getitem__
+        return [head + b"".join(map(of, rest)) for head, (_, rest) in zip(heads, cuts)]

@@ -40,6 +40,14 @@ def qualified(spark: SparkSession, path: str) -> str:
     return store.makeQualified(place).toString()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

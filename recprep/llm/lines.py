@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.llm.common import arrow_batches, release, text_of
-from recprep.session import materialize
+from recprep.session import discard, materialize
 
 _SKETCH = 1 << 22  # counters for the frequency of words: 16 MB, whatever the vocabulary
 _DOC_BITS = 1 << 22  # bits of a filter over documents
@@ -277,7 +277,7 @@ def _semi(rows: DataFrame, at: DataFrame, how: str = "left_semi") -> DataFrame:
 
 
 def verify(docs: DataFrame, pairs: DataFrame, threshold: float, least: int) -> DataFrame:
-    """Lines of ``pairs`` whose Jaccard similarity with an earlier line reaches the threshold."""
+    """Lines of ``pairs`` whose Jaccard similarity with an earlier line reaches the threshold; stored."""
     kind = docs.schema["doc"].dataType.simpleString()
     ends = pairs.select(*_AT).unionByName(pairs.select(*[F.col(f"{c}2").alias(c) for c in _AT])).distinct()
 
@@ -299,10 +299,12 @@ def verify(docs: DataFrame, pairs: DataFrame, threshold: float, least: int) -> D
     both = left.alias("q").join(sets.alias("t"), two).select("q.*", F.col("t.words").alias("words2"))
     common = F.size(F.array_intersect("words", "words2"))
     like = common / (F.size("words") + F.size("words2") - common) >= threshold - 1e-9
-    return both.filter(like).select(*_AT).distinct()
+    found = materialize(both.filter(like).select(*_AT).distinct())
+    discard(sets)
+    return found
 
 
-def removed_lines(docs: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: float = 0.8, least: int = 1) -> DataFrame:
     """doc, h, line of every line that is like an earlier one. docs: doc, h, text."""
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -326,17 +328,23 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, least: int = 3) -> Da
         postings(_pass(docs, with_copies, False), threshold, floor, sketch)
     )
     met = materialize(meetings(rows))
+    discard(scanned)
     release(spark)
-    found = materialize(verify(docs, materialize(pivot_pairs(met, threshold)), threshold, least))
+    first_pairs = materialize(pivot_pairs(met, threshold))
+    found = verify(docs, first_pairs, threshold, least)
+    discard(first_pairs)
     release(spark)
     more = materialize(all_pairs(met, found, threshold))
-    late = materialize(verify(docs, more, threshold, least))
+    discard(met)
+    late = verify(docs, more, threshold, least)
+    removed = materialize(copies.unionByName(found).unionByName(late).distinct())
+    discard(more, copies, found, late)
     release(spark)
-    return materialize(copies.unionByName(found).unionByName(late).distinct())
+    return removed
 
 
 def line_dedup(
-    df: DataFrame, *, threshold: float = 0.8, least_words: int = 3, id_col: str = "doc_id", text_col: str = "text",
+    df: DataFrame, *, threshold: float = 0.8, least_words: int = 1, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers from 0, ascending), one row per document.
 
@@ -368,7 +376,7 @@ def line_dedup(
 
 
 def clean(
-    df: DataFrame, *, threshold: float = 0.8, least_words: int = 3, id_col: str = "doc_id", text_col: str = "text",
+    df: DataFrame, *, threshold: float = 0.8, least_words: int = 1, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """The table without the removed lines in its text; cases as in :func:`line_dedup`, null text stays null."""
     removed = removed_lines(_docs(df, id_col, text_col), threshold, least_words)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recprep.llm.common import free_name
 from recprep.session import materialize
 
 # Titles before names by gender, alphabets by script, and patterns (Java syntax).
@@ -17,6 +18,21 @@ LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
 GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
 HAN = "王李张刘陈杨黄赵吴周徐孙马朱胡林郭何高罗"
+ARABIC = "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"
+HEBREW = "אבגדהוזחטיכלמנסעפצקרשת"
+HANGUL = "가나다라마바사아자차카타파하거너더러머버"
+HIRAGANA = "あいうえおかきくけこさしすせそたちつてと"
+KATAKANA = "アイウエオカキクケコサシスセソタチツテト"
+DEVANAGARI = "अआइईउकखगघचछजझटठडढतथदधनपफबभमयरलवसह"
+THAI = "กขคงจชซญดตถทนบปผพมยรลวสหอ"
+SCRIPTS = {
+    "Cyrillic": CYRILLIC, "Greek": GREEK, "Han": HAN, "Arabic": ARABIC, "Hebrew": HEBREW, "Hangul": HANGUL,
+    "Hiragana": HIRAGANA, "Katakana": KATAKANA, "Devanagari": DEVANAGARI, "Thai": THAI,
+}
+BIRTH_WORDS = [
+    "born", "born on", "date of birth", "birth date", "birthday", "dob", "geboren am", "geburtsdatum", "né le", "née le",
+    "date de naissance", "nació el", "fecha de nacimiento",
+]
 CONSONANTS = {"latin": "bdfgklmnprstv", "cyrillic": "бвгдзклмнпрст"}
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу"}
 MALE_ENDS = {"latin": "nrslk", "cyrillic": "нрлкм"}
@@ -24,11 +40,17 @@ FEMALE_ENDS = {"latin": "a", "cyrillic": "а"}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+_HEX = "[0-9A-Fa-f]{1,4}"
+_DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./-]\d{1,2}[./-]\d{4})(?![\d./-]*\d)"
 PATTERNS = {
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?<=(?i:password|passwd|pwd|secret|token|api_key|api-key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})"
               r"(?=[A-Za-z_+/=-]{0,80}\d)[A-Za-z0-9_+/=-]{8,}",
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"[\p{L}\p{M}\p{N}._%+-]+@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)+",
+    # Written with a first group of three or four digits, as addresses of hosts are.
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f]{{3,4}}:)(?:(?:{_HEX}:){{7}}{_HEX}"
+            rf"|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
+    "birth": rf"(?<=(?i:{'|'.join(BIRTH_WORDS)})[: ]{{1,3}}){_DATE}",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
              r"|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
@@ -40,12 +62,14 @@ PATTERNS = {
 # One pattern for all kinds. Each branch starts with a check of one character, so a position
 # inside a word costs next to nothing; the checks are implied by the branch and change no match.
 # An e-mail address starts where its run of characters starts, or where a match has just ended.
-_RUN = r"[\p{L}\p{N}._%+-]"
+_RUN = r"[\p{L}\p{M}\p{N}._%+-]"
 _NUMBERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("ip", "phone", "ssn", "card"))
 ANY = "|".join([
     f"(?=A){PATTERNS['access_key']}",
     r"(?<=[=:\s\"'])(?<=[=:]\s{0,3}[\"']{0,1})" + PATTERNS["secret"],
     rf"(?:(?<!{_RUN})|\G){PATTERNS['email'].replace('+@', '++@')}",
+    f"(?=[0-9A-Fa-f]){PATTERNS['ipv6']}",
+    f"(?=[0-9])(?<=[: ]){PATTERNS['birth']}",
     f"(?=[0-9+(])(?:{_NUMBERS})",
     f"(?=[A-Z]){PATTERNS['iban']}",
     f"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}]){PATTERNS['name']}",
@@ -88,6 +112,8 @@ def kind_of(value: Column) -> Column:
         F.when(value.contains("@"), "email")
         .when(_full(value, "access_key"), "access_key")
         .when(_full(value, "ip"), "ip")
+        .when(_full(value, "ipv6"), "ipv6")
+        .when(value.rlike(f"^{_DATE}$"), "birth")
         .when(_full(value, "phone"), "phone")
         .when(_full(value, "ssn"), "ssn")
         .when(_full(value, "card") & value.rlike(r"^[0-9 -]+$"), F.when(F.pmod(_luhn_sum(digits_of(value), False), F.lit(10)) == 0, "card"))
@@ -102,7 +128,7 @@ def canonical(value: Column, kind: Column) -> Column:
     return (
         F.when(kind.isin(DIGIT_KINDS), digits_of(value))
         .when(kind == "name", F.lower(F.regexp_replace(value, r"^\S+ ", "")))
-        .when(kind.isin("email"), F.lower(value))
+        .when(kind.isin("email", "ipv6"), F.lower(value))
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
         .otherwise(value)
     )
@@ -123,29 +149,34 @@ def _pick(alphabet: str, number: Column) -> Column:
     return F.substring(F.lit(alphabet), F.pmod(number, F.lit(len(alphabet))) + 1, F.lit(1))
 
 
+def _other(alphabet: str, c: Column, number: Column) -> Column:
+    """A letter of the alphabet that is not ``c``."""
+    at = F.call_function("instr", F.lit(alphabet), c)  # from 1; 0 for a letter outside
+    return F.substring(F.lit(alphabet), F.pmod(at + F.pmod(number, F.lit(len(alphabet) - 1)), F.lit(len(alphabet))) + 1, F.lit(1))
+
+
 def _same_form(value: Column, stream: Column, keep: Column, hexed: Column) -> Column:
-    """Replace letters and digits one by one, each by one of its script and case; keep the rest.
+    """Replace letters and digits one by one, each letter by another one of its script and case (of
+    the Latin alphabet, for a script that has none here); keep the rest.
 
     ``keep``: so many letters and digits at the start stay. ``hexed``: letters stay in a-f.
     """
 
     def letter(c: Column, n: Column) -> Column:
         low, upper = F.lower(c), c.rlike(r"\p{Lu}")
-        new = (
-            F.when(low.rlike(r"\p{IsCyrillic}"), _pick(CYRILLIC, n)).when(low.rlike(r"\p{IsGreek}"), _pick(GREEK, n))
-            .when(low.rlike(r"\p{IsHan}"), _pick(HAN, n)).when(low.rlike(r"\p{IsLatin}"), F.when(hexed, _pick("abcdef", n)).otherwise(_pick(LATIN, n)))
-            .otherwise(c)
-        )
+        new = F.when(low.rlike("[a-z]"), F.when(hexed, _other("abcdef", low, n)).otherwise(_other(LATIN, low, n)))
+        for script, alphabet in SCRIPTS.items():
+            new = new.when(low.rlike(rf"\p{{Is{script}}}"), _other(alphabet, low, n))
+        new = new.otherwise(_other(LATIN, low, n))
         return F.when(upper, F.upper(new)).otherwise(new)
 
     def step(acc: Column, c: Column) -> Column:
         k, n = acc["k"], _byte(stream, acc["k"])
-        new = F.when(c.rlike("[0-9]"), F.pmod(n, F.lit(10)).cast("string")).otherwise(letter(c, n))
-        inside = c.rlike(r"[\p{L}0-9]")
-        return F.struct(
-            F.concat(acc["out"], F.when(inside & (k >= keep), new).otherwise(c)).alias("out"),
-            (k + inside.cast("int")).alias("k"),
-        )
+        inside, mark = c.rlike(r"[\p{L}\p{Nd}]"), c.rlike(r"\p{M}")
+        new = F.when(c.rlike(r"\p{Nd}"), F.pmod(n, F.lit(10)).cast("string")).otherwise(letter(c, n))
+        # A mark belongs to the letter that went.
+        shown = F.when(inside & (k >= keep), new).when(mark & (k > keep), F.lit("")).otherwise(c)
+        return F.struct(F.concat(acc["out"], shown).alias("out"), (k + inside.cast("int")).alias("k"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
     return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["out"])
@@ -185,7 +216,8 @@ def _spoken(word: Column, stream: Column, gender: Column) -> Column:
 def surrogate(value: Column, kind: Column, stream: Column, attempt: Column, key: str) -> Column:
     """The replacement for a mention; ``stream`` is its :func:`_stream` of the same attempt.
 
-    It has the kind, script, case, length and punctuation of the mention. Card numbers pass the
+    It has the kind, script, case, length and punctuation of the mention. Dates of birth stay dates, within
+    ten years of the mention, and days and months that could be read either way fit both. Card numbers pass the
     Luhn test and keep the first digit, telephone numbers keep the first digit of the country,
     e-mail addresses keep the top-level domain, and equal domains stay equal. Names keep the
     title; each word of a name has one replacement per gender, so a surname is the same in all
@@ -210,6 +242,16 @@ def surrogate(value: Column, kind: Column, stream: Column, attempt: Column, key:
         lambda i: (F.pmod(_byte(stream, i * 2) * 256 + _byte(stream, i * 2 + 1), F.lit(222)) + 1).cast("string"),
     )
 
+    parts = F.split(value, "[./-]")
+    year_first = F.length(parts[0]) == 4
+    date = F.replace(F.array_join(F.transform(parts, lambda p, i: _once(_byte(stream, i), lambda n: F.lpad(
+        F.when(F.length(p) == 4, F.greatest(p.cast("int") - 10 + F.pmod(n, F.lit(21)), F.lit(1000)))
+        .when(F.length(p) == 1, F.pmod(n, F.lit(9)) + 1)
+        .when(year_first & (i == 2), F.pmod(n, F.lit(28)) + 1)
+        .otherwise(F.pmod(n, F.lit(12)) + 1).cast("string"),
+        F.length(p), F.lit("0"),
+    ))), "|"), F.lit("|"), F.regexp_extract(value, "[./-]", 0))
+
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
@@ -231,7 +273,8 @@ def surrogate(value: Column, kind: Column, stream: Column, attempt: Column, key:
     hexed = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
     return (
         F.when(kind == "card", spread).when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "email", address).when(kind == "name", person)
+        .when(kind == "email", address).when(kind == "name", person).when(kind == "birth", date)
+        .when(kind == "ipv6", _same_form(value, stream, F.lit(0), F.lit(True)))
         .when(kind == "phone", _same_form(value, stream, value.startswith("+").cast("int"), plain))
         .when(kind == "access_key", _same_form(value, stream, F.lit(4), plain))
         .when(kind == "iban", _same_form(value, stream, F.lit(2), plain))
@@ -306,18 +349,19 @@ def replace(
         return _rewrite(df, text_col, found_col, key, lambda kind, what: F.lit(0))
     # Documents with such entities are few; the map of each is found by the digest of its text.
     digest = F.sha2(text, 256)
+    told, attempts = free_name(df, "of_text"), free_name(df, "pii_attempts")
     maps = (
-        df.select(digest.alias("of_text"), F.explode(mentions(text)).alias("m")).select("of_text", "m.kind", "m.what")
-        .distinct().join(again, ["kind", "what"]).groupBy("of_text")
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "what"), "attempt"))).alias("pii_attempts"))
+        df.select(digest.alias(told), F.explode(mentions(text)).alias("m")).select(told, "m.kind", "m.what")
+        .distinct().join(again, ["kind", "what"]).groupBy(told)
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "what"), "attempt"))).alias(attempts))
     )
-    joined = df.drop("pii_attempts").join(maps, digest == F.col("of_text"), "left").drop("of_text")
-    known = F.col("pii_attempts")
+    joined = df.join(maps, digest == F.col(told), "left").drop(told)
+    known = F.col(attempts)
     out = _rewrite(
         joined, text_col, found_col, key,
         lambda kind, what: F.coalesce(F.try_element_at(known, F.concat_ws("|", kind, what)), F.lit(0)),
     )
-    return out.drop("pii_attempts")
+    return out.drop(attempts)
 
 
 def _rewrite(df: DataFrame, text_col: str, found_col: str, key: str, attempt_of) -> DataFrame:

@@ -172,15 +172,14 @@ def adaptive_code_length(text: bytes, order: int = 4) -> float:
 
 
 def train(
-    docs: DataFrame, *, order: int = 4, max_pairs: int | None = None, text_col: str = "text",
+    docs: DataFrame, *, order: int = 4, text_col: str = "text",
 ) -> tuple[list[tuple[np.ndarray, np.ndarray]], DataFrame]:
     """Count all (context, symbol) pairs of all texts.
 
     Orders 0 and 1 come back as arrays (pairs, counts): at most 65,536 pairs. Longer contexts
     come back as a stored table (level, at, seen): one row per context ``at``, with all symbols
     seen after it and their counts. That table grows with the corpus and stays distributed.
-    All counts are kept, unless ``max_pairs`` asks for pairs that make up at least
-    1 / max_pairs of all symbols; a kept pair's shorter contexts are always kept too.
+    All counts are kept.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -194,9 +193,6 @@ def train(
 
     found = docs.select(text_of(text_col).alias("text")).mapInArrow(work, "gram long, n long")
     full = materialize(found.groupBy("gram").agg(F.sum("n").alias("n")))
-    least = 1
-    if max_pairs is not None:
-        least = max(1, -(-(full.agg(F.sum("n")).first()[0] or 0) // max_pairs))
     low, longer = [], None
     for k in range(order + 1):
         tail = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("pair")
@@ -206,7 +202,7 @@ def train(
             low.append((kept.column("pair").to_numpy(), kept.column("n").to_numpy()))
             continue
         symbol = F.struct(F.col("pair").bitwiseAND(F.lit(255)).alias("symbol"), "n")
-        level = pairs.filter(F.col("n") >= least).groupBy(F.shiftright("pair", 8).alias("at")).agg(F.collect_list(symbol).alias("seen"))
+        level = pairs.groupBy(F.shiftright("pair", 8).alias("at")).agg(F.collect_list(symbol).alias("seen"))
         level = level.select(F.lit(k).alias("level"), "at", "seen")
         longer = level if longer is None else longer.unionByName(level)
     if longer is None:
@@ -269,7 +265,7 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def score(
-    df: DataFrame, trained_on: DataFrame, *, order: int = 4, max_pairs: int | None = None, block_bytes: int = 16 << 20,
+    df: DataFrame, trained_on: DataFrame, *, order: int = 4, block_bytes: int = 6 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
@@ -279,14 +275,14 @@ def score(
     (words are told apart by 64-bit hashes). Documents are dealt into blocks of about
     ``block_bytes``; a block asks once for the counts of its distinct words and of its distinct
     contexts, so frequent ones cost one row per block, not one per document. No count is
-    dropped, however rare (unless ``max_pairs`` is given, see :func:`train`).
+    dropped, however rare.
 
     Defined cases: null text is empty and has the end alone; without training texts every
     count is 0 and every byte costs 8 bits; repeated rows and null ids are scored one by one;
     an empty table gives an empty result; other columns are left out.
     """
     spark = df.sparkSession
-    low, contexts = train(trained_on, order=order, max_pairs=max_pairs, text_col=text_col)
+    low, contexts = train(trained_on, order=order, text_col=text_col)
     model = spark.sparkContext.broadcast(low)
     counts = materialize(word_counts(trained_on, text_col=text_col))
     ends = trained_on.count()

@@ -225,21 +225,3 @@ def near_duplicates(
     found = _grouped(df, words, radius, id_col, text_col, bucket_variants)
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return found.join(names, "root").select("doc_id", "fp", "component_id")
-
-
-def keep_one(
-    df: DataFrame, *, words: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text",
-    bucket_variants: int = 1 << 21,
-) -> DataFrame:
-    """The table with one row of each component: the one with the smallest id (null ids last).
-
-    Of rows that repeat id and text one is kept. All columns stay as they are.
-    """
-    found = _grouped(df, words, radius, id_col, text_col, bucket_variants)
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("f"))
-    chosen = first.select(F.col("f.doc_id").alias("chosen_id"), F.col("f.h").alias("chosen_h"))
-    hashed = df.withColumn("row_hash", F.xxhash64(text_of(f"`{text_col}`")))
-    same = hashed[f"`{id_col}`"].eqNullSafe(chosen.chosen_id) & (hashed["row_hash"] == chosen.chosen_h)
-    return hashed.join(chosen, same, "left_semi").dropDuplicates([id_col, "row_hash"]).select(*[F.col(f"`{c}`") for c in df.columns])
-
-
