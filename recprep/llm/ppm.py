@@ -12,8 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, text_of, words_of
-from recprep.session import materialize
+from recprep.llm.common import arrow_batches, release, text_of, words_of
+from recprep.session import discard, materialize
 
 _END = 0xFF  # closes a text; no UTF-8 text holds this byte
 _START = 0x0A  # stands before the first byte, as often as the order asks
@@ -207,7 +207,10 @@ def train(
         longer = level if longer is None else longer.unionByName(level)
     if longer is None:
         longer = spark.createDataFrame([], _CONTEXTS)
-    return low, materialize(longer)
+    stored = materialize(longer)
+    discard(full)
+    release(spark)
+    return low, stored
 
 
 _CONTEXTS = "level int, at long, seen array<struct<symbol: long, n: long>>"
@@ -265,7 +268,7 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def score(
-    df: DataFrame, trained_on: DataFrame, *, order: int = 4, block_bytes: int = 6 << 20,
+    df: DataFrame, trained_on: DataFrame, *, order: int = 4, block_bytes: int = 4 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
