@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import zlib
 from collections.abc import Iterator
@@ -40,6 +41,17 @@ def qualified(spark: SparkSession, path: str) -> str:
     return store.makeQualified(place).toString()
 
 
+def trim_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker have freed: workers are used again,
+    and the pools of Arrow and of the C library otherwise keep the peak of every stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     have = {c.lower() for c in df.columns}

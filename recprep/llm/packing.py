@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.llm import vocab
-from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of
+from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of, trim_memory
 from recprep.session import materialize
 
 
@@ -23,6 +23,7 @@ def tokenize(df: DataFrame, path: str, pattern: str, *, end_id: int, id_col: str
     arrow_batches(df.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         encoder = vocab.load(path, pattern)
         width = encoder.width
         end = np.array([end_id], width).tobytes()

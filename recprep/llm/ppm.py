@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, release, text_of, words_of
+from recprep.llm.common import arrow_batches, release, text_of, trim_memory, words_of
 from recprep.session import discard, materialize
 
 _END = 0xFF  # closes a text; no UTF-8 text holds this byte
@@ -304,6 +304,7 @@ def score(
         wanted = [_hashes(_flat(texts)[0])[0], *contexts_of([t.encode() for t in texts], order)]
         level = np.repeat(np.array([_WORD, *range(2, order + 1)], np.int32), [len(w) for w in wanted])
         block = pa.array([table.column("block")[0].as_py()] * len(level), pa.int64())
+        trim_memory()
         return pa.table({"block": block, "level": level, "at": np.concatenate(wanted)})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, level int, at long")
@@ -313,6 +314,7 @@ def score(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def answer(docs: pa.Table, known: pa.Table) -> pa.Table:
+        trim_memory()
         texts = docs.column("text").to_pylist()
         flat, lengths = _flat(texts)
         hashes, which = _hashes(flat)
