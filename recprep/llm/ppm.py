@@ -268,7 +268,7 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 
 def score(
-    df: DataFrame, trained_on: DataFrame, *, order: int = 4, block_bytes: int = 4 << 20,
+    df: DataFrame, trained_on: DataFrame, *, order: int = 4, block_bytes: int = 8 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
