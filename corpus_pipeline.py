@@ -30,7 +30,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of five words, similarity of 0.8 or more)."""
+    """One document of each group of near duplicates (shingles of five words, similarity of 0.8 or more).
+
+    Fingerprints (SimHash, as in op7) within 4 bits give candidates; an exact join gives the rest. All are verified.
+    """
     tune(spark)
     return shingles.keep_one(docs, words=5, threshold=0.8)
 

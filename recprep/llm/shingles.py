@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recprep.llm import simhash
 from recprep.llm.common import arrow_batches, free_name, release, text_of, words_of
 from recprep.llm.components import connected_components
 from recprep.session import materialize
@@ -70,28 +71,33 @@ def set_keys(shingles: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def scan(docs: DataFrame, words: int) -> DataFrame:
-    """One pass: doc, h, key of every document (part null), and the counters of each task in parts."""
+    """One pass: doc, h, key, fp (SimHash) of every document (part null), and the counters of each task in parts."""
     kind = docs.schema["doc"].dataType.simpleString()
-    names, size = ["doc", "h", "key", "part", "counts"], _SKETCH // _PARTS
+    names, size = ["doc", "h", "key", "fp", "part", "counts"], _SKETCH // _PARTS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, types = np.zeros(_SKETCH, np.int64), None
         for batch in batches:
-            shingles, start = shingle_sets(batch.column(2).to_pylist(), words)
+            texts = batch.column(2).to_pylist()
+            shingles, start = shingle_sets(texts, words)
+            prints = np.array([simhash.fingerprint(t, words) for t in texts], np.uint64)
             seen += np.bincount(_bucket(shingles), minlength=_SKETCH)
             types, n = batch.column(0).type, batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(set_keys(shingles, start)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                [
+                    batch.column(0), batch.column(1), pa.array(set_keys(shingles, start)), pa.array(prints.view(np.int64)),
+                    pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                ],
                 names=names,
             )
         if types is not None:
             none = pa.nulls(_PARTS, pa.int64())
             held = [seen[i * size : (i + 1) * size].tobytes() for i in range(_PARTS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(_PARTS, types), none, none, pa.array(range(_PARTS), pa.int32()), pa.array(held, pa.binary())], names=names
+                [pa.nulls(_PARTS, types), none, none, none, pa.array(range(_PARTS), pa.int32()), pa.array(held, pa.binary())], names=names
             )
 
-    return docs.mapInArrow(work, f"doc {kind}, h long, key long, part int, counts binary")
+    return docs.mapInArrow(work, f"doc {kind}, h long, key long, fp long, part int, counts binary")
 
 
 def shingle_sketch(scanned: DataFrame) -> np.ndarray:
@@ -200,21 +206,42 @@ def verify(docs: DataFrame, keyed: DataFrame, pairs: DataFrame, words: int, thre
     return both.filter(common / (F.size("one") + F.size("two") - common) >= threshold - 1e-9).select("a", "b")
 
 
-def links(docs: DataFrame, keyed: DataFrame, sketch: np.ndarray, words: int, threshold: float) -> DataFrame:
+def fingerprint_pairs(keyed: DataFrame, radius: int) -> DataFrame:
+    """Candidate pairs of sets by SimHash: fingerprints that differ in at most ``radius`` bits.
+
+    keyed: key, fp. All sets of a fingerprint meet the smallest key of it, and the smallest keys of two linked
+    fingerprints meet (see :func:`recprep.llm.simhash.links`).
+    """
+    sets = materialize(keyed.filter("key <> 0").select("key", "fp").distinct())
+    heads = materialize(sets.groupBy("fp").agg(F.min("key").alias("head")))
+    near = simhash.links(heads.select("fp"), radius)
+    one = heads.select(F.col("fp").alias("a"), F.col("head").alias("key"))
+    two = heads.select(F.col("fp").alias("b"), F.col("head").alias("key2"))
+    met = near.join(one, "a").join(two, "b").select("key", "key2")
+    same = sets.join(heads, "fp").select("key", F.col("head").alias("key2"))
+    both = met.unionByName(same).filter("key <> key2")
+    return both.select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
+
+
+def links(docs: DataFrame, keyed: DataFrame, sketch: np.ndarray, words: int, threshold: float, radius: int = 4) -> DataFrame:
     """``a, b`` (keys of sets): edges that connect exactly what a similarity >= threshold connects.
 
-    Sets first meet the smallest and the largest key of each of their prefix shingles; that
-    joins the members of a large group with two pairs each. Then sets meet all others of their
+    Sets first meet those of near fingerprints, and the smallest and the largest key of each of their
+    prefix shingles; that joins the members of a large group with two pairs each. Then sets meet all others of their
     prefix shingles that are still in another component.
     """
     spark = docs.sparkSession
+    alike = materialize(fingerprint_pairs(keyed, radius))
+    arrow_batches(spark, 500)  # the fingerprints' links take larger ones
+    release(spark)
     rows = materialize(postings(docs, words, threshold, spark.sparkContext.broadcast(sketch)))
     whole = F.struct("key", "n", "place")
     ends = rows.groupBy("shingle").agg(F.min(whole).alias("low"), F.max(whole).alias("high")).filter("low.key <> high.key")
     met = materialize(rows.join(ends, "shingle").distinct())
     release(spark)
     first = _beside(met, "low").unionByName(_beside(met, "high"))
-    near = materialize(verify(docs, keyed, materialize(_pairs(first, threshold)), words, threshold))
+    candidates = _pairs(first, threshold).unionByName(alike).distinct()
+    near = materialize(verify(docs, keyed, materialize(candidates), words, threshold))
     release(spark)
 
     roots = connected_components(near)
@@ -235,7 +262,8 @@ def keep_one(
 
     Documents are sets of shingles of ``words`` words (A-Z in lower case). Two are linked if
     their Jaccard similarity is ``threshold`` or more; groups are the components of these links.
-    No pair is missed: candidates come from prefixes of rare shingles and each is verified
+    Candidates come from SimHash fingerprints within 4 bits of each other, and, since most pairs at such a
+    similarity are further apart, from prefixes of rare shingles: no pair is missed, and each is verified
     (shingles are told apart by 64-bit hashes).
 
     Defined cases: a text with fewer words than a shingle is one shingle; null texts and texts
@@ -246,7 +274,7 @@ def keep_one(
     text = text_of(f"`{text_col}`")
     docs = df.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
     scanned = materialize(scan(docs, words))
-    keyed = scanned.filter("part IS NULL").select("doc", "h", "key")
+    keyed = scanned.filter("part IS NULL").select("doc", "h", "key", "fp")
     roots = connected_components(links(docs, keyed, shingle_sketch(scanned), words, threshold))
     found = keyed.join(roots, keyed.key == roots.node, "left").select("doc", "h", F.coalesce("root", "key").alias("root"))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "h")).alias("f"))

@@ -195,6 +195,17 @@ def test_near_duplicate_stage_finds_all_pairs(spark, docs):
     assert got == near_groups(rows)
 
 
+def test_near_duplicate_stage_links_near_fingerprints(spark, docs, monkeypatch):
+    base = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, *[f"e{j}" for j in range(4)]])), (3, " ".join(f"v{i}" for i in range(400))), (4, None), (5, " ")]
+    near, seen = shingles.simhash.links, []
+    monkeypatch.setattr(shingles.simhash, "links", lambda nodes, radius: (seen.append((nodes.count(), radius)), near(nodes, radius))[1])
+    none = spark.createDataFrame([], "shingle long, key long, n int, place int")
+    monkeypatch.setattr(shingles, "postings", lambda *_: none)  # the fingerprints alone
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs(rows), SF).collect())
+    assert got == [1, 3, 4] and seen == [(3, 4)]
+
+
 def test_near_duplicate_cases(docs):
     base = [f"w{i}" for i in range(60)]
     group = [(i, " ".join([*base, f"x{i}"])) for i in range(150)]
