@@ -42,8 +42,9 @@ def retail_main(spark, sf_dir):
 
 def retail_main_ordered(spark, sf_dir):
     """Place of each row of the dataset in its order by store and item."""
-    out = retail.store_product_dataset(materialize(retail_sales(spark, sf_dir)), AS_OF, ordered=True)
-    return out.select("position", "customer_id", "product_id")
+    keys = ["customer_id", "product_id"]
+    sales = materialize(retail_sales(spark, sf_dir))
+    return retail.store_product_dataset(sales, AS_OF, ordered=True, position_of=keys).select("position", *keys)
 
 
 RETAIL_QUERIES = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recprep.functions import numeric as num
 from recprep.functions.text import first_like
 from recprep.functions.times import days_between, days_until, local_parts, local_time
-from recprep.operators.keyed import distinct_counts, m_avg, m_sum, m_total
+from recprep.operators.keyed import dealt, distinct_counts, m_avg, m_sum, m_total, two_level
 from recprep.plans.core import CUSTOMER, PRODUCT, interaction_dataset
 from recprep.session import materialize
 
@@ -47,12 +47,15 @@ _ITEM_ATTRIBUTES = [
 def pair_facts(sales: DataFrame) -> DataFrame:
     """The pre-aggregate of the family: one row per store, item, category and vendor as sold.
 
-    One pass over the sales; everything but attributes and distinct days comes from this table.
-    The only wide DISTINCT is the date; months and weekdays are bit masks.
+    One pass over the sales; everything but attributes and distinct days comes from this table. Most
+    groups have one or two sales, so these are shuffled once, as they are: aggregates of a task
+    would be wider than its rows. ``_best`` marks the row of a store and item with the highest spend
+    among those with bottles sold.
     """
     m = _measures()
     measures = (m.sale, m.bottles, m.cost, m.retail, m.liters, m.gallons, m.per_liter, m.pack)
-    return sales.groupBy(*_PAIR).agg(
+    # By store and item alone, so that the choice of the best row needs no shuffle of its own.
+    pairs = sales.repartition("store_number", "item_number").groupBy(*_PAIR).agg(
         F.count_distinct("date").alias("purchase_frequency"),
         F.min("date").alias("_first"),
         F.max("date").alias("_last"),
@@ -62,44 +65,36 @@ def pair_facts(sales: DataFrame) -> DataFrame:
         F.stddev_samp("bottles_sold").alias("purchase_quantity_variation"),
         *[p for each in measures for p in each.partial],
     )
+    sold = F.coalesce(F.col("_bottles") > 0, F.lit(False))
+    order = [sold.desc(), _sum("sale").desc(), F.desc("purchase_frequency"), F.col("category_name"), F.col("vendor_name")]
+    place = F.row_number().over(Window.partitionBy("store_number", "item_number").orderBy(*order))
+    return pairs.withColumn("_best", (place == 1) & sold)
 
 
-def day_marks(sales: DataFrame) -> DataFrame:
-    """Distinct (store or item, day, attributes): a second pass that serves both sides at once."""
-    def tagged(side: str, key: str, mine: list[str]) -> Column:
-        values = [
-            (F.col(c) if c in mine else F.lit(None).cast(sales.schema[c].dataType)).alias(f"_{i}")
-            for i, c in enumerate(_STORE_ATTRIBUTES + _ITEM_ATTRIBUTES)
-        ]
-        return F.struct(F.lit(side).alias("side"), F.col(key).cast("string").alias("key"), F.col("date"), *values)
+def _days(sales: DataFrame, key: str, out: str) -> DataFrame:
+    """Distinct days of each store or item (under ``key``): narrow rows, shuffled once."""
+    return two_level(sales.where(F.col(key).isNotNull()), [key], ["date"], extra=[F.count("date").alias(out)], spread=True)
 
-    both = F.array(tagged("store", "store_number", _STORE_ATTRIBUTES), tagged("item", "item_number", _ITEM_ATTRIBUTES))
-    return sales.select(F.explode(both).alias("m")).select("m.*").where(F.col("key").isNotNull()).distinct()
 
+def _side(sales: DataFrame, source: str, key: str, attributes: list[str], names: list[str], days: str) -> DataFrame:
+    """Per store or item: its smallest attribute combination (NULLs first) and its distinct days.
 
-def _side(marks: DataFrame, side: str, key: str, names: list[str], days: str) -> DataFrame:
-    """Per store or item: its smallest attribute combination (NULLs first) and its distinct days."""
-    at = 0 if side == "store" else len(_STORE_ATTRIBUTES)
-    own = F.struct(*[F.col(f"_{at + i}").alias(n) for i, n in enumerate(names)])
-    per_key = marks.where(F.col("side") == side).groupBy("key").agg(
-        F.min(own).alias("_own"), F.count_distinct("date").alias(days)
-    )
-    return per_key.select(F.col("key").alias(key), "_own.*", days)
-
-
-def _as_key(df: DataFrame, key: str, like: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(key, F.col(key).cast(like.schema[column].dataType))
+    Attributes are made distinct on the map side, apart from the days, so few wide rows are shuffled.
+    """
+    known = sales.where(F.col(source).isNotNull()).select(
+        F.col(source).alias(key), *[F.col(c).alias(f"_{i}") for i, c in enumerate(attributes)]
+    ).distinct()
+    own = F.struct(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
+    per_key = known.groupBy(key).agg(F.min(own).alias("_own"))
+    counted = _days(sales, source, days).withColumnRenamed(source, key)
+    return per_key.join(counted, key).select(key, "_own.*", days)
 
 
 def store_demographics(sales: DataFrame) -> DataFrame:
     """Store attributes, street, type and size class; one row per store."""
-    return _as_key(_demographics(day_marks(sales)), CUSTOMER, sales, "store_number")
-
-
-def _demographics(marks: DataFrame) -> DataFrame:
     plain = ["customer_name", *_STORE_ATTRIBUTES[1:]]
     name = F.col("customer_name")
-    return _side(marks, "store", CUSTOMER, plain, "active_days").select(
+    return _side(sales, "store_number", CUSTOMER, _STORE_ATTRIBUTES, plain, "active_days").select(
         CUSTOMER,
         *plain,
         F.split("address", ",")[0].alias("street_address"),
@@ -110,12 +105,17 @@ def _demographics(marks: DataFrame) -> DataFrame:
 
 def product_features(sales: DataFrame) -> DataFrame:
     """Item attributes, price and volume averages, reach, and size of its category in items."""
-    return _products(pair_facts(sales), day_marks(sales), sales)
+    return _products(pair_facts(sales), sales)
 
 
-def _products(pairs: DataFrame, marks: DataFrame, sales: DataFrame) -> DataFrame:
+def _products(pairs: DataFrame, sales: DataFrame) -> DataFrame:
     m = _measures()
-    measured = pairs.where(F.col("item_number").isNotNull()).groupBy(F.col("item_number").alias(PRODUCT)).agg(
+    parts = [c for c in pairs.columns if c.endswith(("_rest", "_n")) or c in ("_sale", "_cost", "_retail", "_liters", "_gallons", "_per_liter", "_bottles")]
+    own = pairs.where(F.col("item_number").isNotNull()).withColumn(PRODUCT, F.col("item_number"))
+    per_store = dealt(own, [PRODUCT], ["store_number"]).groupBy(PRODUCT, "_bucket", "store_number").agg(
+        *[F.sum(c).alias(c) for c in parts]
+    )
+    measured = per_store.groupBy(PRODUCT).agg(
         m.cost.merged.alias("avg_cost"),
         m.retail.merged.alias("avg_retail_price"),
         m.sale.merged.alias("avg_sale_dollars"),
@@ -124,10 +124,10 @@ def _products(pairs: DataFrame, marks: DataFrame, sales: DataFrame) -> DataFrame
         m.bottles.merged.alias("total_bottles_sold"),
         m.spent.merged.alias("total_revenue"),
         m.per_liter.merged.alias("avg_price_per_liter"),
-        F.count_distinct("store_number").alias("stores_selling"),
+        F.count("store_number").alias("stores_selling"),
     )
-    named = _side(marks, "item", PRODUCT, ["product_name", *_ITEM_ATTRIBUTES[1:]], "days_available")
-    items = materialize(_as_key(named, PRODUCT, sales, "item_number").join(measured, PRODUCT))
+    named = _side(sales, "item_number", PRODUCT, _ITEM_ATTRIBUTES, ["product_name", *_ITEM_ATTRIBUTES[1:]], "days_available")
+    items = materialize(named.join(measured, PRODUCT))
     size = items.groupBy(F.col("category_name").alias("_c")).agg(F.count("*").alias("category_popularity"))
     joined = items.join(size, F.col("category_name").eqNullSafe(F.col("_c"))).drop("_c")
     return (
@@ -191,10 +191,10 @@ def _top_categories(pairs: DataFrame, k: int = 3) -> DataFrame:
 
 def store_behavior(sales: DataFrame, as_of: str) -> DataFrame:
     """Per store: variety, spending, top categories, activity span and recency."""
-    return _behavior(materialize(pair_facts(sales)), day_marks(sales), sales, as_of)
+    return _behavior(materialize(pair_facts(sales)), sales, as_of)
 
 
-def _behavior(pairs: DataFrame, marks: DataFrame, sales: DataFrame, as_of: str) -> DataFrame:
+def _behavior(pairs: DataFrame, sales: DataFrame, as_of: str) -> DataFrame:
     stores = pairs.where(F.col("store_number").isNotNull()).withColumn(CUSTOMER, F.col("store_number"))
     m = _measures()
     totals = stores.groupBy(CUSTOMER).agg(
@@ -208,14 +208,17 @@ def _behavior(pairs: DataFrame, marks: DataFrame, sales: DataFrame, as_of: str)
     variety = distinct_counts(
         stores, [CUSTOMER],
         {
-            "unique_products_purchased": "item_number",
             "unique_categories_purchased": "category_name",
             "unique_vendors_purchased": "vendor_name",
         },
     )
-    days = marks.where("side = 'store'").groupBy(F.col("key").alias(CUSTOMER)).agg(F.count_distinct("date").alias("active_days"))
+    reach = two_level(
+        stores, [CUSTOMER], ["item_number"], extra=[F.count("item_number").alias("unique_products_purchased")], spread=True
+    )
+    days = _days(sales, "store_number", "active_days").withColumnRenamed("store_number", CUSTOMER)
     return (
-        totals.join(_as_key(days, CUSTOMER, sales, "store_number"), CUSTOMER)
+        totals.join(days, CUSTOMER)
+        .join(reach, CUSTOMER)
         .join(variety, CUSTOMER)
         .join(_top_categories(pairs), CUSTOMER, "left")
         .withColumn("days_active", days_between(F.col("_last"), F.col("_first")))
@@ -259,23 +262,23 @@ def _main_columns(as_of: str) -> list[Column]:
     ]
 
 
-def store_product_dataset(sales: DataFrame, as_of: str, ordered: bool = False) -> DataFrame:
+def store_product_dataset(
+    sales: DataFrame, as_of: str, ordered: bool = False, position_of: list[str] | None = None
+) -> DataFrame:
     """One row per (store, item) with bottles sold: the one with the highest spend.
 
-    The sales are read twice: for the pre-aggregate and for the days and attributes. Both are
-    stored, and all parts of the dataset come from them.
+    The pre-aggregate, which also marks that row, is stored; days and attributes come from narrow passes
+    over the sales.
     """
-    pairs, marks = materialize(pair_facts(sales)), materialize(day_marks(sales))
+    pairs = materialize(pair_facts(sales))
     return interaction_dataset(
-        _interactions(pairs).where(F.col("total_bottles_purchased") > 0),
+        _interactions(pairs.where("_best")),
         [
-            (_products(pairs, marks, sales).alias("p"), [PRODUCT], "inner"),
-            (_as_key(_demographics(marks), CUSTOMER, sales, "store_number"), [CUSTOMER], "inner"),
-            (_behavior(pairs, marks, sales, as_of), [CUSTOMER], "inner"),
+            (_products(pairs, sales).alias("p"), [PRODUCT], "inner"),
+            (store_demographics(sales), [CUSTOMER], "inner"),
+            (_behavior(pairs, sales, as_of), [CUSTOMER], "inner"),
         ],
         _main_columns(as_of),
-        best=[
-            F.desc("total_spent"), F.desc("purchase_frequency"), F.col("category_name"), F.col("vendor_name"),
-        ],
         ordered=[F.col(CUSTOMER), F.col(PRODUCT)] if ordered else None,
+        position_of=position_of,
     )
