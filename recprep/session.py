@@ -17,11 +17,23 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# For the recommender side: tasks after a shuffle stay small however large the tables are, since an
+# aggregate holds many times the bytes of its compressed input.
+TABLE_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "800",
+}
+
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to an existing session."""
+def tune(spark: SparkSession, tables: bool = False) -> SparkSession:
+    """Apply the settings above to an existing session; those for ``tables`` are taken back without it."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, value in TABLE_CONF.items():
+        if tables:
+            spark.conf.set(key, value)
+        elif spark.conf.get(key, None) == value:
+            spark.conf.unset(key)
     return spark
 
 
