@@ -143,6 +143,7 @@ def taxi_dropoff_interactions(trips: DataFrame) -> DataFrame:
             m_small_domain("days_active", F.dayofweek(START)),
         ],
         [common["payment_type"].alias("primary_payment_type")],
+        spread=True,
     )
 
 
@@ -154,7 +155,8 @@ def area_interactions(trips: DataFrame) -> DataFrame:
         "*", F.col("pickup_community_area").alias(CUSTOMER), F.col("dropoff_community_area").alias(PRODUCT)
     )
     keys = [CUSTOMER, PRODUCT]
-    per_taxi = two_level(rows, keys, ["taxi_id"], _pair_measures(), [F.count("taxi_id").alias("unique_taxis")])
+    taxis = [F.count("taxi_id").alias("unique_taxis")]
+    per_taxi = two_level(rows, keys, ["taxi_id"], _pair_measures(), taxis, spread=True)
     return per_taxi.join(distinct_counts(rows, keys, {"unique_companies": "company"}), keys)
 
 
