@@ -6,6 +6,8 @@ again when a lost task is retried.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,25 @@ def u01(seed: int, salt: str, *keys: Column) -> Column:
     return unit(digest(seed, salt, *keys))
 
 
+def _position(u: float) -> str:
+    """The first 13 hex digits at which draws reach ``u`` in (0, 1)."""
+    return f"{math.ceil(u * _UNIT):013x}"
+
+
+def draw_below(rate: float, seed: int, salt: str, *keys: Column) -> Column:
+    """``u01(seed, salt, *keys) < rate`` by comparing text: digits of one width have the order of their numbers."""
+    text = digest(seed, salt, *keys)
+    if not 0 < rate <= 1 - 1 / _UNIT:
+        return F.when(text.isNotNull(), F.lit(rate > 0))
+    return text < F.lit(_position(rate))
+
+
+def draw_upto(u: float, key: str, seed: int, salt: str, column: Column) -> Column:
+    """(``u01(seed, salt, column)``, column) <= (``u``, ``key``) by one comparison of texts; ``u`` is a draw."""
+    k = column.cast("string")
+    return F.concat(F.substring(digest(seed, salt, column), 1, 13), k) <= F.lit(_position(u) + key)
+
+
 def row_key(df: DataFrame) -> Column:
     """Key for a row without an id: 128 hash bits over all columns.
 

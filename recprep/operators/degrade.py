@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.config import PROVINCES, SEED, DegradeConfig
-from recprep.functions.hashing import digest, pick, quarter, row_key, u01, unit
+from recprep.functions.hashing import digest, draw_below, pick, quarter, row_key, u01, unit
 from recprep.functions.numeric import clamp
 from recprep.operators.keyed import best_row
 from recprep.operators.ranks import weighted_pick
@@ -30,7 +30,7 @@ POPULARITY_UNITS = 1e6  # weights are whole numbers: their totals do not depend
 
 
 def _is_null_item(rate: float, seed: int) -> Column:
-    return u01(seed, NULL_SALT, F.col("item_id")) < F.lit(rate)
+    return draw_below(rate, seed, NULL_SALT, F.col("item_id"))
 
 
 def null_item_attributes(events: DataFrame, rate: float, seed: int = SEED) -> DataFrame:
@@ -130,17 +130,16 @@ def drop_pre_purchase_carts(
     """
     group = ["user_id", "item_id", "user_session"]
     columns = events.columns
-    toss = u01(seed, CART_SALT, row_key(events) if key is None else key) < F.lit(rate)
+    toss = draw_below(rate, seed, CART_SALT, row_key(events) if key is None else key)
     unlucky = F.coalesce((F.col("event_type") == "cart") & toss, F.lit(False))
+    # texts that no NULL shares, so that groups and join meet in one shuffle
+    same = {f"_{c}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in group}
     bought = (
         events.where(F.col("event_type") == "purchase")
-        .groupBy(*[F.col(c).alias(f"_{c}") for c in group])
+        .groupBy(*[text.alias(name) for name, text in same.items()])
         .agg(F.max("event_time").alias("_last_buy"))
     )
-    same = F.lit(True)
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    suspects = events.where(unlucky).join(bought, same, "left")
+    suspects = events.where(unlucky).withColumns(same).join(bought, list(same), "left")
     spared = suspects.where(F.coalesce(F.col("_last_buy") <= F.col("event_time"), F.lit(True)))
     spared = spared.select(*columns)
     return events.where(~unlucky).unionByName(materialize(spared) if store else spared)
@@ -239,7 +238,7 @@ def degrade_human_events(
     events: DataFrame,
     cfg: DegradeConfig = DegradeConfig(),
     seed: int = SEED,
-    key: Column | None = None,
+    key: Column | str | None = None,
     items_from: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Everything but the bots: (events, cold ids, null items, cold catalog).
@@ -247,19 +246,22 @@ def degrade_human_events(
     The steps that look at one row (blank, cold or not, delay) are one projection. It is
     written once, with cold items in a partition of their own, and the catalog and the cart
     step read it. ``items_from``: a cheaper table with the same items (the source before
-    enrichment, say).
+    enrichment, say). A ``key`` that is the name of a column is not stored a second time.
     """
     source = events if items_from is None else items_from  # rows or distinct items
     cold = is_cold(cold_item_cut(source, cfg.cold_item_rate, seed), seed)
-    keyed = events.withColumn("_row", row_key(events) if key is None else key)
+    row = key if isinstance(key, str) else "_row"
+    keyed = events
+    if not isinstance(key, str):
+        keyed = events.withColumn(row, row_key(events) if key is None else key)
     blanked = null_item_attributes(keyed, cfg.null_item_rate, seed)
-    late = jitter_event_time(blanked, cfg.jitter_rate_per_s, seed, F.col("_row"))
+    late = jitter_event_time(blanked, cfg.jitter_rate_per_s, seed, F.col(row))
     columns = events.columns
     stored = materialize(late.withColumn("_cold", cold), ("_cold",))
     warm = stored.where(~F.col("_cold") & F.col("item_id").isNotNull()).drop("_cold")
-    kept = drop_pre_purchase_carts(warm, cfg.cart_drop_rate, seed, F.col("_row"), store=True)
+    kept = drop_pre_purchase_carts(warm, cfg.cart_drop_rate, seed, F.col(row), store=True)
     on_time = stored.where(F.col("_cold")).withColumn("event_time", F.col("true_event_time"))
-    catalog = first_of_item(on_time, "_row").select(*columns)
+    catalog = first_of_item(on_time, row).select(*columns)
     return (
         kept.select(*columns, "true_event_time"),
         source.where(cold).select("item_id").distinct(),

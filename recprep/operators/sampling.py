@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.functions.hashing import u01
+from recprep.functions.hashing import draw_below, draw_upto, u01
 from recprep.operators.ordered import row_ids
 
 _BUCKETS = 1 << 16  # of one histogram
@@ -22,8 +22,7 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int, salt: str =
     rows are kept or dropped together.
     """
     values = [F.col(key).cast("string"), *([] if instead is None else [instead.cast("string")]), F.lit("")]
-    draw = u01(seed, salt, F.coalesce(*values))
-    return df.where(draw < F.lit(fraction))
+    return df.where(draw_below(fraction, seed, salt, F.coalesce(*values)))
 
 
 @dataclass(frozen=True)
@@ -78,9 +77,7 @@ def in_cut(key: str, cut: Cut | None, seed: int, salt: str) -> Column:
     """True for keys in the exact-n sample; false for a NULL key or an empty sample."""
     if cut is None:
         return F.lit(False)
-    u, k = u01(seed, salt, F.col(key)), F.col(key).cast("string")
-    inside = (u < F.lit(cut.u)) | ((u == F.lit(cut.u)) & (k <= F.lit(cut.key)))
-    return F.coalesce(inside, F.lit(False))
+    return F.coalesce(draw_upto(cut.u, cut.key, seed, salt, F.col(key)), F.lit(False))
 
 
 def take_keys(

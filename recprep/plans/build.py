@@ -118,7 +118,7 @@ def build_from_events(
             devices=cfg.devices, device_weights=cfg.device_weights, provinces=cfg.provinces,
         )
         d = cfg.degrade
-        human, cold, lost, catalog = degrade.degrade_human_events(enriched, d, cfg.seed, row, items_from=items)
+        human, cold, lost, catalog = degrade.degrade_human_events(enriched, d, cfg.seed, key, items_from=items)
         bots = degrade.bot_traffic(
             human, d.bot_fraction, d.bot_rate_per_s, d.bot_gap_min_ms, d.bot_gap_max_ms, cfg.provinces, cfg.seed
         )
@@ -133,14 +133,17 @@ def build_from_events(
             damaged, cfg.test_fraction, cfg.min_user_events, cfg.seed, null_users, at_least_one=at_least_one
         )
         counted = Observation()
-        of = {side: F.count(F.when(F.col("side") == side, F.lit(1))) for side in ("train", "test")}
-        watched = sides.observe(
-            counted, F.count(F.lit(1)).alias("rows"), *[n.alias(side) for side, n in of.items()],
-            *[
-                F.sum(F.when(F.col("side") == side, part)).alias(f"{side}_{i}")
-                for side in of for i, part in enumerate(files.row_slices(damaged))
-            ],
-        )
+        of = ("train", "test")
+        # hashed once in the row's own projection; the observation only adds up plain columns
+        own = {f"_{side}": F.when(F.col("side") == side, F.lit(1)) for side in of}
+        own |= {
+            f"_{side}_{i}": F.when(F.col("side") == side, F.col(name)) for side in of for i, name in enumerate(files.SLICES)
+        }
+        sliced = sides.withColumns({n: part for n, part in zip(files.SLICES, files.row_slices(damaged))})
+        watched = sliced.withColumns(own).drop(*files.SLICES).observe(
+            counted, F.count(F.lit(1)).alias("rows"), *[F.count(f"_{side}").alias(side) for side in of],
+            *[F.sum(f"_{side}_{i}").alias(f"{side}_{i}") for side in of for i in range(3)],
+        ).drop(*own)
         watched.where(F.col("side").isNotNull()).write.mode("overwrite").partitionBy("side").parquet(f"{out_dir}/interactions")
         seen = counted.get
         for side in of:

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
 TABLE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "800",
+    # A table with a few partition values (cold or not, train or test) is written without sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 

@@ -146,6 +146,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+SLICES = ("_slice_0", "_slice_1", "_slice_2")
 _SLICE_BITS = 21  # three slices of a row's hash; their sums stay below 2^63 for 2^42 rows
 
 
@@ -156,6 +157,11 @@ def row_slices(df: DataFrame) -> list[Column]:
     return [F.shiftrightunsigned(row, _SLICE_BITS * k).bitwiseAND(mask) for k in range(3)]
 
 
+def with_slices(df: DataFrame) -> DataFrame:
+    """Add the row's slices as columns: :func:`observe` then sums plain columns and hashes nothing itself."""
+    return df.withColumns({name: part for name, part in zip(SLICES, row_slices(df))})
+
+
 def digest_columns(df: DataFrame) -> list[Column]:
     """Aggregates of an order-free content digest: the number of rows and the sums of their slices.
 
@@ -177,7 +183,8 @@ def content_digest(df: DataFrame) -> str:
 def write_checked(df: DataFrame, path: str, partition_by: str | None = None) -> str:
     """Write parquet and return the content digest, which the writing job computes on the way."""
     seen = Observation()
-    watched = df.observe(seen, *digest_columns(df))
+    sums = [F.sum(name).alias(f"slice_{k}") for k, name in enumerate(SLICES)]
+    watched = with_slices(df).observe(seen, F.count(F.lit(1)).alias("rows"), *sums).drop(*SLICES)
     writer = watched.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return digest_text(seen.get)
