@@ -65,6 +65,27 @@ def test_bpe_ranks_that_fall_along_the_way():
         assert model.encode_piece(piece) == ([ranks[piece]] if piece in ranks else [ranks[p] for p in parts])
 
 
+def test_bpe_one_queue_for_many_pieces():
+    """Pre-tokens that share a queue don't meet, and a pair is looked up twice a merge at most."""
+    enc, model = tik("byte_bpe_multi_50k.tiktoken"), bpe.BytePairs(bpe.load(MULTI, public_tokenizers.PATTERN)[0].ranks, public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    texts = [" " + "".join(rng.choice(["the", "ung", "é", "x", "ción", "\0", "ÿ"]) for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    asked = []
+
+    class Counted(dict):
+        def get(self, *key):
+            asked.append(key[0])
+            return dict.get(self, *key)
+
+    model.pairs = Counted(model.pairs)
+    pieces = [p for t in texts for p in model.pattern.findall(t)]
+    ids = model.encode_pieces([p.encode() for p in pieces])
+    assert ids == [enc.encode_ordinary(p) for p in pieces]
+    assert len(asked) <= 2 * sum(len(p.encode()) - len(i) for p, i in zip(pieces, ids))
+    assert [np.frombuffer(x, "<u4").tolist() for x in model.encode_packed(texts)] == [enc.encode_ordinary(t) for t in texts]
+    assert all(len(p) <= 32 for p in model.seen) and model.encode_pieces([]) == []
+
+
 SPECIAL = ["<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>", "<|endoftext", "  <|endoftext|>  y"]
 
 
