@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, release, text_of
+from recprep.llm.common import arrow_batches, release, text_of, trim_memory, trimmed
 from recprep.session import discard, materialize
 
 # A-Z in lower case, a tab as a space, and every sign that ends a piece as a full stop.
@@ -113,7 +113,7 @@ def split(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     rows = df.select(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), text_of(f"`{text_col}`").alias("text")
     )
-    return rows.mapInArrow(work, "block long, lang string, local int, place long, word string, n long, codes binary")
+    return rows.mapInArrow(trimmed(work), "block long, lang string, local int, place long, word string, n long, codes binary")
 
 
 def _planes(codes: np.ndarray) -> bytes:
@@ -149,13 +149,15 @@ def runs(stored: DataFrame, told: DataFrame) -> DataFrame:
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"block": pa.int64(), "lang": pa.string(), "ids": pa.binary(), "f": pa.binary(), "codes": pa.binary()}
+        trim_memory()
         if not len(left) or not len(right):
             return pa.schema(list(out.items())).empty_table()
         codes = _from_planes(left.column("codes")[0].as_py())
         local = right.column("local").to_numpy()
         place = np.zeros(max(int(codes.max()), int(local.max())) + 1, np.int32)
         place[local] = np.arange(1, len(local) + 1)
-        codes = np.concatenate(([0], place[codes], [0]))
+        end = np.zeros(1, np.int32)
+        codes = np.concatenate((end, place[codes], end))
         # A word between two ends is in no phrase; of ends in a row one is enough.
         alone = np.zeros(len(codes), bool)
         alone[1:-1] = (codes[:-2] == 0) & (codes[2:] == 0)
@@ -178,7 +180,7 @@ def contexts(texts: DataFrame, ranges: DataFrame, reach: int) -> DataFrame:
     """Every occurrence of a word with lo <= f < hi (per lang): w, the ``reach`` words after it (r1, ...) and
     before it (l1, ...) in its run; 0 beyond the end of the run."""
     names = ["w", *(f"{side}{k}" for side in "rl" for k in range(1, reach + 1))]
-    arrow_batches(texts.sparkSession, 4)
+    arrow_batches(texts.sparkSession, 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,10 +191,11 @@ def contexts(texts: DataFrame, ranges: DataFrame, reach: int) -> DataFrame:
                 codes = np.concatenate((np.zeros(reach, np.int32), codes, np.zeros(reach, np.int32)))
                 wanted = (f >= lo) & (f < hi)
                 wanted[0] = False
-                hits = np.nonzero(wanted[codes])[0]
-                hits = hits[(codes[hits + 1] != 0) | (codes[hits - 1] != 0)]
-                for at in range(0, len(hits), 100_000):
-                    here = hits[at : at + 100_000]
+                for at in range(0, len(codes), 200_000):
+                    here = at + np.nonzero(wanted[codes[at : at + 200_000]])[0]
+                    here = here[(codes[here + 1] != 0) | (codes[here - 1] != 0)]
+                    if not len(here):
+                        continue
                     columns = [ids[codes[here]]]
                     for step in (1, -1):
                         open_run = np.ones(len(here), bool)
@@ -203,7 +206,7 @@ def contexts(texts: DataFrame, ranges: DataFrame, reach: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     joined = texts.join(ranges.select("lang", "lo", "hi"), "lang").select("ids", "f", "codes", "lo", "hi")
-    return joined.mapInArrow(work, ", ".join(f"{c} long" for c in names))
+    return joined.mapInArrow(trimmed(work), ", ".join(f"{c} long" for c in names))
 
 
 def grow(near: DataFrame, side: str, reach: int, min_count: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,19 @@ def trim_memory() -> None:
         pass
 
 
+def trimmed(work: Callable) -> Callable:
+    """A function over Arrow batches that leaves no freed memory with its Python worker, which may lie idle
+    beside the workers of the next stage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            trim_memory()
+
+    return run
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     have = {c.lower() for c in df.columns}
