@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, release, text_of, trim_memory, words_of
+from recprep.llm.common import arrow_batches, release, text_of, trim_memory, trimmed, words_of
 from recprep.session import discard, materialize
 
 _END = 0xFF  # closes a text; no UTF-8 text holds this byte
@@ -191,7 +191,7 @@ def train(
                 gram, n = np.unique(grams, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
 
-    found = docs.select(text_of(text_col).alias("text")).mapInArrow(work, "gram long, n long")
+    found = docs.select(text_of(text_col).alias("text")).mapInArrow(trimmed(work), "gram long, n long")
     full = materialize(found.groupBy("gram").agg(F.sum("n").alias("n")))
     low, longer = [], None
     for k in range(order + 1):
@@ -263,7 +263,7 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
             n = np.bincount(which, minlength=len(hashes)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n)], names=["word", "n"])
 
-    rows = docs.select(text_of(text_col).alias("text")).mapInArrow(work, "word long, n long")
+    rows = docs.select(text_of(text_col).alias("text")).mapInArrow(trimmed(work), "word long, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
