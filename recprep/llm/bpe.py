@@ -6,7 +6,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -154,8 +154,8 @@ class BytePairs:
 
     def _encode_packed(self, texts: list[str]) -> list[bytes]:
         seen = self.seen
-        if len(seen) >= _PIECES:
-            seen.clear()
+        if len(seen) >= _PIECES:  # as in the chunk encoder, the half met first stays
+            seen = self.seen = dict(islice(seen.items(), _PIECES // 2))
         cut = list(map(self.pattern.findall, texts))
         fresh = list(set(chain.from_iterable(cut)).difference(seen))
         held, size = [], 0
@@ -199,7 +199,7 @@ def load(path: str, pattern: str) -> tuple[BytePairs, ChunkEncoder]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     model = BytePairs(ranks, pattern)
-    return model, ChunkEncoder(model.encode_packed)
+    return model, ChunkEncoder(model.encode_packed, 500_000)
 
 
 def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

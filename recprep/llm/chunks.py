@@ -6,6 +6,7 @@ import gc
 import re
 from collections.abc import Callable
 from functools import wraps
+from itertools import islice
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -44,18 +45,18 @@ def cut(text: str) -> tuple[str, list[str]]:
 class ChunkEncoder:
     """Encode texts chunk by chunk with a bounded memory of chunks met before.
 
-    ``encode_many`` maps chunks to their ids as bytes. The memory is emptied when it holds
-    ``limit`` chunks; that changes the time, never the ids.
+    ``encode_many`` maps chunks to their ids as bytes. When the memory holds more than ``limit`` chunks,
+    the half met first stays, among them most frequent ones; that changes the time, never the ids.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 800_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 300_000):
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
 
     @no_cycles
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), self.limit // 2))
         cuts = [cut(t) for t in texts]
         new: set[str] = set()
         for _, rest in cuts:

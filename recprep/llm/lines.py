@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, release, text_of
+from recprep.llm.common import arrow_batches, release, text_of, trimmed
 from recprep.session import discard, materialize
 
 _SKETCH = 1 << 22  # counters for the frequency of words: 16 MB, whatever the vocabulary
@@ -133,7 +133,7 @@ def scan(docs: DataFrame, least: int) -> DataFrame:
                 [pa.nulls(len(part), types), none, none, none, none, pa.array(part.astype(np.int32)), pa.array(seen[part])], names=names
             )
 
-    return docs.mapInArrow(work, f"doc {kind}, h long, line long, key1 long, key2 long, bucket int, lines int")
+    return docs.mapInArrow(trimmed(work), f"doc {kind}, h long, line long, key1 long, key2 long, bucket int, lines int")
 
 
 def word_sketch(scanned: DataFrame) -> np.ndarray:
@@ -167,7 +167,7 @@ def _pass(docs: DataFrame, bits, keep: bool) -> DataFrame:
             yield batch.filter(pa.array(inside == keep)).select(schema.names)
 
     bucket = F.pmod(F.xxhash64("doc", "h"), F.lit(_DOC_BITS)).cast("int").alias("bucket")
-    return docs.select(*schema.names, bucket).mapInArrow(work, schema)
+    return docs.select(*schema.names, bucket).mapInArrow(trimmed(work), schema)
 
 
 def _with_lines(docs: DataFrame, at: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def postings(docs: DataFrame, threshold: float, least: int, sketch) -> DataFrame
             )
 
     rows = docs.select("doc", "h", "text", *(["only"] if limited else []))
-    return rows.mapInArrow(work, f"word long, doc {kind}, h long, line long, n int, place int, parity long")
+    return rows.mapInArrow(trimmed(work), f"word long, doc {kind}, h long, line long, n int, place int, parity long")
 
 
 def _may_match(threshold: float) -> Column:
@@ -292,7 +292,7 @@ def verify(docs: DataFrame, pairs: DataFrame, threshold: float, least: int) -> D
                 names=[*_AT, "words"],
             )
 
-    sets = materialize(_with_lines(docs, ends).mapInArrow(work, f"doc {kind}, h long, line long, words array<long>"))
+    sets = materialize(_with_lines(docs, ends).mapInArrow(trimmed(work), f"doc {kind}, h long, line long, words array<long>"))
     one = F.col("p.doc").eqNullSafe(F.col("s.doc")) & (F.col("p.h") == F.col("s.h")) & (F.col("p.line") == F.col("s.line"))
     two = F.col("q.doc2").eqNullSafe(F.col("t.doc")) & (F.col("q.h2") == F.col("t.h")) & (F.col("q.line2") == F.col("t.line"))
     left = pairs.alias("p").join(sets.alias("s"), one).select("p.*", F.col("s.words").alias("words"))

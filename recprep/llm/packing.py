@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.llm import vocab
-from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of, trim_memory
+from recprep.llm.common import arrow_batches, crc32_of, out_batches, rows_in, text_of, trim_memory, trimmed
 from recprep.session import materialize
 
 
@@ -41,7 +41,7 @@ def tokenize(df: DataFrame, path: str, pattern: str, *, end_id: int, id_col: str
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), text_of(text_col).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, source string, n long, width int, ids binary")
+    return rows.mapInArrow(trimmed(work), f"doc_id {kind}, source string, n long, width int, ids binary")
 
 
 def _running(value: str, window) -> Column:
@@ -153,7 +153,7 @@ def cut_pieces(placed: DataFrame, seq_len: int) -> DataFrame:
                 ("doc_id", batch.column(0).type), *longs, ("source", pa.string()), ("round", pa.int64()), ("ids", pa.binary()),
             ]))
 
-    return placed.select(*names).mapInArrow(work, ddl)
+    return placed.select(*names).mapInArrow(trimmed(work), ddl)
 
 
 def pack(

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recprep.llm.common import arrow_batches, crc_rest, text_of
+from recprep.llm.common import arrow_batches, crc_rest, text_of, trimmed
 
 
 @dataclass(frozen=True)
@@ -180,4 +180,4 @@ def score(df: DataFrame, model: QualityModel, *, text_col: str = "text", name: s
             )
 
     schema = df.select(*[F.col(f"`{c}`") for c in kept]).schema.add(name, "double")
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(trimmed(work), schema)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recprep.llm import simhash
-from recprep.llm.common import arrow_batches, free_name, release, text_of, words_of
+from recprep.llm.common import arrow_batches, free_name, release, text_of, trimmed, words_of
 from recprep.llm.components import connected_components
 from recprep.session import materialize
 
@@ -97,7 +97,7 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
                 [pa.nulls(_PARTS, types), none, none, none, pa.array(range(_PARTS), pa.int32()), pa.array(held, pa.binary())], names=names
             )
 
-    return docs.mapInArrow(work, f"doc {kind}, h long, key long, fp long, part int, counts binary")
+    return docs.mapInArrow(trimmed(work), f"doc {kind}, h long, key long, fp long, part int, counts binary")
 
 
 def shingle_sketch(scanned: DataFrame) -> np.ndarray:
@@ -118,7 +118,7 @@ def shingle_sketch(scanned: DataFrame) -> np.ndarray:
 
     rows = scanned.filter("part IS NOT NULL").select("part", "counts")
     # Each file is summed where it is read, then the sums of each part meet.
-    summed = rows.mapInArrow(add, rows.schema).repartition(_PARTS, "part").mapInArrow(add, rows.schema)
+    summed = rows.mapInArrow(trimmed(add), rows.schema).repartition(_PARTS, "part").mapInArrow(trimmed(add), rows.schema)
     out = np.zeros((_PARTS, _SKETCH // _PARTS), np.int64)
     for row in summed.toLocalIterator():
         out[row["part"]] = np.frombuffer(row["counts"], np.int64)
@@ -149,7 +149,7 @@ def postings(docs: DataFrame, words: int, threshold: float, sketch) -> DataFrame
                 names=["shingle", "key", "n", "place"],
             )
 
-    return docs.select("text").mapInArrow(work, "shingle long, key long, n int, place int")
+    return docs.select("text").mapInArrow(trimmed(work), "shingle long, key long, n int, place int")
 
 
 def _may_match(threshold: float) -> Column:
@@ -196,10 +196,10 @@ def verify(docs: DataFrame, keyed: DataFrame, pairs: DataFrame, words: int, thre
             lists = pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(shingles.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["key", "shingles"])
 
-    some = docs.select(*schema.names, bucket).mapInArrow(inside, schema).alias("d")
+    some = docs.select(*schema.names, bucket).mapInArrow(trimmed(inside), schema).alias("d")
     same = F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.h") == F.col("w.h"))
     texts = some.join(at.alias("w"), same).select("key", "text").dropDuplicates(["key"])
-    sets = materialize(texts.mapInArrow(cut, "key long, shingles array<long>"))
+    sets = materialize(texts.mapInArrow(trimmed(cut), "key long, shingles array<long>"))
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("one")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("two")), "b")
     common = F.size(F.array_intersect("one", "two"))

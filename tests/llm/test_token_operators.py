@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from recprep.llm import bpe, chunks, packing, pii, ppm, vocab, warc
+from recprep.llm import bpe, chunks, common, packing, pii, ppm, vocab, warc
 from tests.llm.conftest import SF, by_id
 
 JSON, MULTI = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"))
@@ -89,6 +89,27 @@ def test_bpe_one_queue_for_many_pieces():
 SPECIAL = ["<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>", "<|endoftext", "  <|endoftext|>  y"]
 
 
+def test_chunk_encoder_keeps_the_first_chunks():
+    """Over its limit the memory keeps the chunks met first, and no more than half of its limit."""
+    asked = []
+    encoder = chunks.ChunkEncoder(lambda many: [asked.append(c) or c.encode() for c in many], limit=4)
+    assert encoder.encode(["x a b"]) == [b"x a b"]
+    assert encoder.encode(["x c d e"]) == [b"x c d e"]
+    asked.clear()
+    assert encoder.encode(["x a b c"]) == [b"x a b c"]
+    assert set(asked) == {"x", " c"} and len(encoder.known) == 3
+
+
+def test_workers_give_memory_back_after_their_batches(monkeypatch):
+    """Also where the reader stops early or the work fails."""
+    calls = []
+    monkeypatch.setattr(common, "trim_memory", lambda: calls.append(1))
+    assert list(common.trimmed(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and len(calls) == 1
+    with pytest.raises(ZeroDivisionError):
+        list(common.trimmed(lambda batches: (1 // b for b in batches))(iter([0])))
+    assert len(calls) == 2
+
+
 def test_file_encoder_is_the_tokenizer():
     """The library as it comes: strings of special tokens become their ids; and with its switch, they do not."""
     with open(JSON, encoding="utf-8") as file:
