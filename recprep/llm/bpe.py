@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.llm.chunks import ChunkEncoder
-from recprep.llm.common import arrow_batches, text_of
+from recprep.llm.common import arrow_batches, text_of, trimmed
 
 _SHORT, _PIECES = 32, 400_000  # pre-tokens remembered: characters of one, and how many
 _TEXTS, _QUEUE, _IDS = 20_000, 100_000, 200_000  # texts cut at a time, bytes of pre-tokens in one queue (one pre-token at least), ids decoded at a time
@@ -154,7 +154,7 @@ class BytePairs:
 
     def _encode_packed(self, texts: list[str]) -> list[bytes]:
         seen = self.seen
-        if len(seen) >= _PIECES:  # as in the chunk encoder, the half met first stays
+        if len(seen) >= _PIECES:  # the half met first stays, among them most frequent ones
             seen = self.seen = dict(islice(seen.items(), _PIECES // 2))
         cut = list(map(self.pattern.findall, texts))
         fresh = list(set(chain.from_iterable(cut)).difference(seen))
@@ -199,7 +199,7 @@ def load(path: str, pattern: str) -> tuple[BytePairs, ChunkEncoder]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     model = BytePairs(ranks, pattern)
-    return model, ChunkEncoder(model.encode_packed, 500_000)
+    return model, ChunkEncoder(model.encode_packed, 0)  # the model remembers pre-tokens
 
 
 def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,7 +221,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", te
 
     rows = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(trimmed(work), f"doc_id {kind}, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -237,7 +237,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(work, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return encoded.mapInArrow(trimmed(work), f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -5,14 +5,18 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from recprep.llm.chunks import ChunkEncoder
 
+_ROW = 50_000  # chunks encoded by one call
+
 
 class FileEncoder:
     """Ids of whole texts as bytes (``width`` each, little-endian), as the tokenizer file gives them.
@@ -21,9 +25,9 @@ class FileEncoder:
     between goes through the chunk encoder. Without ``added`` their strings are ordinary text.
     """
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]], width: np.dtype, added: dict[str, int]):
+    def __init__(self, many: Callable[[list[str]], list[bytes]], width: np.dtype, added: dict[str, int], limit: int):
         self.many, self.width = many, width
-        self.chunks = ChunkEncoder(many)
+        self.chunks = ChunkEncoder(many, limit)
         self.added = {token: np.array([i], width).tobytes() for token, i in added.items()}
         # Of added tokens that start at one place the longest counts.
         longest = sorted(added, key=len, reverse=True)
@@ -73,16 +77,43 @@ def load(path: str, pattern: str, special: bool = True) -> FileEncoder:
         import tiktoken
 
         encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        form = "H" if width.itemsize == 2 else "I"
-
-        def many(chunks: list[str]) -> list[bytes]:
-            return [struct.pack(f"<{len(ids)}{form}", *ids) for ids in map(encode, chunks)]
+        many = joined_many(encode, ranks, width)
     else:
 
         def many(chunks: list[str]) -> list[bytes]:
             return [np.array(e.ids, width).tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    return FileEncoder(many, width, {t["content"]: t["id"] for t in entries} if special else {})
+    return FileEncoder(many, width, {t["content"]: t["id"] for t in entries} if special else {}, 0 if ranks else 300_000)
+
+
+def joined_many(encode: Callable[[str], list[int]], ranks: dict[bytes, int], width: np.dtype) -> Callable[[list[str]], list[bytes]]:
+    """Ids of each chunk as bytes, by one call for many chunks.
+
+    Chunks of a space, then visible characters at both ends, can stand in a row: each space starts a new
+    pre-token (see :func:`recprep.llm.chunks.cut`). The bytes of the tokens tell where a chunk's ids end.
+    Other chunks are encoded one by one.
+    """
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    sizes[np.fromiter(ranks.values(), np.int64, len(ranks))] = [len(token) for token in ranks]
+
+    def row(chunks: list[str]) -> list[bytes]:
+        ids = np.array(encode("".join(chunks)), np.int64)
+        ends = np.cumsum(pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy())
+        told = np.cumsum(sizes[ids])
+        at = np.searchsorted(told, ends)
+        if (told[at] != ends).any():
+            raise ValueError("a token spans two chunks: the pattern does not cut before a space")
+        data = ids.astype(width).tobytes()
+        cuts = [0, *((at + 1) * width.itemsize).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def many(chunks: list[str]) -> list[bytes]:
+        fit = [len(c) > 1 and c[0] == " " and not (c[1].isspace() or c[-1].isspace()) for c in chunks]
+        held = list(compress(chunks, fit))
+        rows = chain.from_iterable(row(held[at : at + _ROW]) for at in range(0, len(held), _ROW))
+        return [next(rows) if f else np.array(encode(c), width).tobytes() for c, f in zip(chunks, fit)]
+
+    return many
 
 
 def byte_stand_ins() -> dict[str, int]:

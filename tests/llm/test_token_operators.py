@@ -100,6 +100,39 @@ def test_chunk_encoder_keeps_the_first_chunks():
     assert set(asked) == {"x", " c"} and len(encoder.known) == 3
 
 
+ROWS = ["", " ", "a", "a b", "a  b c\n", "a\nb c\n d e ", "\u3000x y z q", "a \x1cb c", "a b\x1c c", "x y\n", "\n \n", "é è  ñ  b", "b a b a c"]
+
+
+def test_chunk_encoder_without_a_memory():
+    """A call encodes each distinct chunk once and keeps none; plain and other texts stay in their order."""
+    asked = []
+    encoder = chunks.ChunkEncoder(lambda many: [asked.append(c) or c.encode() for c in many], limit=0)
+    assert encoder.encode(ROWS) == [t.encode() for t in ROWS] and encoder.encode([]) == []
+    asked.clear()
+    assert encoder.encode(["x a b a", "x b a"]) == [b"x a b a", b"x b a"]
+    assert sorted(asked) == [" a", " b", "x", "x"] and not encoder.known
+
+
+def test_chunks_are_encoded_in_a_row(monkeypatch):
+    """One call of the library for many chunks gives the ids of each; neither file nor rank encoder keeps chunks."""
+    encoder, enc = vocab.load(JSON, public_tokenizers.PATTERN), Tokenizer.from_file(JSON)
+    many = [" a", " tête-à-tête", " b\nc", " 12's", "x", " y ", "", " ", " z\n", " ñandú!"]
+    each = [np.array(enc.encode(c, add_special_tokens=False).ids, encoder.width).tobytes() for c in many]
+    monkeypatch.setattr(vocab, "_ROW", 2)
+    assert encoder.many(many) == each
+    assert encoder.encode(ROWS) == [np.array(enc.encode(t, add_special_tokens=False).ids, encoder.width).tobytes() for t in ROWS]
+    model, packed = bpe.load(MULTI, public_tokenizers.PATTERN)
+    assert packed.encode(ROWS) == model.encode_packed(ROWS)
+    assert not encoder.chunks.known and not packed.known
+    calls = []
+    ranks = {bytes([b]): b for b in range(256)}
+    row = vocab.joined_many(lambda t: calls.append(t) or list(t.encode()), ranks, np.dtype("<u2"))
+    assert row([" a", " b"]) == [b" \0a\0", b" \0b\0"] and calls == [" a b"]
+    wide = vocab.joined_many(lambda t: [256], {**ranks, b" a b": 256}, np.dtype("<u2"))
+    with pytest.raises(ValueError, match="spans two chunks"):
+        wide([" a", " b"])
+
+
 def test_workers_give_memory_back_after_their_batches(monkeypatch):
     """Also where the reader stops early or the work fails."""
     calls = []
