@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from recprep.llm.chunks import ChunkEncoder
 from recprep.llm.common import arrow_batches, text_of, trimmed
 
-_SHORT, _PIECES = 32, 400_000  # pre-tokens remembered: characters of one, and how many
+_SHORT, _PIECES = 32, 300_000  # pre-tokens remembered: characters of one, and how many
 _TEXTS, _QUEUE, _IDS = 20_000, 100_000, 200_000  # texts cut at a time, bytes of pre-tokens in one queue (one pre-token at least), ids decoded at a time
 
 
@@ -173,6 +173,10 @@ class BytePairs:
                 del seen[piece]
         return out
 
+    def forget(self) -> None:
+        """Drop the memory of pre-tokens, in a worker that goes on to decode beside one that encodes."""
+        self.seen = {}
+
     def decode(self, ids) -> bytes:
         ids = np.asarray(ids, np.int64)
         sizes = self.sizes[ids]
@@ -230,6 +234,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(path, pattern)
+        model.forget()
         for batch in batches:
             texts = model.decode_many(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(

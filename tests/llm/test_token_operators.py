@@ -6,11 +6,14 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -113,6 +116,22 @@ def test_chunk_encoder_without_a_memory():
     assert sorted(asked) == [" a", " b", "x", "x"] and not encoder.known
 
 
+def test_decoding_drops_the_memory_of_encoding():
+    """Workers take either part in turn; one that decodes holds no pre-tokens it once encoded."""
+    model, encoder = bpe.load(MULTI, public_tokenizers.PATTERN)
+    ids = encoder.encode(["some words to keep", "and some more"])
+    assert model.seen
+    works = []
+    rows = SimpleNamespace(
+        sparkSession=SimpleNamespace(conf=SimpleNamespace(set=lambda *_: None)), mapInArrow=lambda work, ddl: works.append(work),
+        schema={"doc_id": SimpleNamespace(dataType=SimpleNamespace(simpleString=lambda: "bigint"))},
+    )
+    bpe.decode(rows, MULTI, public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([len(x) // 4 for x in ids]), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+    (out,) = works[0](iter([batch]))
+    assert out.column(3).to_pylist() == [b"some words to keep", b"and some more"] and not model.seen
+
+
 def test_chunks_are_encoded_in_a_row(monkeypatch):
     """One call of the library for many chunks gives the ids of each; neither file nor rank encoder keeps chunks."""
     encoder, enc = vocab.load(JSON, public_tokenizers.PATTERN), Tokenizer.from_file(JSON)
