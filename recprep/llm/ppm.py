@@ -18,6 +18,7 @@ from recprep.session import discard, materialize
 _END = 0xFF  # closes a text; no UTF-8 text holds this byte
 _START = 0x0A  # stands before the first byte, as often as the order asks
 _SLICE = 1 << 22  # bytes whose contexts are looked up at a time
+_SCORED = 1 << 21  # the same for bytes that are scored, which takes a score of numbers for each
 _WORD = -1  # the level of words among the levels of contexts
 
 
@@ -105,17 +106,17 @@ def bits(trie: Trie, grams: np.ndarray) -> np.ndarray:
     return cost
 
 
-def grams_of(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(grams, text number) of all bytes and ends of texts, in slices of bounded size."""
-    held, size = [], 0
+def grams_of(texts: list[bytes], order: int, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, text number) of all bytes and ends of texts, in slices of ``most`` bytes (0: ``_SLICE``)."""
+    held, size, most = [], 0, most or _SLICE
     for i, text in enumerate(texts):
-        for at in range(0, len(text) + 1, _SLICE):
+        for at in range(0, len(text) + 1, most):
             # A long text goes on with the bytes before the cut as its context.
             before = text[at - order : at] if at else bytes([_START]) * order
-            part = text[at : at + _SLICE] + (bytes([_END]) if at + _SLICE > len(text) else b"")
+            part = text[at : at + most] + (bytes([_END]) if at + most > len(text) else b"")
             held.append((i, before + part))
             size += len(part)
-            if size >= _SLICE:
+            if size >= most:
                 yield _grams(held, order)
                 held, size = [], 0
     if held:
@@ -127,17 +128,18 @@ def _grams(parts: list[tuple[int, bytes]], order: int) -> tuple[np.ndarray, np.n
     lengths = np.array([len(p) for _, p in parts])
     packed = np.zeros(len(data) - order, np.int64)
     for k in range(order + 1):
-        packed = packed << 8 | data[k : len(data) - order + k]
-    owner = np.repeat(np.array([i for i, _ in parts]), lengths)
-    place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    real = place >= order
-    return packed[real[order:]], owner[real]
+        packed <<= 8
+        packed |= data[k : len(data) - order + k]
+    owner = np.repeat(np.array([i for i, _ in parts]), lengths - order)
+    real = np.ones(len(data), bool)  # not the context before each part
+    real[((np.cumsum(lengths) - lengths)[:, None] + np.arange(order)).ravel()] = False
+    return packed[real[order:]], owner
 
 
 def code_lengths(trie: Trie, texts: list[bytes]) -> np.ndarray:
     """Bits of each whole text, its end included."""
     out = np.zeros(len(texts))
-    for grams, owner in grams_of(texts, trie.order):
+    for grams, owner in grams_of(texts, trie.order, _SCORED):
         distinct, which = np.unique(grams, return_inverse=True)
         out += np.bincount(owner, bits(trie, distinct)[which], len(texts))
     return out

@@ -337,6 +337,24 @@ def test_ppm_cases(docs):
     assert ppm.adaptive_code_length(b"ab" * 200) < 200 < ppm.adaptive_code_length(bytes(range(200)))
 
 
+def test_scored_slices_are_smaller_than_counted_ones(monkeypatch):
+    """Scoring holds a score of numbers for each byte of a slice: its memory follows its own slice size."""
+    texts = [bytes(random.Random(5).choices(b"abcd ", k=600_000)), b"", b"ab"]
+    gram, n = np.unique(np.concatenate([g for g, _ in ppm.grams_of(texts, 2)]), return_counts=True)
+    counts = []
+    for k in range(3):
+        pairs, which = np.unique(gram & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        counts.append((pairs, np.bincount(which, n).astype(np.int64)))
+    trie, peaks, lengths = ppm.build(counts), [], []
+    for size in (ppm._SLICE, 1 << 16):
+        monkeypatch.setattr(ppm, "_SCORED", size)
+        tracemalloc.start()
+        lengths.append(ppm.code_lengths(trie, texts))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert np.allclose(*lengths, rtol=1e-12) and peaks[1] < peaks[0] / 3
+
+
 def test_ppm_slices_of_long_texts(monkeypatch):
     text = b"abcab" * 200
     whole = [g.tolist() for g, _ in ppm.grams_of([text, b"", b"x"], 3)]
