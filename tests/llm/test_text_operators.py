@@ -77,6 +77,37 @@ def test_lines_large_similar_group_and_clean(docs):
     assert lines.line_dedup(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{"_HOT": 3}, {"_KEPT": 2, "_BEST": 1}, {"_KEPT": 9, "_BEST": 1}])
+def test_lines_with_many_candidates_and_hot_words(docs, monkeypatch, limits):
+    """Lines whose first candidates are not like them, and words of many lines, are asked for again."""
+    for name, value in limits.items():
+        monkeypatch.setattr(lines, name, value)
+    monkeypatch.setattr(lines, "_AT_ONCE", 50)
+    rng = random.Random(7)
+    base = [rng.sample(WORDS, 12) for _ in range(3)] + [[f"long{i}" for i in range(150)]]
+    rows = []
+    for i in range(60):
+        line = list(rng.choice(base))
+        for _ in range(rng.randint(0, 3) if len(line) < 100 else rng.randint(10, 40)):
+            line[rng.randrange(len(line))] = rng.choice(WORDS)
+        rows.append((i, " ".join(line) + "\n" + " ".join(rng.choice(base))))
+    assert by_id(lines.line_dedup(docs(rows)), "removed") == like_lines(rows, 0.8, 1)
+
+
+def test_line_postings_are_shuffled_in_few_rows_and_texts_once(spark, docs, tmp_path):
+    """A row of the shuffle holds the postings of many lines; texts beside their line numbers go through one exchange."""
+    rows = [(i, "\n".join(f"some words of line {i} {k} {k % 7} and more" for k in range(20))) for i in range(50)]
+    texts = lines._docs(docs(rows), "doc_id", "text")
+    weights = spark.sparkContext.broadcast(np.full(lines._SKETCH, 9, np.uint8))
+    assert lines.postings(texts, 0.8, 1, weights, 3).count() <= 3 * texts.rdd.getNumPartitions()
+    marks = texts.select("doc", "h", F.lit(3).cast("long").alias("line"))
+    bits = spark.sparkContext.broadcast(lines._doc_filter(marks))
+    met = lines._with_lines(texts, marks.limit(20), bits, {"only": F.col("line")}, "left")
+    assert met.count() == 50 and met.filter("only IS NOT NULL").count() == 20
+    shuffled = [x for x in met._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x and "REPARTITION" in x]
+    assert len(shuffled) == 1 and "SortMergeJoin" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("files", [None, 1])
 def test_exact_dedup(spark, written, files):
     rows = [(5, "a  b"), (3, "a\t\nb"), (9, "c"), (7, None), (8, ""), (None, "c"), (2, "c d"), (4, " a b"), (4, " a b"), (11, "x" * 200_000)]
