@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recprep.session import release  # noqa: F401
+
 # The ASCII white space that separates words, as Java and DuckDB patterns.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,13 +29,6 @@ def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are stored: it drops them when
-    the driver's garbage collection finds their plans unused, which else may take half an hour."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with the scheme that Spark resolves it to, for code that opens files by itself."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

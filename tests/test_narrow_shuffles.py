@@ -1,12 +1,13 @@
 """Narrow shuffles: spread fine groups, the pre-aggregate's best rows, positions of keys alone, task sizes."""
 
 import datetime
+import os
 
 from pyspark.sql import functions as F
 
 from recprep.operators import keyed
 from recprep.plans import core, retail
-from recprep.session import TABLE_CONF, tune
+from recprep.session import TABLE_CONF, materialize, tune
 
 SALES = (
     "store_number long, item_number long, category_name string, vendor_name string, date date, sale_dollars double, "
@@ -65,3 +66,29 @@ def test_task_sizes_are_set_for_tables_and_taken_back(spark):
     finally:
         tune(spark)
     assert all(spark.conf.get(k, None) != v for k, v in TABLE_CONF.items())
+
+
+def test_rows_and_sides_are_stored_one_by_one_and_read_tables_are_deleted(spark, monkeypatch):
+    """Disk holds one step's shuffle files; of a dataset that is only ordered, keys and needed columns are stored."""
+    steps = []
+    monkeypatch.setattr(core, "materialize", lambda df: (steps.append(sorted(df.columns)), materialize(df))[1])
+    monkeypatch.setattr(core, "release", lambda s: steps.append("release"))
+    known = "customer_id string, product_id string, v long, day long"
+    source = materialize(spark.createDataFrame([("b", "x", 1, 5), ("a", "y", 2, 6), ("a", "y", 9, 4)], known))
+    names = spark.createDataFrame([("a", "A", 1), ("b", "B", 2)], "customer_id string, who string, n long")
+    columns = [F.col(c) for c in ("customer_id", "product_id", "v", "day", "c.who", "n")]
+    keys = ["customer_id", "product_id", "day"]
+
+    def dataset(**options):
+        steps.clear()
+        rows = materialize(source)
+        made = core.interaction_dataset(
+            rows, [(names, ["customer_id"], "left", "c")], columns, best=[F.desc("v")], read=(rows,), **options
+        )
+        assert not os.path.exists(rows._stored_at)
+        return sorted(map(tuple, made.collect()))
+
+    assert dataset() == [("a", "y", 9, 4, "A", 1), ("b", "x", 1, 5, "B", 2)]
+    assert steps == [sorted([*keys, "v"]), "release", ["customer_id", "n", "who"], "release"]
+    assert dataset(ordered=[F.col("customer_id")], position_of=keys, needs=("day",)) == [("a", "y", 4, 1), ("b", "x", 5, 2)]
+    assert steps == [sorted(keys), "release", ["customer_id"], "release"]
