@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from recprep.functions.numeric import round_to
 from recprep.plans import retail
-from recprep.session import materialize
+from recprep.session import discard, materialize
 from recprep.sources.standins import retail_sales
 
 AS_OF = "2002-01-01"
@@ -36,7 +36,9 @@ def top_categories(spark, sf_dir):
 
 
 def retail_main(spark, sf_dir):
-    out = retail.store_product_dataset(materialize(retail_sales(spark, sf_dir)), AS_OF)
+    sales = materialize(retail_sales(spark, sf_dir))
+    out = retail.store_product_dataset(sales, AS_OF)
+    discard(sales)
     return out.withColumn("purchase_quantity_variation", round_to("purchase_quantity_variation", 4))
 
 
@@ -44,7 +46,9 @@ def retail_main_ordered(spark, sf_dir):
     """Place of each row of the dataset in its order by store and item."""
     keys = ["customer_id", "product_id"]
     sales = materialize(retail_sales(spark, sf_dir))
-    return retail.store_product_dataset(sales, AS_OF, ordered=True, position_of=keys).select("position", *keys)
+    out = retail.store_product_dataset(sales, AS_OF, ordered=True, position_of=keys).select("position", *keys)
+    discard(sales)
+    return out
 
 
 RETAIL_QUERIES = {

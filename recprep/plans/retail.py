@@ -12,7 +12,7 @@ from recprep.functions.text import first_like
 from recprep.functions.times import days_between, days_until, local_parts, local_time
 from recprep.operators.keyed import dealt, distinct_counts, m_avg, m_sum, m_total, two_level
 from recprep.plans.core import CUSTOMER, PRODUCT, interaction_dataset
-from recprep.session import materialize
+from recprep.session import materialize, release
 
 # --- Fixed values: name patterns and labels of store classes. ---
 STORE_TYPES = [
@@ -268,17 +268,20 @@ def store_product_dataset(
     """One row per (store, item) with bottles sold: the one with the highest spend.
 
     The pre-aggregate, which also marks that row, is stored; days and attributes come from narrow passes
-    over the sales.
+    over the sales. The sides are stored one after the other; what is returned does not read ``sales`` any more.
     """
     pairs = materialize(pair_facts(sales))
+    release(sales.sparkSession)
     return interaction_dataset(
         _interactions(pairs.where("_best")),
         [
-            (_products(pairs, sales).alias("p"), [PRODUCT], "inner"),
+            (_products(pairs, sales), [PRODUCT], "inner", "p"),
             (store_demographics(sales), [CUSTOMER], "inner"),
             (_behavior(pairs, sales, as_of), [CUSTOMER], "inner"),
         ],
         _main_columns(as_of),
         ordered=[F.col(CUSTOMER), F.col(PRODUCT)] if ordered else None,
         position_of=position_of,
+        read=(pairs,),
+        store_rows=False,
     )
